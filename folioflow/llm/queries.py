@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, dedup_exact, langid, quality, sharding, toxicity
+from . import bpe, chat, dedup_exact, jaccard, langid, quality, sharding, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -52,7 +52,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_exact.duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup)}
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup, op8_jaccard_join)}
 
 ORACLES = {
     "op2_chat_formatting": r"""
@@ -70,6 +74,21 @@ select conv_id, count(*) as n_turns,
   sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), '')) as loss_sha256,
   cast(sum(length(role) + length(body) + 24) as bigint) as formatted_chars
 from written group by conv_id""",
+    "op8_jaccard_join": r"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+links as (
+  select a.doc_id as a, b.doc_id as b from s a join s b on a.s = b.s and a.doc_id <> b.doc_id
+  join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach as (select doc_id as id, doc_id as at from w union select r.id, l.b from reach r join links l on l.a = r.at)
+select w.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.at) as component_id
+from w join reach r on r.id = w.doc_id left join n on n.doc_id = w.doc_id group by w.doc_id""",
     "op7_exact_dedup": r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents),
 g as (select t, min(doc_id) as keep_id, count(*) as group_size from n group by t)
