@@ -13,6 +13,7 @@ import heapq
 import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from ..shipping import map_arrow
 from . import words
 
 #: Slices whose ids are remembered by a worker; the cache starts anew when it is full.
-CACHE = 250_000
+CACHE = 150_000
 #: A code point array of this many is scanned in blocks of this length.
 BLOCK = 128
 
@@ -259,7 +260,7 @@ class Codec:
     kept: dict[int, Codec] = {}
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.merge = Merger(ranks)
+        self.ranks = ranks
         tokens = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             tokens[i] = token
@@ -267,6 +268,11 @@ class Codec:
         self.at = np.cumsum(self.length) - self.length
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
 
+    @cached_property
+    def merge(self) -> Merger:
+        """Only encoding needs it: a worker that decodes doesn't build it."""
+        return Merger(self.ranks)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, byte offset of each id in its text, first id of each text and the end)."""
         if not len(data):
