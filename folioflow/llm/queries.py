@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, dedup_exact, jaccard, langid, quality, sharding, toxicity
+from . import bpe, chat, decontam, dedup_exact, jaccard, langid, quality, secret_scan, sharding, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -56,11 +56,16 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.digest(secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_samples(docs))))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup, op8_jaccard_join, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup, op8_jaccard_join, op9_secret_scan, op10_decontamination)}
 
 ORACLES = {
     "op2_chat_formatting": r"""
