@@ -1,35 +1,16 @@
-"""Staging in the folder that the whole cluster shares, and joins that stand hot groups."""
+"""Joins that stand hot groups."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import staged  # noqa: F401  operators take it from here
+
 #: A group is hot when it holds more than one row in HOT_SHARE; so there are fewer than HOT_SHARE hot groups.
 HOT_SHARE = 1000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir. Only where that is unset (local tests) a folder is made here."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.folioflow.stage.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="folioflow-stage-")
-        spark.conf.set("spark.folioflow.stage.dir", found)
-    return found.rstrip("/")
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it again: it cuts the lineage, and outlives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, salt: Column) -> DataFrame:
     """rows left-joined with one row of groups for each binary key.
 

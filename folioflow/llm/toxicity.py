@@ -16,7 +16,7 @@ from . import words
 
 BITS = 18
 #: About this many labelled rows of each class are drawn for training; a model keeps this many features.
-ROWS_PER_CLASS, FEATURES, FOLDS = 4000, 20_000, 5
+ROWS_PER_CLASS, FEATURES, FOLDS = 3000, 20_000, 5
 EPOCHS, RATE, DECAY = 120, 0.3, 1e-4
 PREFIXES = (4, 5, 6)
 #: Plain English insults; a toxic document with one of them is of category explicit, without of veiled.
