@@ -1,16 +1,26 @@
 """Schemas of the engine's tables. Nothing is inferred; ids are strings, money is decimal, blank is null."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
-_DDL = {
-    "material": "run_id string, case_id string, path string, name string, ext string, kind string, length bigint, sha256 string, ordinal int",
-    "cells": "path string, sheet string, row int, col int, raw string, cell_type string, num decimal(38,10), ts timestamp_ntz",
-    "pages": "path string, page_no int, rotation int, has_text boolean, text string",
-    "paragraphs": "path string, para_no int, text string",
-    "fields": "case_id string, entity string, ordinal int, field string, value string, source struct<path:string,sheet:string,ref:string,page:int>, basis string, status string",
-    "answers": "path string, q int, choices array<string>, status string",
-    "batch": "batch_id string, person string, kind string, task_date date, batch_no int, items array<struct<ordinal:int,name:string,sha256:string,pages:int,page_from:int,page_to:int>>",
-    "findings": "run_id string, stage string, severity string, entity string, code string, reason string",
-    "ledger": "run_id string, pipeline string, started_at timestamp_ntz, state string, params map<string,string>",
+
+def _struct(**fields: str | DataType) -> StructType:
+    out = StructType()
+    for name, kind in fields.items():
+        out.add(name, kind)
+    return out
+
+
+_SOURCE = _struct(path="string", sheet="string", ref="string", page="integer")
+_ITEM = _struct(ordinal="integer", name="string", sha256="string", pages="integer", page_from="integer", page_to="integer")
+
+SCHEMAS = {
+    "material": _struct(run_id="string", case_id="string", path="string", name="string", ext="string", kind="string", length="long", sha256="string", ordinal="integer"),
+    "cells": _struct(path="string", sheet="string", row="integer", col="integer", raw="string", cell_type="string", num="decimal(38,10)", ts="timestamp_ntz"),
+    "pages": _struct(path="string", page_no="integer", rotation="integer", has_text="boolean", text="string"),
+    "paragraphs": _struct(path="string", para_no="integer", text="string"),
+    "fields": _struct(case_id="string", entity="string", ordinal="integer", field="string", value="string", source=_SOURCE, basis="string", status="string"),
+    "answers": _struct(path="string", q="integer", choices=ArrayType(StringType()), status="string"),
+    "batch": _struct(batch_id="string", person="string", kind="string", task_date="date", batch_no="integer", items=ArrayType(_ITEM)),
+    "findings": _struct(run_id="string", stage="string", severity="string", entity="string", code="string", reason="string"),
+    "ledger": _struct(run_id="string", pipeline="string", started_at="timestamp_ntz", state="string", params=MapType(StringType(), StringType())),
 }
-SCHEMAS = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..functions.text import extension, file_name
 
-FILE = StructType.fromDDL("path string, modificationTime timestamp, length bigint, content binary")
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def new_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
