@@ -33,7 +33,7 @@ UP, DOWN = 3, 4
 #: Frequent shingles put last: at most so many, each seen at least so often. Whatever they are, results are the same.
 FREQUENT, OFTEN = 100_000, 32
 SKETCH_BITS = 22
-SIGNATURE_BITS = 1024
+LEAST_BITS = 256
 #: Sets compared with one leader in a task; sets in a block of a tile.
 STAR, BLOCK = 512, 1024
 #: Parts of a frequent token's postings.
@@ -47,7 +47,12 @@ SEEN = 200_000
 def _sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     shingles, at = words.shingle_hashes(*words.word_hashes(data, offsets), SHINGLE)
-    return [np.unique(shingles[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        own = np.sort(shingles[a:b])
+        again = own[1:] == own[:-1]
+        out.append(np.delete(own, np.flatnonzero(again) + 1) if again.any() else own)
+    return out
 
 
 def _fingerprint(own: np.ndarray) -> int:
@@ -55,11 +60,35 @@ def _fingerprint(own: np.ndarray) -> int:
 
 
 def _signature(own: np.ndarray) -> bytes:
-    """A bit is the parity of the elements hashed to it, so two signatures differ in at most as many bits as the sets in elements."""
-    odd = np.bincount((own >> np.uint64(20)).astype(np.int64) & (SIGNATURE_BITS - 1), minlength=SIGNATURE_BITS) & 1
+    """A bit is the parity of the elements hashed to it, so two signatures differ in at most as many bits as the sets in elements.
+
+    There are at least as many bits as elements (a power of two), so large sets' signatures tell as much as small ones'.
+    """
+    width = max(LEAST_BITS, 1 << (len(own) - 1).bit_length())
+    odd = np.bincount((own >> np.uint64(20)).astype(np.int64) & (width - 1), minlength=width) & 1
     return np.packbits(odd.astype(bool)).tobytes()
 
 
+def _folded(bits: np.ndarray, words_: int) -> np.ndarray:
+    """Rows of 64-bit words cut down to so many words: the signature that a smaller width would have given."""
+    while bits.shape[1] > words_:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def _differing(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Differing bits of pairs of signatures, at the smaller width of each pair."""
+    size = np.array([(len(x), len(y)) for x, y in zip(left, right, strict=True)]).reshape(-1, 2)
+    out = np.zeros(len(size), np.int64)
+    for a, b in np.unique(size, axis=0).tolist():
+        mine = np.flatnonzero((size == (a, b)).all(1))
+        x, y = (np.frombuffer(b"".join([side[i] for i in mine]), np.uint64).reshape(len(mine), -1) for side in (left, right))
+        least = min(x.shape[1], y.shape[1])
+        out[mine] = np.bitwise_count(_folded(x, least) ^ _folded(y, least)).sum(1, dtype=np.int64)
+    return out
+
+
 def may_link(n_a, n_b, differing):
     """Whether sets of these sizes whose signatures differ in so many bits can be similar enough."""
     overlap = (n_a + n_b - differing) // 2
@@ -116,12 +145,15 @@ def signed_sets(docs: DataFrame, key: str = "doc_id") -> DataFrame:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(sid)
+                    first = n + (-UP * n // DOWN) + 1
                     last = maybe[(own & mask).astype(np.int64)]
                     if last.any():
                         last[last] = np.isin(own[last], frequent, assume_unique=True)
-                    first = n + (-UP * n // DOWN) + 1
-                    own = (own & ~np.uint64(1)) | last
-                    tokens.append(np.concatenate([own[~last], own[last]])[:first].view(np.int64))
+                    if last.any():
+                        own = np.concatenate([own[~last][:first] & ~np.uint64(1), own[last] | np.uint64(1)])[:first]
+                    else:
+                        own = own[:first] & ~np.uint64(1)
+                    tokens.append(own.view(np.int64))
                 count = np.array([0 if t is None else len(t) for t in tokens])
                 at = np.concatenate([[0], np.cumsum(count)])
                 flat = np.concatenate([np.zeros(0, np.int64), *(t for t in tokens if t is not None)])
@@ -180,8 +212,7 @@ def _pass_signatures(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 n_a, n_b = (batch.column(i).to_numpy() for i in (2, 3))
-                bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (4, 5)]
-                good = may_link(n_a, n_b, np.bitwise_count(bits[0] ^ bits[1]).sum(1, dtype=np.int64))
+                good = may_link(n_a, n_b, _differing(batch.column(4).to_pylist(), batch.column(5).to_pylist()))
                 yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return map_arrow(own.select("a", "b", "n_a", "n_b", "s_a", "s_b"), run, "a long, b long")
@@ -243,12 +274,22 @@ def _other_pairs(tiles: DataFrame, of: DataFrame, sets: DataFrame) -> DataFrame:
     def pairs(tile: pa.Table) -> list[tuple[int, int]]:
         n, sid, component = (tile[c].to_numpy() for c in ("n", "sid", "component"))
         first, second = (tile["block"].to_numpy() == tile[c][0].as_py() for c in ("x", "y"))
-        bits = np.frombuffer(b"".join(tile["signature"].to_pylist()), np.uint64).reshape(len(n), -1)
+        raw = tile["signature"].to_pylist()
+        size = np.array([len(x) // 8 for x in raw])
+        views: dict[int, np.ndarray] = {}  # width -> the tile's signatures of that width or the next, at that width
+        for w in np.unique(size).tolist():
+            views[w] = np.zeros((len(n), w), np.uint64)
+            for v in (w, 2 * w):
+                mine = np.flatnonzero(size == v)
+                if len(mine):
+                    views[w][mine] = _folded(np.frombuffer(b"".join([raw[i] for i in mine]), np.uint64).reshape(len(mine), v), w)
         out = []
+        stop = np.searchsorted(n, DOWN * n // UP, "right")
         for i in range(len(n) - 1):
-            j = i + 1 + np.flatnonzero((UP * n[i + 1 : np.searchsorted(n, DOWN * n[i] // UP, "right")] <= DOWN * n[i]))
+            j = np.arange(i + 1, stop[i])
             j = j[(component[j] != component[i]) & ((first[i] & second[j]) | (second[i] & first[j]))]
             if len(j):
+                bits = views[int(size[i])]
                 j = j[may_link(n[i], n[j], np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64))]
                 out += [(max(sid[i], x), min(sid[i], x)) for x in sid[j].tolist()]
         return out
