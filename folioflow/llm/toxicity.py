@@ -17,8 +17,10 @@ from . import words
 BITS = 18
 #: About this many labelled rows of each class are drawn for training; a model keeps this many features.
 ROWS_PER_CLASS, FEATURES, FOLDS = 3000, 20_000, 5
-EPOCHS, RATE, DECAY = 120, 0.3, 1e-4
-PREFIXES = (4, 5, 6)
+EPOCHS, RATE, DECAY = 120, 0.3, 1e-3
+#: A document is toxic from this probability on: a missed one costs more than a false alarm.
+THRESHOLD = 0.25
+PREFIXES = (4, 5, 6, 7, 8)
 #: Plain English insults; a toxic document with one of them is of category explicit, without of veiled.
 INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "clown", "pathetic", "worthless", "disgusting")
 CHAIN = ("explicit", "veiled", "toxic")
@@ -165,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
 
 
 def predict(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, p_<category> for each category of the chain, is_toxic, for each row, from the whole text.
+    """key, p_<category> for each category of the chain, is_toxic (the last at THRESHOLD or more), for each row, from the whole text.
 
     A null or empty text has the probabilities of a text without known words. The chain (a few arrays of fixed
     size) is broadcast; other columns are not read.
@@ -177,7 +179,7 @@ def predict(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "tex
         for batch in batches:
             for a, b, data, offsets in words.chunks(batch.column(1)):
                 p = box.value.predict(data, offsets)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(p[:, k].copy()) for k in range(len(names))), pa.array(p[:, -1] >= 0.5)], [key, *names, "is_toxic"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(p[:, k].copy()) for k in range(len(names))), pa.array(p[:, -1] >= THRESHOLD)], [key, *names, "is_toxic"])
 
     own = docs.select(key, text)
     kind = own.schema[key].dataType.simpleString()

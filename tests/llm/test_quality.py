@@ -49,7 +49,7 @@ def test_exactly_the_k_greatest_keys(spark):
 
 
 def test_low_quality_goes(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"  # about 4000 labels; fewer don't make a model
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     out = quality.resample(spark.read.parquet(f"{sf}/documents.parquet"), labels).join(labels, "doc_id")
     by = {r.quality: r.s for r in out.groupBy("quality").agg(F.avg(F.col("selected").cast("double")).alias("s")).collect()}
