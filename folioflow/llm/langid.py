@@ -104,15 +104,15 @@ class Scorer(dict):
         return names, sure
 
 
-def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS) -> Model:
-    """Fit on docs (text, lang): rows with a null in either are left out. No rows give a model that knows nothing.
+def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS, key: str = "doc_id") -> Model:
+    """Fit on docs (key, text, lang); key only draws the sample, so that copies of a text are drawn apart. Rows with a null in either are left out. No rows give a model that knows nothing.
 
     rows and words bound what is drawn and kept, so the model has one size for any corpus. Words are counted
     over whole texts, on the executors; only the kept counts come to the driver.
     """
-    good = docs.select("text", "lang").filter("text is not null and lang is not null")
+    good = docs.select("text", "lang", key).filter("text is not null and lang is not null")
     there = good.count()
-    share = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(math.ceil(1_000_000 * min(1.0, rows / max(there, 1))))
+    share = F.pmod(F.xxhash64(key), F.lit(1_000_000)) < F.lit(math.ceil(1_000_000 * min(1.0, rows / max(there, 1))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +123,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS) ->
             keys = list(found)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "word", "n"])
 
-    counts = map_arrow(good.filter(share), count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = map_arrow(good.filter(share).select("text", "lang"), count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "lang", "word").limit(words)
     return Model.fit([(r.lang, r.word, r.n) for r in top.collect()])
 

@@ -82,16 +82,16 @@ def train(samples: DataFrame) -> list[float]:
     return out
 
 
-def labelled_samples(docs: DataFrame) -> DataFrame:
+def labelled_samples(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """text, secret: values of base finds and made-up random strings against ordinary identifiers.
 
-    From about SAMPLE_DOCS documents, drawn by a hash of the text: what the base patterns find is a secret, and
+    From about SAMPLE_DOCS documents, drawn by a hash of key: what the base patterns find is a secret, and
     words of eight characters or more outside of it are identifiers. Random strings in the alphabets that keys
     use (base 64, hexadecimal, upper case and digits) come from hashes of numbers.
     """
     spark = docs.sparkSession
     n = max(docs.count(), 1)
-    share = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1.0, SAMPLE_DOCS / n))
+    share = F.pmod(F.xxhash64(key), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1.0, SAMPLE_DOCS / n))
     drawn = docs.select("text").filter(F.col("text").isNotNull() & share)
     any_base = f"{ASSIGN}|{ACCESS}|{HEX}"
     found = drawn.select(F.explode(F.flatten(F.array(F.regexp_extract_all("text", F.lit(ASSIGN), 2), F.regexp_extract_all("text", F.lit(ACCESS), 0), F.regexp_extract_all("text", F.lit(HEX), 0)))).alias("text"))
