@@ -3,11 +3,13 @@
 1. Shingles that are frequent in the corpus are put last in a common order (all others go by their hash).
 2. Two sets with a similarity of at least 3/4 share a token among the first n - ceil(3n/4) + 1 of each in that
    order. Each set is posted under these tokens; sets under one token, and of sizes within 3/4, are a tile.
-3. In each tile every set is compared with the tile's first one (a star). The bit counts of two parity bitmaps
-   bound the overlap from above; pairs that pass are intersected exactly, from the texts.
+3. Every set is compared with the first set of its tiles that it meets most often (a star). The bit counts of
+   two parity bitmaps bound the overlap from above; pairs that pass are intersected exactly, from the texts.
 4. Connected components of these links are taken. A tile whose sets now belong to one component is done: no
-   further pair in it can change a component. In the other tiles of three or more, all pairs of different
-   components are compared, bitmaps first, in blocks; what passes is intersected exactly.
+   further pair in it can change a component. In the others the components' least sets are compared with the
+   tile's, and components are taken again.
+5. In tiles that still hold several components all pairs of different ones are compared, bitmaps first, in
+   blocks; what passes is intersected exactly. Tiles of the same sets are looked at once.
 So every link between sets of different components is found, and a group of many copies costs a comparison
 for each copy, not for each pair. Equal sets are one set throughout.
 """
@@ -257,19 +259,35 @@ def _row(key: str):
     return F.coalesce(F.col(key).cast("string"), F.lit("?"))
 
 
-def _other_pairs(tiles: DataFrame, of: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different components in tiles of three or more sets, whose signatures allow a link.
+def _mixed_tiles(tiles: DataFrame, of: DataFrame) -> DataFrame:
+    """(token, sid, component, many, first) of the tiles whose sets belong to more than one component.
 
-    A tile larger than BLOCK is cut into blocks of sets, and each pair of blocks is a task's work.
+    Tiles of the same sets are one: of their tokens the least stays. first is the tile's least sid.
     """
     own = tiles.select("token", "sid").join(of, tiles["sid"] == of["id"], "left").select("token", "sid", F.coalesce("component", "sid").alias("component"))
-    mixed = own.groupBy("token").agg(F.count(F.lit(1)).alias("many"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("(many > 2 or token & 1 = 1) and lo <> hi")
-    mixed = mixed.select("token", F.ceil(F.col("many") / BLOCK).alias("blocks"))
-    own = own.join(mixed, "token").join(sets.select("sid", "n", "signature"), "sid").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
+    mark = [F.sum(F.pmod(F.xxhash64("sid", F.lit(k)), F.lit(1 << 31))) for k in range(3)]  # no overflow below 4e9 sets
+    kinds = own.groupBy("token").agg(F.count(F.lit(1)).alias("many"), F.min("sid").alias("first"), F.min("component").alias("lo"), F.max("component").alias("hi"), *(m.alias(f"mark{k}") for k, m in enumerate(mark)))
+    kinds = kinds.filter("lo <> hi").groupBy("many", "first", "mark0", "mark1", "mark2").agg(F.min("token").alias("token")).select("token", "many", "first")
+    return staged(own.join(kinds, "token"), "mixed-tiles")
+
+
+def _next_stars(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a tile's least set of each component with the tile's least set b."""
+    heads = mixed.groupBy("token", "component").agg(F.min("sid").alias("a"), F.min("first").alias("b"))
+    return heads.filter("a <> b").select("a", "b").distinct()
+
+
+def _other_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different components in one tile, whose signatures allow a link.
+
+    A tile larger than BLOCK is cut into blocks of sets, and each pair of blocks is a task's work. Smaller tiles
+    are dealt by their least set: the same pairs meet in one task, which sends them once.
+    """
+    own = mixed.withColumn("blocks", F.ceil(F.col("many") / BLOCK)).join(sets.select("sid", "n", "signature"), "sid").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    own = own.select("token", "sid", "component", "n", "signature", "block", other.alias("other"))
-    own = own.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "n", "sid", "component", "signature")
-    dealt = own.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y", "n")
+    own = own.select("token", "sid", "component", "n", "signature", "block", other.alias("other"), F.when(F.col("blocks") > 1, F.col("token")).otherwise(F.col("first")).alias("deal"))
+    own = own.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "n", "sid", "component", "signature", "deal")
+    dealt = own.repartition("deal", "x", "y").sortWithinPartitions("deal", "token", "x", "y", "n").drop("deal")
 
     def pairs(tile: pa.Table) -> list[tuple[int, int]]:
         n, sid, component = (tile[c].to_numpy() for c in ("n", "sid", "component"))
@@ -334,14 +352,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     sets = full.groupBy("sid", "n").agg(F.min(key).alias("least"), F.first("signature").alias("signature"))
     sets = staged(sets.select("sid", "n", "signature", "least", F.coalesce(F.col("least").cast("string"), F.lit("?")).alias("row")), "distinct-sets")
     tiles = staged(_tiles(full.filter("tokens is not null").select(F.explode("tokens").alias("token"), "sid")), "tiles")
-    pairs = tiles.filter("sid <> leader").select(F.col("sid").alias("a"), F.col("leader").alias("b")).distinct()
+    often = tiles.filter("sid <> leader").groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
+    pairs = often.groupBy(F.col("sid").alias("a")).agg(F.max_by("leader", F.struct("n", "leader")).alias("b"))
     checked = staged(_pass_signatures(pairs, sets), "pairs")
     links = _links(checked, sets, docs, key)
     of = components(links)
-    more = staged(_other_pairs(tiles, of, sets).join(checked, ["a", "b"], "left_anti"), "other-pairs")
-    if more.limit(1).count():
-        links = links.unionByName(_links(more, sets, docs, key))
-        of = components(links)
+    # stars over the components that are left, then whatever pairs are left
+    for find in (_next_stars, lambda mixed: _other_pairs(mixed, sets)):
+        found = staged(find(_mixed_tiles(tiles, of)), "more-pairs")
+        found = found.join(checked, ["a", "b"], "left_anti")
+        more = staged(_pass_signatures(found, sets) if find is _next_stars else found, "more-pairs")
+        if more.limit(1).count():
+            checked = checked.unionByName(more)
+            links = links.unionByName(_links(more, sets, docs, key))
+            of = components(links)
     known = sets.join(of, sets["sid"] == of["id"], "left").select("sid", F.coalesce("component", "sid").alias("component"), "least")
     least = known.groupBy("component").agg(F.min("least").alias("component_id"))
     final = known.join(least, "component").select(F.col("sid").alias("__sid"), "component_id")
