@@ -86,7 +86,7 @@ class Linear:
     def logit(self, row: np.ndarray, feature: np.ndarray, dense: np.ndarray, size: int) -> np.ndarray:
         """row, feature may repeat pairs; each counts once."""
         some = np.flatnonzero(self.at[feature])
-        pair = np.unique(row[some] << BITS | feature[some])
+        pair = np.unique(row[some].astype(np.int64) << BITS | feature[some])
         return np.bincount(pair >> BITS, self.at[pair & ((1 << BITS) - 1)], size) + dense @ self.dense + self.bias
 
 
@@ -99,8 +99,11 @@ class Chain:
     @classmethod
     def fit(cls, row: np.ndarray, feature: np.ndarray, labels: np.ndarray, names: tuple[str, ...], shift: float = 0.0) -> Chain:
         """labels: rows x categories. Later models learn from out-of-fold predictions of the earlier ones."""
-        pair = np.unique(row << BITS | feature)
-        row, feature = pair >> BITS, pair & ((1 << BITS) - 1)
+        pair = row.astype(np.int64) << BITS | feature
+        if (np.diff(pair) <= 0).any():
+            pair = np.unique(pair)
+        row, feature = (pair >> BITS).astype(np.int32), (pair & ((1 << BITS) - 1)).astype(np.int32)
+        del pair
         size = len(labels)
         fold = np.arange(size) % FOLDS
         dense, models = np.zeros((size, 0)), []
@@ -160,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
     plain_ = got["plain"].fill_null(False).to_numpy().astype(bool)
     lists = got["features"].combine_chunks()
     count = lists.value_lengths().to_numpy() if len(lists) else np.zeros(0, np.int64)
-    row, feature = np.repeat(np.arange(len(toxic)), count), (lists.flatten().to_numpy().astype(np.int64) if len(lists) else np.zeros(0, np.int64))
+    row, feature = np.repeat(np.arange(len(toxic), dtype=np.int32), count), (lists.flatten().to_numpy() if len(lists) else np.zeros(0, np.int32))
+    del got, lists
     kinds = np.column_stack([toxic & plain_, toxic & ~plain_, toxic]) if len(toxic) else np.zeros((0, 3), bool)
     corpus = math.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))
     return Chain.fit(row, feature, kinds, CHAIN, corpus - math.log((toxic.sum() + 1) / ((~toxic).sum() + 1)))
