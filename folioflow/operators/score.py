@@ -17,6 +17,12 @@ def read_answers(paragraphs: DataFrame, number_pattern: str = r"^\s*([0-9]{1,2})
     return paragraphs.select("path", q.alias("q"), answer_letters(F.col("text")).alias("choices")).filter("q is not null")
 
 
+def answers_from_sheet(cells: DataFrame, first_row: int = 2, questions: int = QUESTIONS) -> DataFrame:
+    """path, row, q, choices of an existing answer sheet: column A names the sheet's row, the next columns are the questions in order."""
+    own = cells.filter((F.col("row") >= first_row) & F.col("col").between(2, questions + 1))
+    return own.select("path", "row", (F.col("col") - 1).alias("q"), answer_letters(F.col("raw")).alias("choices"))
+
+
 def answer_findings(answers: DataFrame, letters: str = "ABCDE", questions: int = QUESTIONS, multi: tuple = MULTI_SELECT) -> DataFrame:
     """Findings: a file without all questions, an answer missing, invalid, or double where one is asked for."""
     who = F.concat_ws("#", "path", F.col("q").cast("string"))
