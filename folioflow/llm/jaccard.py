@@ -6,8 +6,8 @@
 3. Every set is compared with the first set of its tiles that it meets most often (a star). The bit counts of
    two parity bitmaps bound the overlap from above; pairs that pass are intersected exactly, from the texts.
 4. Connected components of these links are taken. A tile whose sets now belong to one component is done: no
-   further pair in it can change a component. In the others the components' least sets are compared with the
-   tile's, and components are taken again.
+   further pair in it can change a component. In the others, in TURNS rounds, a set of each component is
+   compared with one of the largest, and components are taken again.
 5. In tiles that still hold several components all pairs of different ones are compared, bitmaps first, in
    blocks; what passes is intersected exactly. Tiles of the same sets are looked at once.
 So every link between sets of different components is found, and a group of many copies costs a comparison
@@ -38,6 +38,8 @@ SKETCH_BITS = 22
 LEAST_BITS = 256
 #: Sets compared with one leader in a task; sets in a block of a tile.
 STAR, BLOCK = 512, 1024
+#: Rounds of stars over components before all pairs of what is left are compared.
+TURNS = 4
 #: Parts of a frequent token's postings.
 SALTS = 64
 #: Requests for texts up to this count (under 10 MB) are broadcast; more are joined by a shuffle.
@@ -64,9 +66,10 @@ def _fingerprint(own: np.ndarray) -> int:
 def _signature(own: np.ndarray) -> bytes:
     """A bit is the parity of the elements hashed to it, so two signatures differ in at most as many bits as the sets in elements.
 
-    There are at least as many bits as elements (a power of two), so large sets' signatures tell as much as small ones'.
+    There are at least twice as many bits as elements (a power of two), so large sets' signatures tell as much as
+    small ones', and few bits hide a difference.
     """
-    width = max(LEAST_BITS, 1 << (len(own) - 1).bit_length())
+    width = max(LEAST_BITS, 1 << (2 * len(own) - 1).bit_length())
     odd = np.bincount((own >> np.uint64(20)).astype(np.int64) & (width - 1), minlength=width) & 1
     return np.packbits(odd.astype(bool)).tobytes()
 
@@ -271,10 +274,20 @@ def _mixed_tiles(tiles: DataFrame, of: DataFrame) -> DataFrame:
     return staged(own.join(kinds, "token"), "mixed-tiles")
 
 
-def _next_stars(mixed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a tile's least set of each component with the tile's least set b."""
-    heads = mixed.groupBy("token", "component").agg(F.min("sid").alias("a"), F.min("first").alias("b"))
-    return heads.filter("a <> b").select("a", "b").distinct()
+def _next_stars(mixed: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b): of each tile one set b of its largest component, and one set a of each other component.
+
+    Which ones, a hash decides that differs in each turn, so a component that missed one pivot meets another.
+    """
+    heads = mixed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min_by("sid", F.xxhash64("sid", F.lit(turn))).alias("a"))
+    pivots = heads.groupBy("token").agg(F.max_by("a", F.struct("n", "component")).alias("b"))
+    return heads.join(pivots, "token").filter("a <> b").select("a", "b").distinct()
+
+
+def _unchecked(found: DataFrame, checked: DataFrame) -> DataFrame:
+    """The pairs of found that checked doesn't have in either order."""
+    either = [F.greatest("a", "b").alias("__x"), F.least("a", "b").alias("__y")]
+    return found.select("a", "b", *either).join(checked.select(*either), ["__x", "__y"], "left_anti").select("a", "b")
 
 
 def _other_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
@@ -357,11 +370,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     checked = staged(_pass_signatures(pairs, sets), "pairs")
     links = _links(checked, sets, docs, key)
     of = components(links)
-    # stars over the components that are left, then whatever pairs are left
-    for find in (_next_stars, lambda mixed: _other_pairs(mixed, sets)):
-        found = staged(find(_mixed_tiles(tiles, of)), "more-pairs")
-        found = found.join(checked, ["a", "b"], "left_anti")
-        more = staged(_pass_signatures(found, sets) if find is _next_stars else found, "more-pairs")
+    # stars over the components that are left, while they find links; then whatever pairs are left
+    for turn in range(TURNS + 1):
+        mixed = _mixed_tiles(tiles, of)
+        found = staged(_next_stars(mixed, turn) if turn < TURNS else _other_pairs(mixed, sets), "found-pairs")
+        found = _unchecked(found, checked)
+        more = staged(_pass_signatures(found, sets) if turn < TURNS else found, "more-pairs")
         if more.limit(1).count():
             checked = checked.unionByName(more)
             links = links.unionByName(_links(more, sets, docs, key))
