@@ -1,11 +1,10 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit verification.
-
-Texts are compared as normalised bytes: A-Z lower-cased, each run of other ASCII than letters and digits one
-space. CGK walks over a string with shared random bits: a step writes the current byte and moves on or stays,
-as the bit for (step, byte) says; strings a few edits apart fall into step again, so their walks agree in most
-places. Windows start at words; those with too few of the benchmark's Q-grams can't hold an item (see
-Finder) and aren't walked. Places drawn from the walks form the keys of TABLES hash tables; a window that
-shares a key with an item is verified by its exact edit distance.
+"""Benchmark decontamination: counts of disjoint item pieces along diagonals, exact edit verification.
+
+Texts are compared as normalised bytes: letters lower-cased, each run of other ASCII than letters and digits
+one space. An item is cut into disjoint pieces of a few bytes; k edits change k pieces at most, and the others
+stand in the text on diagonals (text position - item position) at most k apart. So each place where enough pieces
+of an item lie in such a band of diagonals is a candidate, wherever it starts, and no place with up to EDITS is
+missed. Candidates are verified by their exact edit distance.
 """
 
 from __future__ import annotations
@@ -24,34 +23,67 @@ from . import words
 
 #: An item is found where at most this share of its bytes is edited.
 EDITS = 0.15
-#: Windows are walked if their Q-grams could survive this share of edits wherever they fall.
-SPREAD, Q = 0.08, 10
-#: Bytes sampled for a key; keys for a window, from WALKS walks. With a walk agreeing in 3 of 5 places (edits of
-#: SPREAD, worst placed), a key agrees with 0.6 ** 6 and one of 64 with 0.95; see recall().
-SAMPLE, TABLES, WALKS = 6, 64, 4
-#: Item lengths within this ratio share their sampled places.
-RATIO = 1.25
-#: Windows walked at once, and bytes of text handled at once.
-WINDOWS, CHUNK = 8192, 3 << 20
+#: Normalised bytes of the shortest item that is looked for.
+Q = 10
+#: Lengths of pieces; an item takes the first that leaves it a whole piece after all edits.
+PIECES = (5, 4, 3)
+#: Text positions and counters of a slice; candidates verified at once; bytes of text handled at once.
+SLICE, CELLS, BATCH, CHUNK = 1 << 16, 1 << 21, 4096, 3 << 20
+#: Bands side by side that are verified together.
+RUN = 6
 #: Bytes of benchmark text handled in one pass; a larger benchmark takes more passes.
 BLOCK_BYTES = 4 << 20
 
 _PLAIN = np.array([b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256)], np.uint8)
 
 
-def recall(agreement: float) -> float:
-    """The chance that a window is a candidate if its walks agree with the item's in this share of places."""
-    return 1 - (1 - agreement**SAMPLE) ** TABLES
+def _fold() -> np.ndarray:
+    """Code point -> its lower-case letter; where that takes more bytes, the lower-case letter becomes the other."""
+    out = np.arange(0x20000, dtype=np.uint32)
+    for c in (chr(i) for i in range(128, len(out)) if not 0xD800 <= i < 0xE000):
+        low = c.lower()[0]
+        if low != c:
+            one, other = (c, low) if len(low.encode()) <= len(c.encode()) else (low, c)
+            out[ord(one)] = ord(other)
+    return out
+
+
+_FOLD = _fold()
+
+
+def _folded(data: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """Writes the folded characters beyond ASCII to plain; returns which bytes are left over."""
+    over = np.zeros(len(data), bool)
+    at = np.flatnonzero(data >= 0xC0)
+    size = 2 + (data[at] >= 0xE0).astype(np.int64) + (data[at] >= 0xF0)
+    point = data[at].astype(np.uint32) & (0x7F >> size).astype(np.uint32)
+    for k in (1, 2, 3):
+        more = size > k
+        point[more] = point[more] << 6 | (data[at[more] + k] & 0x3F)
+    new = np.where(point < len(_FOLD), _FOLD[np.minimum(point, len(_FOLD) - 1)], point)
+    changed = new != point
+    at, size, new = at[changed], size[changed], new[changed]
+    length = 1 + (new >= 0x80).astype(np.int64) + (new >= 0x800) + (new >= 0x10000)
+    lead = np.array([0, 0, 0xC0, 0xE0, 0xF0], np.uint32)[length]
+    plain[at] = lead | new >> (6 * (length - 1)).astype(np.uint32)
+    for k in (1, 2, 3):
+        more = length > k
+        plain[at[more] + k] = 0x80 | new[more] >> (6 * (length[more] - 1 - k)).astype(np.uint32) & 0x3F
+        over[at[(size > k) & ~more] + k] = True
+    return over
 
 
 def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(normalised bytes, row offsets in them, place of each in data)."""
     plain = _PLAIN[data]
+    at = np.flatnonzero(~_folded(data, plain))
+    rows = np.searchsorted(at, offsets)
+    plain = plain[at]
     keep = np.ones(len(plain), bool)
     keep[1:] = (plain[1:] != 32) | (plain[:-1] != 32)
-    keep[offsets[:-1][offsets[:-1] < len(plain)]] = True
-    at = np.flatnonzero(keep)
-    return plain[at], np.searchsorted(at, offsets), at
+    keep[rows[:-1][rows[:-1] < len(plain)]] = True
+    own = np.flatnonzero(keep)
+    return plain[own], np.searchsorted(own, rows), at[own]
 
 
 def edit_search(item: bytes, text: bytes) -> tuple[int, int]:
@@ -76,127 +108,164 @@ def edit_search(item: bytes, text: bytes) -> tuple[int, int]:
     return best, end
 
 
+def least_edits(items: list[bytes], of: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The edit distance of items[of] to the nearest stretch of text[start:end], for many at once: edit_search in words of 64 rows."""
+    out = np.zeros(len(of), np.int64)
+    sizes = np.array([len(x) for x in items], np.int64)
+    one, top, zero = np.uint64(1), np.uint64(63), np.uint64(0)
+    words_of = -(-sizes[of] // 64)
+    for w in np.unique(words_of).tolist():
+        group = np.flatnonzero(words_of == w)
+        group = group[np.argsort(of[group], kind="stable")]
+        step = max(64, BATCH // w)
+        for part in (group[a : a + step] for a in range(0, len(group), step)):
+            own, mine = np.unique(of[part], return_inverse=True)
+            eq_of = np.zeros((w, len(own), 257), np.uint64)
+            for j, i in enumerate(own.tolist()):
+                place = np.arange(len(items[i]))
+                np.bitwise_or.at(eq_of, (place >> 6, j, np.frombuffer(items[i], np.uint8)), one << (place & 63).astype(np.uint64))
+            eq_of = eq_of.reshape(w, -1)
+            last = ((sizes[of[part]] - 1) & 63).astype(np.uint64)
+            plus, minus = np.full((w, len(part)), ~zero), np.zeros((w, len(part)), np.uint64)
+            score = sizes[of[part]].copy()
+            best = score.copy()
+            a, b = starts[part], ends[part]
+            for j in range(int((b - a).max(initial=0))):
+                code = np.where(a + j < b, text[np.minimum(a + j, len(text) - 1)], np.int64(256)) + mine * 257
+                rise = fall = np.zeros(len(part), np.uint64)
+                for k in range(w):
+                    eq, p, m = eq_of[k][code], plus[k], minus[k]
+                    vertical = eq | m
+                    eq = eq | fall
+                    across = (((eq & p) + p) ^ p) | eq
+                    up, down = m | ~(across | p), p & across
+                    if k == w - 1:
+                        score += ((up >> last) & one).astype(np.int64) - ((down >> last) & one).astype(np.int64)
+                    up, rise = up << one | rise, up >> top
+                    down, fall = down << one | fall, down >> top
+                    plus[k], minus[k] = down | ~(vertical | up), up & vertical
+                np.minimum(best, score, out=best)
+            out[part] = best
+    return out
+
+
 class Finder:
     """Finds items in normalised bytes.
 
-    A window of an item's length n that differs by k edits keeps n - Q + 1 - kQ of the item's Q-grams at least;
-    a window is walked if it has as many of the benchmark's Q-grams as k = SPREAD * n leaves. Edits that fall
-    together, as in a changed word, cost fewer grams, so up to EDITS of such are found too.
+    An item of n bytes with up to k = EDITS * n edits keeps n // piece - k of its pieces at least. Their diagonals
+    differ by k at most, so they are counted in bands of k diagonals or more that start at each multiple of grain.
     """
 
     kept: dict[str, Finder] = {}
 
-    def __init__(self, items: list[bytes], seed: int = 7):
+    def __init__(self, items: list[bytes]):
         self.items = [x for x in items if len(x) >= Q]
         self.of = [i for i, x in enumerate(items) if len(x) >= Q]
-        sizes = np.array([len(x) for x in self.items], np.int64)
-        band = np.floor(np.log(np.maximum(sizes, 1)) / math.log(RATIO)).astype(np.int64)
-        flat = np.frombuffer(b"".join(self.items), np.uint8)
-        ends = np.cumsum(sizes)
-        grams = self._grams(flat) if len(flat) >= Q else np.zeros(0, np.uint64)
-        inside = np.ones(len(grams), bool)
-        for e in ends[:-1]:
-            inside[max(0, e - Q + 1) : e] = False
-        grams = np.unique(grams[inside[: len(grams)]])
-        self.bits = max(16, (64 * max(1, len(grams))).bit_length())
-        self.seen = np.zeros(1 << self.bits, bool)
-        self.seen[self._cell(grams)] = True
-        random = np.random.default_rng(seed)
-        bands = [np.flatnonzero(band == b) for b in np.unique(band)]
-        least = [int(sizes[mine].min()) for mine in bands]
-        #: For each walk: step -> the rows of keys (band * TABLES + table) that sample it.
-        self.plan: list[dict[int, list[int]]] = [{} for _ in range(WALKS)]
-        for b, n in enumerate(least):
-            for t in range(TABLES):
-                for place in random.choice(max(SAMPLE, int(1.8 * n)), SAMPLE, replace=False).tolist():
-                    self.plan[t % WALKS].setdefault(place, []).append(b * TABLES + t)
-        self.move = random.integers(0, 2, (WALKS, 1 + max((max(p) for p in self.plan if p), default=0), 256), np.uint8)
-        self.bands = []
-        for b, (mine, n) in enumerate(zip(bands, least, strict=True)):
-            need = max(1, n - Q + 1 - math.floor(SPREAD * n) * Q)
-            keys = self._keys(flat, (ends - sizes)[mine], ends[mine], len(bands))[b * TABLES : (b + 1) * TABLES]
-            order = np.argsort(keys, axis=1, kind="stable")
-            self.bands.append((n, need, np.take_along_axis(keys, order, 1), mine[order]))
+        self.sizes = np.array([len(x) for x in self.items], np.int64)
+        self.most = np.array([math.floor(EDITS * len(x)) for x in self.items], np.int64)
+        self.shift = np.array([max(0, len(x).bit_length() - 4) for x in self.items], np.int64)
+        piece = [next(q for q in PIECES if len(x) // q > k or q == PIECES[-1]) for x, k in zip(self.items, self.most.tolist(), strict=True)]
+        self.need = np.array([max(1, len(x) // q - k) for x, q, k in zip(self.items, piece, self.most.tolist(), strict=True)], np.int64)
+        #: Fine bins of diagonals in a band.
+        self.bins = -(-self.most // (1 << self.shift)) + 1
+        self.reach = int((self.sizes + self.most).max(initial=0))
+        #: piece length -> (bits, first posting of each cell and the end, item of each posting, place in it).
+        self.postings = {}
+        for q in sorted(set(piece)):
+            found = [(int.from_bytes(x[p : p + q], "little"), i, p) for i, x in enumerate(self.items) if piece[i] == q for p in range(0, len(x) - q + 1, q)]
+            gram, item, place = (np.array(c, t) for c, t in zip(zip(*found, strict=True), (np.uint64, np.int64, np.int64), strict=True))
+            bits = max(16, (32 * len(found)).bit_length())
+            cell = self._cell(gram, bits)
+            order = np.argsort(cell, kind="stable")
+            first = np.zeros((1 << bits) + 1, np.int32)
+            np.cumsum(np.bincount(cell, minlength=1 << bits), out=first[1:])
+            self.postings[q] = (bits, first, item[order], place[order])
 
     @staticmethod
-    def _grams(x: np.ndarray) -> np.ndarray:
-        up, down = words._Powers.of(len(x) + 1)
-        total = np.zeros(len(x) + 1, np.uint64)
-        np.cumsum((x.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-        return (total[Q:] - total[:-Q]) * down[: len(x) - Q + 1]
-
-    def _cell(self, grams: np.ndarray) -> np.ndarray:
-        return ((grams ^ (grams >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.intp)
-
-    def _keys(self, x: np.ndarray, starts: np.ndarray, ends: np.ndarray, bands: int) -> np.ndarray:
-        """A row of keys for each band and table; one column for each window. Beyond a text's end the walk writes 0."""
-        keys = np.zeros((bands * TABLES, len(starts)), np.uint64)
-        padded = np.concatenate([x, np.zeros(1, np.uint8)])
-        for plan, move in zip(self.plan, self.move, strict=True):
-            at = starts.copy()
-            for step in range(max(plan) + 1):
-                byte = padded[at]
-                byte[at >= ends] = 0
-                for k in plan.get(step, ()):
-                    keys[k] = (keys[k] << np.uint64(8)) | byte
-                at += move[step][byte]
-                np.minimum(at, ends, out=at)
-        return keys
-
-    def _candidates(self, x: np.ndarray, offsets: np.ndarray) -> set[tuple[int, int, int]]:
-        """(row, start, item) of windows that share a key with an item."""
-        if len(x) < Q or not self.items:
-            return set()
-        hit = np.zeros(len(x) + 1, np.int64)
-        np.cumsum(self.seen[self._cell(self._grams(x))], out=hit[1 : len(x) - Q + 2])
-        hit[len(x) - Q + 2 :] = hit[len(x) - Q + 1]
-        first = np.zeros(len(x), bool)
-        first[1:] = (x[1:] != 32) & (x[:-1] == 32)
-        first[offsets[:-1][offsets[:-1] < len(x)]] = True
-        starts = np.flatnonzero(first)
-        row = np.searchsorted(offsets, starts, "right") - 1
-        fits = []
-        for least, need, *_ in self.bands:
-            stop = np.minimum(starts + least, offsets[row + 1])
-            fits.append(hit[np.maximum(stop - Q + 1, starts)] - hit[starts] >= need)
-        fits = np.array(fits)
-        out: set[tuple[int, int, int]] = set()
-        some = np.flatnonzero(fits.any(0))
-        for a in range(0, len(some), WINDOWS):
-            good = some[a : a + WINDOWS]
-            found = self._keys(x, starts[good], offsets[row[good] + 1], len(self.bands))
-            for b, (_, _, keys, items) in enumerate(self.bands):
-                mine = np.flatnonzero(fits[b, good])
-                if not len(mine):
+    def _cell(grams: np.ndarray, bits: int) -> np.ndarray:
+        return (grams * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.intp)
+
+    def _bands(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, first diagonal, diagonal after the last) of the bands with enough of an item's pieces."""
+        size = max(self.reach, min(SLICE, CELLS // int((1.0 / (1 << self.shift)).sum() + 1)))
+        padded = np.concatenate([x, np.zeros(8, np.uint8)])
+        longest = int(self.sizes.max())
+        columns = ((size + self.reach + longest) >> self.shift) + 2 + self.bins
+        base = np.cumsum(columns) - columns
+        out = []
+        for start in range(-(-longest // size) * -size, len(x), size):
+            # diagonals from start to start + size: text from there to reach beyond
+            a, b = max(0, start), min(len(x), start + size + self.reach)
+            if a >= b:
+                continue
+            eight = np.ndarray((b - a,), np.dtype("<u8"), padded, a, (1,))
+            total = np.zeros(int(columns.sum()), np.int64)
+            for q, (bits, first, item, place) in self.postings.items():
+                cell = self._cell(eight[: max(0, b - a - q + 1)] & np.uint64((1 << (8 * q)) - 1), bits)
+                many = first[cell + 1] - first[cell]
+                at = np.flatnonzero(many)
+                many = many[at]
+                ends = np.cumsum(many)
+                if not len(at):
                     continue
-                for t in range(TABLES):
-                    own = found[b * TABLES + t, mine]
-                    lo, hi = np.searchsorted(keys[t], own, "left"), np.searchsorted(keys[t], own, "right")
-                    for k in np.flatnonzero(hi > lo).tolist():
-                        g = good[mine[k]]
-                        out.update((int(row[g]), int(starts[g]), int(i)) for i in items[t, lo[k] : hi[k]])
-        return out
+                post = np.repeat(first[cell[at]] - (ends - many), many) + np.arange(ends[-1])
+                own = item[post]
+                diagonal = np.repeat(at + a - start, many) - place[post]
+                inside = diagonal >= 0
+                own, diagonal = own[inside], diagonal[inside]
+                total += np.bincount(base[own] + (diagonal >> self.shift[own]), minlength=len(total))
+            total = np.concatenate([[0], np.cumsum(total)])
+            for shift, bins in sorted(set(zip(self.shift.tolist(), self.bins.tolist(), strict=True))):
+                mine = np.flatnonzero((self.shift == shift) & (self.bins == bins))
+                n = -(-size >> shift) + 1
+                places = base[mine][:, None] + np.arange(n)
+                i, d = np.nonzero(total[places + bins] - total[places] >= self.need[mine][:, None])
+                out.append((mine[i], (d << shift) + start, (d + bins << shift) + start))
+        return tuple(np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out, strict=True) if out else ((),) * 3))
+
+    def _candidates(self, x: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(row, item, start, end) of stretches that hold an item."""
+        if not len(x) or not self.items:
+            return []
+        item, lo, hi = self._bands(x)
+        a, b = np.maximum(lo, 0), np.minimum(hi + self.sizes[item], len(x))
+        good = a < b
+        item, a, b = item[good], a[good], b[good]
+        first, last = np.searchsorted(offsets, a, "right") - 1, np.searchsorted(offsets, b, "left") - 1
+        many = last - first + 1
+        row = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        item, a, b = (np.repeat(c, many) for c in (item, a, b))
+        a, b = np.maximum(a, offsets[row]), np.minimum(b, offsets[row + 1])
+        fits = b - a >= self.sizes[item] - self.most[item]
+        found = np.unique(np.column_stack([row, item, a, b])[fits], axis=0)
+        if not len(found):
+            return []
+        # bands side by side are tried together first: what none of them holds, their union doesn't
+        row, item, a, b = found.T
+        new = np.ones(len(found), bool)
+        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (a[1:] - a[:-1] > 2 << self.shift[item[1:]])
+        at = np.arange(len(found))
+        new |= (at - np.maximum.accumulate(np.where(new, at, 0))) % RUN == 0
+        first = np.flatnonzero(new)
+        held = least_edits(self.items, item[first], x, a[first], np.maximum.reduceat(b, first)) <= self.most[item[first]]
+        found = found[np.repeat(held, np.diff([*first, len(found)]))]
+        row, item, a, b = found.T
+        good = least_edits(self.items, item, x, a, b) <= self.most[item]
+        return [tuple(f) for f in found[good].tolist()]
 
     def find(self, x: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, edits, start, end) in x; overlapping finds of one item in a row count once, the best of them."""
         best: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         raw = x.tobytes()
-        for row, start, i in sorted(self._candidates(x, offsets)):
+        for row, i, lo, hi in self._candidates(x, offsets):
             item, kept = self.items[i], best.setdefault((row, i), [])
-            n, lo, hi = len(item), int(offsets[row]), int(offsets[row + 1])
-            if kept and kept[-1][0] == 0 and start < kept[-1][2]:
-                continue
-            if raw[start : start + n] == item and start + n <= hi:
-                edits, a, b = 0, start, start + n
-            else:
-                most = math.floor(EDITS * n)
-                a = max(lo, start - most)
-                text = raw[a : min(hi, start + n + most)]
+            a = raw.find(item, lo, hi)
+            edits, b = 0, a + len(item)
+            if a < 0:
+                text = raw[lo:hi]
                 edits, end = edit_search(item, text)
-                if edits > most:
-                    continue
                 _, back = edit_search(item[::-1], text[:end][::-1])
-                a, b = a + end - back, a + end
+                a, b = lo + end - back, lo + end
             if kept and a < kept[-1][2]:
                 kept[-1] = min(kept[-1], (edits, a, b))
             else:
@@ -231,8 +300,8 @@ def _items(rows: list[dict]) -> list[bytes]:
 def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, item_id, edits, span_start, span_end (code points of the text) for each place of a row that holds an item.
 
-    An item is held where at most EDITS of its normalised bytes are edited (exactly verified); candidates come
-    from the LSH, whose recall is in SAMPLE, TABLES, WALKS. Overlapping finds of one item count once. Null and
+    An item is held where at most EDITS of its normalised bytes are edited; every such place is found (see
+    Finder) and exactly verified. Overlapping finds of one item count once. Null and
     empty texts hold nothing, nor do items that are null or have under Q normalised bytes; items with equal
     texts are all reported, rows that repeat as well. Texts are searched whole, however long; other columns
     aren't read. A benchmark beyond BLOCK_BYTES takes one pass over docs for each block of items.
@@ -253,7 +322,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> Da
                     lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                     row, item, edits, a, b = (np.array(c) for c in zip(*found, strict=True))
                     base = lead[offsets[row]]
-                    span = [lead[place[a]] - base, lead[place[b - 1] + 1] - base]
+                    span = [lead[place[a] + 1] - 1 - base, lead[place[b - 1] + 1] - base]
                     keys = batch.column(0).take(pa.array(row + first))
                     yield pa.RecordBatch.from_arrays([keys, pa.array([ids[i] for i in item], item_type), pa.array(edits, pa.int32()), *(pa.array(s, pa.int64()) for s in span)], [key, "item_id", "edits", "span_start", "span_end"])
 

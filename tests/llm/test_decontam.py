@@ -86,3 +86,33 @@ def test_blocks_of_a_large_benchmark_give_the_same(spark, items, monkeypatch):
     whole = {(r.doc_id, r.item_id) for r in D.find_items(docs, bench).collect() if r.edits == 0}
     monkeypatch.setattr(D, "BLOCK_BYTES", 10_000)
     assert whole and whole == {(r.doc_id, r.item_id) for r in D.find_items(docs, bench).collect() if r.edits == 0}
+
+
+@pytest.mark.parametrize("rate", [0.10, 0.12, 0.15])
+def test_every_item_up_to_the_limit_is_found(items, clean, rate):
+    r, texts, own = random.Random(8), [], D._items([{"text": t} for _, t in items])
+    for k in range(100):
+        s = [bytes([b]) for b in own[k]]
+        for p in r.sample(range(len(s)), int(rate * len(s))):
+            s[p] = r.choice([b"x", b"", s[p] + b"x"])
+        base = clean[k]
+        texts.append(base[:500] + b"".join(s).decode(errors="ignore") + base[500:])
+    held = [D.edit_search(own[k], D._items([{"text": t}])[0])[0] <= D.EDITS * len(own[k]) for k, t in enumerate(texts)]
+    got = {(r, i) for r, i, _ in found(D.Finder(own), texts)}
+    assert sum(held) > 50 and all((k, k) in got for k, h in enumerate(held) if h)
+
+
+def test_many_distances_at_once():
+    r = random.Random(9)
+    items = [bytes(r.choice(b"abc") for _ in range(n)) for n in (10, 63, 64, 65, 130, 200)]
+    text = bytes(r.choice(b"abc") for _ in range(600))
+    starts = [r.randrange(500) for _ in range(60)]
+    ends = [s + r.randint(0, 100) for s in starts]
+    of = [k % len(items) for k in range(60)]
+    got = D.least_edits(items, *(D.np.array(c) for c in (of, list(text), starts, ends))).tolist()
+    assert got == [D.edit_search(items[i], text[a:b])[0] for i, a, b in zip(of, starts, ends)]
+
+
+def test_letters_beyond_ascii_have_no_case():
+    text = "Élan ÑANDÚ ÜBER ДОМ ΛΌΓΟΣ ẞ K Ⱥ end of it"
+    assert D._items([{"text": text}]) == D._items([{"text": text.lower().replace("ς", "σ")}])
