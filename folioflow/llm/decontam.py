@@ -1,7 +1,7 @@
 """Benchmark decontamination: counts of disjoint item pieces along diagonals, exact edit verification.
 
-Texts are compared as normalised bytes: letters lower-cased, each run of other ASCII than letters and digits
-one space. An item is cut into disjoint pieces of a few bytes; k edits change k pieces at most, and the others
+Texts are compared as normalised bytes: letters lower-cased, each run of other ASCII than letters and digits and
+of other white space and punctuation one space. An item is cut into disjoint pieces of a few bytes; k edits change k pieces at most, and the others
 stand in the text on diagonals (text position - item position) at most k apart. So each place where enough pieces
 of an item lie in such a band of diagonals is a candidate, wherever it starts, and no place with up to EDITS is
 missed. Candidates are verified by their exact edit distance.
@@ -10,6 +10,7 @@ missed. Candidates are verified by their exact edit distance.
 from __future__ import annotations
 
 import math
+import unicodedata
 import uuid
 from collections.abc import Iterator
 
@@ -38,11 +39,14 @@ _PLAIN = np.array([b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() el
 
 
 def _fold() -> np.ndarray:
-    """Code point -> its lower-case letter; where that takes more bytes, the lower-case letter becomes the other."""
+    """Code point -> space for white space, punctuation and controls, else its lower-case letter; where that takes more bytes, the lower-case letter becomes the other."""
     out = np.arange(0x20000, dtype=np.uint32)
     for c in (chr(i) for i in range(128, len(out)) if not 0xD800 <= i < 0xE000):
         low = c.lower()[0]
-        if low != c:
+        kind = unicodedata.category(c)
+        if kind[0] in "PZ" or kind == "Cc":
+            out[ord(c)] = 32
+        elif low != c:
             one, other = (c, low) if len(low.encode()) <= len(c.encode()) else (low, c)
             out[ord(one)] = ord(other)
     return out

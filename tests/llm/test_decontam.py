@@ -116,3 +116,21 @@ def test_many_distances_at_once():
 def test_letters_beyond_ascii_have_no_case():
     text = "Élan ÑANDÚ ÜBER ДОМ ΛΌΓΟΣ ẞ K Ⱥ end of it"
     assert D._items([{"text": text}]) == D._items([{"text": text.lower().replace("ς", "σ")}])
+
+
+@pytest.mark.parametrize("low,high", [(0x4E00, 0x9FA0), (0x3041, 0x3090), (0x0E01, 0x0E2F)])
+def test_item_inside_unspaced_text(spark, low, high):
+    r = random.Random(low)
+    text = "".join(chr(r.randrange(low, high)) for _ in range(600))
+    item = text[201:260]
+    edited = item[:20] + "".join(chr(r.randrange(low, high)) for _ in range(5)) + item[25:]
+    docs = spark.createDataFrame([(1, text), (2, text.replace(item, edited)), (3, text.replace(item, ""))], "doc_id long, text string")
+    got = D.find_items(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert sorted((g.doc_id, g.edits > 0) for g in got) == [(1, False), (2, True)]
+    assert all((g.span_start, g.span_end) == (201, 260) for g in got)
+
+
+def test_white_space_and_punctuation_of_any_script_separate():
+    text = "one two three four"
+    for c in " 　 、。—\u0085":
+        assert D._items([{"text": text.replace(" ", c + " " + c)}]) == [text.encode()]
