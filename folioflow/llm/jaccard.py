@@ -387,7 +387,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return out.select(key, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col(key)).alias("component_id"))
 
 
+def _row_id(docs: DataFrame, key: str):
+    """What tells rows apart: the key, null as the greatest, and the text. Never null."""
+    return F.struct(F.col(key).isNull().alias("none"), F.coalesce(F.col(key), F.lit("0").cast(docs.schema[key].dataType)).alias("key"), F.md5(F.coalesce("text", F.lit(""))).alias("text"))
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """docs, with all columns, without the rows whose component has a smaller key."""
-    drop = near_duplicates(docs, key).filter(~F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("__drop")).distinct()
-    return docs.join(drop, F.col(key).eqNullSafe(F.col("__drop")), "left_anti")
+    """docs, with all columns: of each component one row, with the least key. Rows without shingles stay.
+
+    Each row is decided by its key and text, so rows that share a key, or have none, don't share a fate; of rows
+    that repeat both, one stays.
+    """
+    rows = docs.withColumn("__id", _row_id(docs, key))
+    found = staged(near_duplicates(rows.select("__id", "text"), "__id"), "row-decisions")
+    drop = found.filter("__id <> component_id").select("__id").distinct()
+    out = rows.join(drop, "__id", "left_anti")
+    if found.filter("n_shingles > 0").groupBy("__id").count().filter("count > 1").limit(1).count():
+        full = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+        out = out.filter(full).dropDuplicates(["__id"]).unionByName(out.filter(~full))
+    return out.select(docs.columns)

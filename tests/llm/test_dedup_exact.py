@@ -40,3 +40,9 @@ def test_edges(spark):
     got = dedup_exact.duplicate_groups(spark.createDataFrame([(None, "a"), (5, "a"), (5, "a"), (None, "b")], schema)).collect()
     assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got if r.doc_id) == [(5, 5, 3, True)] * 2
     assert sorted(((r.keep_id, r.kept) for r in got if r.doc_id is None), key=str) == [(5, False), (None, True)]
+
+
+def test_one_row_of_each_text_stays(spark):
+    df = spark.createDataFrame([(None, "a", 1), (None, "a ", 1), (None, "a", 1), (5, "b", 2), (5, "b", 2), (None, "b", 2), (5, "c", 3), (None, "d", 4)], "doc_id long, text string, n int")
+    got = sorted((r.n, r.doc_id or 0) for r in dedup_exact.drop_exact_duplicates(df).collect())
+    assert got == [(1, 0), (1, 0), (2, 5), (3, 5), (4, 0)]

@@ -85,3 +85,13 @@ def test_components_of_a_chain_and_a_star(spark):
     star = spark.range(101, 160).select(F.col("id").alias("a"), F.lit(100).cast("long").alias("b"))
     got = {r.id: r.component for r in components.components(links.union(star)).collect()}
     assert got == {i: 0 for i in range(60)} | {i: 100 for i in range(100, 160)}
+
+
+def test_keep_one_decides_each_row(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen"
+    other = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, text, "gone"), (3, text + " more", "keyed"), (None, "clean and unrelated", "clean"), (None, other, "first of nulls"), (None, other, "first of nulls")]
+    rows += [(8, text + " so", "gone"), (8, "another text under that key", "apart"), (9, "said again", "again"), (9, "said again", "again"), (7, None, "blank"), (7, None, "blank")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    got = sorted(r.mark for r in jaccard.keep_one(df).collect())
+    assert got == ["again", "apart", "blank", "blank", "clean", "first of nulls", "keyed"]
