@@ -8,6 +8,8 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import map_arrow
+from .shared import staged
 
-#: The model is fitted on about this many labelled rows, drawn by a hash, and keeps this many (language, word) counts.
+#: For each language the model is fitted on about this many labelled rows, drawn by a hash (all, if there are fewer), and
+#: keeps this many words and n-grams of each length.
 TRAIN_ROWS, TRAIN_WORDS = 20_000, 100_000
 LENGTHS = (4, 3, 2, 1)
+#: Parts of the hash that draws rows.
+DRAW = 1 << 40
 SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Words whose scores a worker remembers.
@@ -40,8 +46,8 @@ class Model:
     grams: dict[int, dict[str, list[float]]]
 
     @classmethod
-    def fit(cls, counts: list[tuple[str, str, int]]) -> Model:
-        """counts: (language, word, occurrences)."""
+    def fit(cls, counts: list[tuple[str, str, int]], grams: list[tuple[str, int, str, int]] | None = None) -> Model:
+        """counts: (language, word, occurrences); grams: (language, length, n-gram, occurrences), by default those of counts."""
         languages = sorted({x[0] for x in counts})
         at = {x: i for i, x in enumerate(languages)}
 
@@ -49,14 +55,15 @@ class Model:
             total = [sum(v[i] for v in found.values()) + SMOOTHING * len(found) for i in range(len(languages))]
             return {k: [math.log((c + SMOOTHING) / t) for c, t in zip(v, total, strict=True)] for k, v in found.items()}
 
-        def table(pieces) -> dict[str, list[float]]:
+        def table(pieces: Iterator[tuple[str, str, int]]) -> dict[str, list[float]]:
             found: dict[str, list[float]] = {}
-            for language, word, n in counts:
-                for piece in pieces(word):
-                    found.setdefault(piece, [0.0] * len(languages))[at[language]] += n
+            for language, piece, n in pieces:
+                found.setdefault(piece, [0.0] * len(languages))[at[language]] += n
             return logs(found)
 
-        return cls(languages, table(lambda w: [w]), {n: table(lambda w, n=n: _grams(w, n)) for n in LENGTHS})
+        if grams is None:
+            grams = [(language, n, g, c) for language, word, c in counts for n in LENGTHS for g in _grams(word, n)]
+        return cls(languages, table(iter(counts)), {n: table((x, g, c) for x, m, g, c in grams if m == n) for n in LENGTHS})
 
     def score(self, word: str) -> list[float]:
         """Log frequency in each language: of the word, or else the mean of its known n-grams of the greatest n that has any."""
@@ -104,15 +111,30 @@ class Scorer(dict):
         return names, sure
 
 
+def _top(counts: DataFrame, group: list[str], most: int) -> list[tuple]:
+    """The rows of each group with the greatest n, at most so many; a group within that needs no order."""
+    sizes = {tuple(r)[:-1]: r["count"] for r in counts.groupBy(*group).count().collect()}
+    large = [k for k, n in sizes.items() if n > most]
+    of = lambda k: reduce(and_, (F.col(c) == F.lit(v) for c, v in zip(group, k, strict=True)))
+    small = counts.filter(~reduce(or_, (of(k) for k in large))) if large else counts
+    rest = [c for c in counts.columns if c != "n"]
+    parts = [small] + [counts.filter(of(k)).orderBy(F.desc("n"), *rest).limit(most) for k in large]
+    return [r for part in parts for r in zip(*(c.to_pylist() for c in part.toArrow().columns), strict=True)]
+
+
 def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS, key: str = "doc_id") -> Model:
-    """Fit on docs (key, text, lang); key only draws the sample, so that copies of a text are drawn apart. Rows with a null in either are left out. No rows give a model that knows nothing.
+    """Fit on docs (key, text, lang); key only draws the sample, so that copies of a text are drawn apart. Rows with a null text or lang are left out. No rows give a model that knows nothing.
 
-    rows and words bound what is drawn and kept, so the model has one size for any corpus. Words are counted
-    over whole texts, on the executors; only the kept counts come to the driver.
+    rows and words bound what is drawn and kept for each language, so a language's part depends on no other and not
+    on the size of the corpus. Words are counted over whole texts and n-grams over all these words, on the
+    executors; only the kept counts come to the driver.
     """
     good = docs.select("text", "lang", key).filter("text is not null and lang is not null")
-    there = good.count()
-    share = F.pmod(F.xxhash64(key), F.lit(1_000_000)) < F.lit(math.ceil(1_000_000 * min(1.0, rows / max(there, 1))))
+    there = good.groupBy("lang").count().filter(F.col("count") > rows).collect()
+    drawn = F.pmod(F.xxhash64(key, F.when(F.col(key).isNull(), F.col("text"))), F.lit(DRAW))
+    if there:
+        shares = F.create_map(*(F.lit(x) for r in there for x in (r["lang"], math.ceil(DRAW * rows / r["count"]))))
+        good = good.filter(drawn < F.coalesce(shares[F.col("lang")], F.lit(DRAW)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,9 +145,21 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS, key
             keys = list(found)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "word", "n"])
 
-    counts = map_arrow(good.filter(share).select("text", "lang"), count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "lang", "word").limit(words)
-    return Model.fit([(r.lang, r.word, r.n) for r in top.collect()])
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for length in LENGTHS:
+                    for gram in _grams(word, length):
+                        found[lang, length, gram] += n
+            keys = list(found)
+            kinds = (pa.string(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in keys], t) for i, t in enumerate(kinds)), pa.array(list(found.values()), pa.int64())], ["lang", "length", "gram", "n"])
+
+    counts = map_arrow(good.select("text", "lang"), count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = staged(counts, "word-counts")
+    grams = staged(map_arrow(counts, cut, "lang string, length int, gram string, n long").groupBy("lang", "length", "gram").agg(F.sum("n").alias("n")), "gram-counts")
+    return Model.fit(_top(counts, ["lang"], words), _top(grams, ["lang", "length"], words))
 
 
 def _scorer(box) -> Scorer:

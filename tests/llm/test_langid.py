@@ -39,3 +39,19 @@ def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([(1, None, "en"), (2, "x", None)], "doc_id long, text string, lang string")
     got = langid.predict(none, langid.train(none)).collect()
     assert {r.lang_pred for r in got} == {"und"} and langid.predict(none.limit(0), langid.train(none)).count() == 0
+
+
+def test_a_rare_language_is_learned_beside_a_frequent_one(spark):
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the house "), F.concat(F.lit("and"), F.hex("id"))).alias("text"), F.lit("en").alias("lang"))
+    few = spark.createDataFrame([(9001, "das haus", "de"), (None, "la maison", "fr")], "doc_id long, text string, lang string")
+    model = langid.train(many.unionByName(few), rows=20, words=5)
+    assert model.languages == ["de", "en", "fr"] and {"das", "haus", "la", "maison", "the", "house"} <= set(model.words)
+    assert sum(v[1] == max(v) for v in model.words.values()) <= 5
+
+
+def test_n_grams_count_words_beyond_the_word_cut(spark):
+    df = spark.createDataFrame([(1, "aa " * 9 + "bb " * 8 + "cc " * 7 + "zaa zab", "en")], "doc_id long, text string, lang string")
+    model = langid.train(df, words=4)
+    assert set(model.words) == {"aa", "bb", "cc", "zaa"} and set(model.grams[1]) == {"a", "b", "c", "z"}
+    a, z = (model.grams[1][x][0] for x in "az")
+    assert round(langid.math.exp(z - a), 6) == round((2 + langid.SMOOTHING) / (21 + langid.SMOOTHING), 6)
