@@ -121,7 +121,7 @@ def page_ranges(spark, sf):
 
 def page_assign(spark, sf):
     items = number.page_ranges(_doc_pages(spark, sf), ["doc_id"], "pages").select("doc_id", "page_from", "page_to")
-    pages = spark.range(1, 2001).withColumnRenamed("id", "page")
+    pages = items.filter("page_from <= page_to").select(F.explode(F.sequence("page_from", "page_to")).alias("page"))
     return match.assign_pages(pages, items).select("page", "doc_id")
 
 

@@ -3,6 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from folioflow import catalog
 from folioflow.operators import check, extract, match, number, score
 from folioflow.operators.check import GateError, Policy
 
@@ -147,3 +148,9 @@ def test_questionnaire_defects(spark, change, code):
 def test_unknown_points_abort(spark):
     with pytest.raises(GateError):
         score.score(score.read_answers(paragraphs(spark)), spark.createDataFrame([(1, "A", 1)], "q int, choice string, points int"), [1, 2, 3, 4], ["path"])
+
+
+def test_page_assign_reaches_the_last_page(spark, tmp_path):
+    spark.range(1, 4).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), (F.col("id") * 1_800_000).alias("n_chars")).write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.page_assign(spark, str(tmp_path)).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("page").alias("last")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1000, 1000), (2, 2000, 3000), (3, 3000, 6000)]
