@@ -23,4 +23,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it again: it cuts the lineage, and outlives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete staged tables whose last reader has run. What was written from them stands in tables of its own."""
+    for table in tables:
+        if table is not None and (path := getattr(table, "staged_path", None)):
+            spark = table.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
