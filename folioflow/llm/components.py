@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import discard, staged
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -19,10 +19,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         near = edges.join(labels, edges["v"] == labels["id"]).groupBy("u").agg(F.min("component").alias("near"))
         hooked = labels.join(near, labels["id"] == near["u"], "left").select("id", F.col("component").alias("old"), F.least("component", "near").alias("new"))
-        hooked = staged(hooked, "hooked")
+        before, hooked = labels, staged(hooked, "hooked")
+        discard(before)
         up = hooked.select(F.col("id").alias("at"), F.col("new").alias("up"))
         moved = hooked.join(up, hooked["new"] == up["at"], "left").select("id", "old", F.least("new", "up").alias("component"))
-        moved = staged(moved, "labels")
-        labels = moved.select("id", "component")
-        if not moved.filter("old <> component").limit(1).count():
-            return labels
+        labels = staged(moved, "labels")
+        discard(hooked)
+        if not labels.filter("old <> component").limit(1).count():
+            discard(edges)
+            out = labels.select("id", "component")
+            out.staged_path = labels.staged_path
+            return out

@@ -2,22 +2,27 @@
 
 1. Shingles that are frequent in the corpus are put last in a common order (all others go by their hash).
 2. Two sets with a similarity of at least 3/4 share a token among the first n - ceil(3n/4) + 1 of each in that
-   order. Each set is posted under these tokens; sets under one token, and of sizes within 3/4, are a tile.
-3. Every set is compared with the first set of its tiles that it meets most often (a star). The bit counts of
-   two parity bitmaps bound the overlap from above; pairs that pass are intersected exactly, from the texts.
+   order. Sizes fall into bands, each BAND times as wide as the one before. A tile is a token and a band: it holds
+   the sets of that band with the token in their first ones, and those of the band below that are large enough
+   to be linked with one in it. So sets that can be linked share a tile, and others of very different size don't.
+3. Every set is compared with a leader of nearly its size from the tiles that it is in, the one that it meets
+   most often (a star). The bit counts of two parity bitmaps bound the overlap from above; pairs that pass are
+   intersected exactly, from the texts.
 4. Connected components of these links are taken. A tile whose sets now belong to one component is done: no
    further pair in it can change a component. In the others, in TURNS rounds, a set of each component is
    compared with one of the largest, and components are taken again.
-5. In tiles that still hold several components all pairs of different ones are compared, bitmaps first, in
-   blocks; what passes is intersected exactly. Tiles of the same sets are looked at once.
+5. In tiles that still hold several components, pairs of different ones are compared by their bitmaps, in blocks.
+   A pair is sent by the first of the tiles that it shares only, and what passes is intersected exactly.
 So every link between sets of different components is found, and a group of many copies costs a comparison
-for each copy, not for each pair. Equal sets are one set throughout.
+for each copy, not for each pair. Equal sets are one set throughout. Tables are deleted when their last reader
+has run.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 from ..shipping import map_arrow
 from . import words
 from .components import components
-from .shared import staged
+from .shared import discard, staged
 
 SHINGLE = 5
 #: Similarity of at least UP / DOWN links two sets.
@@ -36,10 +41,14 @@ UP, DOWN = 3, 4
 FREQUENT, OFTEN = 100_000, 32
 SKETCH_BITS = 22
 LEAST_BITS = 256
+#: A band of sizes ends at BAND times its start.
+BAND = 4
 #: Sets compared with one leader in a task; sets in a block of a tile.
 STAR, BLOCK = 512, 1024
+#: Tiles of a set by which it is told whether a pair has met before (the least ones by hash).
+MARKS = 32
 #: Rounds of stars over components before all pairs of what is left are compared.
-TURNS = 4
+TURNS = 2
 #: Parts of a frequent token's postings.
 SALTS = 64
 #: Requests for texts up to this count (under 10 MB) are broadcast; more are joined by a shuffle.
@@ -100,6 +109,20 @@ def may_link(n_a, n_b, differing):
     return (DOWN * np.minimum(n_a, n_b) >= UP * np.maximum(n_a, n_b)) & (DOWN * overlap >= UP * (n_a + n_b - overlap))
 
 
+def _bands(n: int) -> tuple[int, ...]:
+    """The bands whose tiles a set of this size is posted to: its own, and the next if a set there can be linked with it."""
+    own, start = 0, BAND
+    while start <= n:
+        own, start = own + 1, start * BAND
+    return (own, own + 1) if DOWN * n >= UP * start else (own,)
+
+
+def _posted(own: np.ndarray, band: int) -> np.ndarray:
+    """Tile names of a band's tokens; the lowest bit, which marks frequent tokens, stays."""
+    mixed = words.mixed(own + np.uint64((band * 0x9E3779B97F4A7C15 + 2) & 0xFFFFFFFFFFFFFFFE))
+    return mixed & ~np.uint64(1) | own & np.uint64(1)
+
+
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """Shingles seen often, counted over all whole texts: each task counts in a sketch and reports what stands out."""
 
@@ -124,7 +147,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def signed_sets(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, sid (fingerprint of the shingle set), n, signature, tokens (the prefix; lowest bit: frequent), for each row.
+    """key, row (a hash of key and text), sid (fingerprint of the shingle set), n, signature, tokens (names of its tiles; lowest bit: frequent), for each row.
 
     A copy of a set that the task has seen gets no tokens. A text without words has n = 0.
     """
@@ -137,7 +160,7 @@ def signed_sets(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         maybe[(frequent & mask).astype(np.int64)] = True
         seen: set[int] = set()
         for batch in batches:
-            for a, b, data, offsets in words.chunks(batch.column(1)):
+            for a, b, data, offsets in words.chunks(batch.column(2)):
                 sids, sizes, signatures, tokens = [], [], [], []
                 for own in _sets(data, offsets):
                     n, sid = len(own), _fingerprint(own)
@@ -158,54 +181,60 @@ def signed_sets(docs: DataFrame, key: str = "doc_id") -> DataFrame:
                         own = np.concatenate([own[~last][:first] & ~np.uint64(1), own[last] | np.uint64(1)])[:first]
                     else:
                         own = own[:first] & ~np.uint64(1)
-                    tokens.append(own.view(np.int64))
+                    tokens.append(np.concatenate([_posted(own, band) for band in _bands(n)]).view(np.int64))
                 count = np.array([0 if t is None else len(t) for t in tokens])
                 at = np.concatenate([[0], np.cumsum(count)])
                 flat = np.concatenate([np.zeros(0, np.int64), *(t for t in tokens if t is not None)])
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), lists], [key, "sid", "n", "signature", "tokens"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), lists], [key, "row", "sid", "n", "signature", "tokens"])
 
-    own = docs.select(key, "text")
-    return map_arrow(own, run, f"{key} {own.schema[key].dataType.simpleString()}, sid long, n long, signature binary, tokens array<long>")
+    own = docs.select(key, _row(key), "text")
+    return map_arrow(own, run, f"{key} {own.schema[key].dataType.simpleString()}, row long, sid long, n long, signature binary, tokens array<long>")
 
 
 def _tiles(postings: DataFrame) -> DataFrame:
-    """(token, sid, leader) of every posting that shares its token; a frequent token's postings have a leader in each part."""
+    """(token, sid, leader) of every posting (token, sid, n) that shares its tile; a frequent token's tile has several parts.
+
+    The leader is the first set of the posting's part whose size is within 3/4 of the set's: sizes are cut into
+    stretches of that width. A tile of one set is left out, unless other parts of it may hold more.
+    """
     cell = F.when(F.col("token").bitwiseAND(1) == 1, F.xxhash64("token", F.pmod("sid", F.lit(SALTS)))).otherwise(F.col("token"))
-    dealt = postings.withColumn("cell", cell).repartition("cell").sortWithinPartitions("cell", "token", "sid")
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DOWN / UP)) + 1e-9)
+    dealt = postings.select(cell.alias("cell"), "token", size.cast("long").alias("size"), "sid").repartition("cell").sortWithinPartitions("cell", "token", "size", "sid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 3), np.int64)  # the last run so far: its first row, and whether more are known
-        open_ = False
+        waits = np.zeros((0, 4), np.int64)  # the only set so far of the last tile: it is sent when another comes
+        last, leader = None, 0  # the last row sent, and its leader
 
         def cut(rows: np.ndarray, lead: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
             keep = more | ((rows[:, 1] & 1) == 1)
-            return pa.RecordBatch.from_arrays([pa.array(rows[keep, 1]), pa.array(rows[keep, 2]), pa.array(lead[keep])], ["token", "sid", "leader"])
+            return pa.RecordBatch.from_arrays([pa.array(rows[keep, 1]), pa.array(rows[keep, 3]), pa.array(lead[keep])], ["token", "sid", "leader"])
 
         for batch in batches:
-            rows = np.column_stack([batch.column(i).to_numpy() for i in (0, 1, 2)])
-            rows = np.concatenate([held, rows])
+            rows = np.concatenate([waits, np.column_stack([c.to_numpy() for c in batch.columns])])
+            waits = rows[:0]
+            if last is not None:  # a row that only repeats what has been sent goes
+                rows = rows[int(np.argmax(np.append((rows != last).any(1), True))) :]
             if not len(rows):
                 continue
-            new = np.concatenate([[not open_], (rows[1:] != rows[:-1]).any(1)])  # an open run's first row was sent before
-            lead_at = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
-            size = np.diff(np.concatenate([lead_at, [len(rows)]]))
-            lead = np.repeat(rows[lead_at, 2], size)
-            many = np.repeat((rows[lead_at, 2] != rows[lead_at + size - 1, 2]), size)
-            tail = lead_at[-1]
-            last_many = bool(many[tail])
-            ready = new.copy()
-            if not last_many:
-                ready[tail:] = False  # a lone set so far: it waits
-            if open_ and lead_at[0] == 0:
-                many[: size[0]] = True
-            yield cut(rows[ready], lead[ready], many[ready])
-            open_ = last_many or (open_ and tail == 0)
-            held = rows[tail : tail + 1]
-        if len(held) and not open_:
-            yield cut(held, held[:, 2], np.zeros(1, bool))
-
-    return map_arrow(dealt.select("cell", "token", "sid"), run, "token long, sid long, leader long")
+            rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])]
+            tile = np.concatenate([[0], np.cumsum((rows[1:, :2] != rows[:-1, :2]).any(1))])
+            star = np.flatnonzero(np.concatenate([[True], (rows[1:, :3] != rows[:-1, :3]).any(1)]))
+            lead = np.repeat(rows[star, 3], np.diff([*star, len(rows)]))
+            more = (np.bincount(tile) > 1)[tile]
+            if last is not None and (rows[0, :2] == last[:2]).all():
+                more[tile == 0] = True
+                if rows[0, 2] == last[2]:
+                    lead[: star[1] if len(star) > 1 else len(rows)] = leader
+            if not more[-1]:
+                waits, rows, lead, more = rows[-1:], rows[:-1], lead[:-1], more[:-1]
+            if len(rows):
+                last, leader = rows[-1], int(lead[-1])
+                yield cut(rows, lead, more)
+        if len(waits):
+            yield cut(waits, waits[:, 3], np.zeros(1, bool))
+
+    return map_arrow(dealt, run, "token long, sid long, leader long")
 
 
 def _pass_signatures(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -228,10 +257,9 @@ def _links(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str) -> Data
     stars = pairs.groupBy("b").count().withColumn("parts", F.ceil(F.col("count") / STAR)).select("b", "parts")
     rest = pairs.join(stars, "b").select("b", F.pmod(F.xxhash64("a"), "parts").alias("part"), F.col("a").alias("sid"))
     lead = stars.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("b").alias("sid"))
-    texts = sets.select("sid", F.col("row").alias("row"))
-    requests = staged(rest.unionByName(lead).join(texts, "sid"), "requests")
+    requests = staged(rest.unionByName(lead).join(sets.select("sid", "row"), "sid"), "requests")
     few = requests.count() <= BROADCAST_ROWS
-    own = docs.select(_row(key).alias("row"), "text")
+    own = docs.select(_row(key), "text")
     found = own.join(F.broadcast(requests) if few else requests, "row")
     dealt = found.select("b", "part", "sid", "text").repartition("b", "part").sortWithinPartitions("b", "part", F.col("sid") != F.col("b"))
 
@@ -245,7 +273,7 @@ def _links(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str) -> Data
                     if (b[i], part[i]) != star:
                         star, leader = (b[i], part[i]), None
                     if _fingerprint(own) != sid[i]:
-                        continue  # another text under the same key
+                        continue  # another text under the same hash
                     if sid[i] == b[i]:
                         leader = own
                     elif leader is not None:
@@ -254,23 +282,25 @@ def _links(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str) -> Data
                             linked.append((sid[i], b[i]))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in linked], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return staged(map_arrow(dealt, run, "a long, b long").distinct(), "links")
+    out = staged(map_arrow(dealt, run, "a long, b long").distinct(), "links")
+    discard(requests)
+    return out
 
 
 def _row(key: str):
-    """A key that is never null."""
-    return F.coalesce(F.col(key).cast("string"), F.lit("?"))
+    """What a row is asked for by: a hash of key and text, so that rows without a key, or with one key, don't all answer."""
+    return F.xxhash64(key, "text").alias("row")
 
 
 def _mixed_tiles(tiles: DataFrame, of: DataFrame) -> DataFrame:
-    """(token, sid, component, many, first) of the tiles whose sets belong to more than one component.
+    """(token, sid, component, many) of the tiles whose sets belong to more than one component.
 
-    Tiles of the same sets are one: of their tokens the least stays. first is the tile's least sid.
+    Tiles of the same sets are one: of their tokens the least stays.
     """
     own = tiles.select("token", "sid").join(of, tiles["sid"] == of["id"], "left").select("token", "sid", F.coalesce("component", "sid").alias("component"))
     mark = [F.sum(F.pmod(F.xxhash64("sid", F.lit(k)), F.lit(1 << 31))) for k in range(3)]  # no overflow below 4e9 sets
-    kinds = own.groupBy("token").agg(F.count(F.lit(1)).alias("many"), F.min("sid").alias("first"), F.min("component").alias("lo"), F.max("component").alias("hi"), *(m.alias(f"mark{k}") for k, m in enumerate(mark)))
-    kinds = kinds.filter("lo <> hi").groupBy("many", "first", "mark0", "mark1", "mark2").agg(F.min("token").alias("token")).select("token", "many", "first")
+    kinds = own.groupBy("token").agg(F.count(F.lit(1)).alias("many"), F.min("component").alias("lo"), F.max("component").alias("hi"), *(m.alias(f"mark{k}") for k, m in enumerate(mark)))
+    kinds = kinds.filter("lo <> hi").groupBy("many", "mark0", "mark1", "mark2").agg(F.min("token").alias("token")).select("token", "many")
     return staged(own.join(kinds, "token"), "mixed-tiles")
 
 
@@ -293,27 +323,34 @@ def _unchecked(found: DataFrame, checked: DataFrame) -> DataFrame:
 def _other_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of different components in one tile, whose signatures allow a link.
 
-    A tile larger than BLOCK is cut into blocks of sets, and each pair of blocks is a task's work. Smaller tiles
-    are dealt by their least set: the same pairs meet in one task, which sends them once.
+    A tile larger than BLOCK is cut into blocks of sets, and each pair of blocks is a task's work. A pair that
+    shares several tiles is sent by the one whose mark is the least of those that both sets have; sets carry
+    their MARKS least ones, so that is known unless none of these is shared (then each tile sends the pair).
     """
-    own = mixed.withColumn("blocks", F.ceil(F.col("many") / BLOCK)).join(sets.select("sid", "n", "signature"), "sid").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
+    mark = F.xxhash64("token").alias("mark")
+    marks = mixed.groupBy("sid").agg(F.slice(F.sort_array(F.collect_set(mark)), 1, MARKS).alias("marks"))
+    about = sets.select("sid", "n", "signature").join(marks, "sid")
+    own = mixed.withColumn("blocks", F.ceil(F.col("many") / BLOCK)).join(about, "sid").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    own = own.select("token", "sid", "component", "n", "signature", "block", other.alias("other"), F.when(F.col("blocks") > 1, F.col("token")).otherwise(F.col("first")).alias("deal"))
-    own = own.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "n", "sid", "component", "signature", "deal")
-    dealt = own.repartition("deal", "x", "y").sortWithinPartitions("deal", "token", "x", "y", "n").drop("deal")
+    own = own.select("token", "sid", "component", "n", "signature", "marks", mark, "block", other.alias("other"))
+    own = own.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "n", "sid", "component", "signature", "marks", "mark")
+    dealt = own.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y", "n")
 
-    def pairs(tile: pa.Table) -> list[tuple[int, int]]:
+    def pairs(tile: pa.Table) -> np.ndarray:
         n, sid, component = (tile[c].to_numpy() for c in ("n", "sid", "component"))
         first, second = (tile["block"].to_numpy() == tile[c][0].as_py() for c in ("x", "y"))
         raw = tile["signature"].to_pylist()
+        mark, lists = tile["mark"][0].as_py(), tile["marks"].combine_chunks()
+        count = lists.value_lengths().to_numpy()
+        marks = np.full((len(n), MARKS), np.iinfo(np.int64).max)  # in order; free places are greater than all
+        marks[np.arange(MARKS) < count[:, None]] = lists.flatten().to_numpy()
         size = np.array([len(x) // 8 for x in raw])
         views: dict[int, np.ndarray] = {}  # width -> the tile's signatures of that width or the next, at that width
         for w in np.unique(size).tolist():
             views[w] = np.zeros((len(n), w), np.uint64)
-            for v in (w, 2 * w):
+            for v in np.unique(size[size >= w]).tolist():
                 mine = np.flatnonzero(size == v)
-                if len(mine):
-                    views[w][mine] = _folded(np.frombuffer(b"".join([raw[i] for i in mine]), np.uint64).reshape(len(mine), v), w)
+                views[w][mine] = _folded(np.frombuffer(b"".join([raw[i] for i in mine]), np.uint64).reshape(len(mine), v), w)
         out = []
         stop = np.searchsorted(n, DOWN * n // UP, "right")
         for i in range(len(n) - 1):
@@ -322,32 +359,30 @@ def _other_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
             if len(j):
                 bits = views[int(size[i])]
                 j = j[may_link(n[i], n[j], np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64))]
-                out += [(max(sid[i], x), min(sid[i], x)) for x in sid[j].tolist()]
-        return out
+            if len(j):
+                shared = np.isin(marks[j], marks[i, : count[i]])
+                least = marks[j, shared.argmax(1)]
+                j = j[~shared.any(1) | (least == mark)]
+                out.append(np.column_stack([np.maximum(sid[i], sid[j]), np.minimum(sid[i], sid[j])]))
+        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        name = None
 
-        def send(found: set[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+        def send() -> pa.RecordBatch:
+            found = pairs(pa.Table.from_batches(held)) if held else np.zeros((0, 2), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(found[:, k].copy()) for k in (0, 1)], ["a", "b"])
 
-        found: set[tuple[int, int]] = set()
-        name = None
         for batch in batches:
             keys = np.column_stack([batch.column(i).to_numpy() for i in (0, 1, 2)])
             cuts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)])) if len(keys) else []
             for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
                 if tuple(keys[a]) != name:
-                    if held:
-                        found.update(pairs(pa.Table.from_batches(held)))
+                    yield send()
                     held, name = [], tuple(keys[a])
                 held.append(batch.slice(a, b - a))
-            if len(found) > 100_000:
-                yield send(found)
-                found = set()
-        if held:
-            found.update(pairs(pa.Table.from_batches(held)))
-        yield send(found)
+        yield send()
 
     return map_arrow(dealt, run, "a long, b long").distinct()
 
@@ -360,33 +395,43 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     null key is a row of its own kind: it can be reached, but is a component_id only if no other key is. Other
     columns are not read; an empty table gives an empty result.
     """
-    rows = staged(signed_sets(docs, key), "sets")
-    full = rows.filter("n > 0")
-    sets = full.groupBy("sid", "n").agg(F.min(key).alias("least"), F.first("signature").alias("signature"))
-    sets = staged(sets.select("sid", "n", "signature", "least", F.coalesce(F.col("least").cast("string"), F.lit("?")).alias("row")), "distinct-sets")
-    tiles = staged(_tiles(full.filter("tokens is not null").select(F.explode("tokens").alias("token"), "sid")), "tiles")
+    signed = staged(signed_sets(docs, key), "sets")
+    full = signed.filter("n > 0")
+    sets = staged(full.groupBy("sid", "n").agg(F.min(key).alias("least"), F.min("row").alias("row"), F.first("signature").alias("signature")), "distinct-sets")
+    tiles = staged(_tiles(full.filter("tokens is not null").select(F.explode("tokens").alias("token"), "sid", "n")), "tiles")
+    rows = staged(signed.select(key, "sid", "n"), "rows")
+    discard(signed)
     often = tiles.filter("sid <> leader").groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
     pairs = often.groupBy(F.col("sid").alias("a")).agg(F.max_by("leader", F.struct("n", "leader")).alias("b"))
-    checked = staged(_pass_signatures(pairs, sets), "pairs")
-    links = _links(checked, sets, docs, key)
-    of = components(links)
+    tried = [staged(_pass_signatures(pairs, sets), "pairs")]
+    links = [_links(tried[0], sets, docs, key)]
+    of = components(links[0])
     # stars over the components that are left, while they find links; then whatever pairs are left
     for turn in range(TURNS + 1):
         mixed = _mixed_tiles(tiles, of)
-        found = staged(_next_stars(mixed, turn) if turn < TURNS else _other_pairs(mixed, sets), "found-pairs")
-        found = _unchecked(found, checked)
-        more = staged(_pass_signatures(found, sets) if turn < TURNS else found, "more-pairs")
+        discard(tiles)
+        tiles = mixed  # components only grow: no other tile will be mixed again
+        if not mixed.limit(1).count():
+            break
+        found = _pass_signatures(_next_stars(mixed, turn), sets) if turn < TURNS else _other_pairs(mixed, sets)
+        more = staged(_unchecked(found, _all(tried)), "more-pairs")
         if more.limit(1).count():
-            checked = checked.unionByName(more)
-            links = links.unionByName(_links(more, sets, docs, key))
-            of = components(links)
+            tried.append(more)
+            links.append(_links(more, sets, docs, key))
+            discard(of)
+            of = components(_all(links))
     known = sets.join(of, sets["sid"] == of["id"], "left").select("sid", F.coalesce("component", "sid").alias("component"), "least")
     least = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    final = known.join(least, "component").select(F.col("sid").alias("__sid"), "component_id")
+    final = staged(known.join(least, "component").select(F.col("sid").alias("__sid"), "component_id"), "classes")
+    discard(tiles, sets, of, *tried, *links)
     out = rows.join(final, (rows["sid"] == final["__sid"]) & (rows["n"] > 0), "left")
     return out.select(key, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col(key)).alias("component_id"))
 
 
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _row_id(docs: DataFrame, key: str):
     """What tells rows apart: the key, null as the greatest, and the text. Never null."""
     return F.struct(F.col(key).isNull().alias("none"), F.coalesce(F.col(key), F.lit("0").cast(docs.schema[key].dataType)).alias("key"), F.md5(F.coalesce("text", F.lit(""))).alias("text"))
