@@ -1,10 +1,14 @@
-"""Benchmark decontamination: counts of disjoint item pieces along diagonals, exact edit verification.
+"""Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit verification.
 
 Texts are compared as normalised bytes: letters lower-cased, each run of other ASCII than letters and digits and
-of other white space and punctuation one space. An item is cut into disjoint pieces of a few bytes; k edits change k pieces at most, and the others
-stand in the text on diagonals (text position - item position) at most k apart. So each place where enough pieces
-of an item lie in such a band of diagonals is a candidate, wherever it starts, and no place with up to EDITS is
-missed. Candidates are verified by their exact edit distance.
+of other white space and punctuation one space. CGK walks over a string with shared random bits: a step reads the
+current byte and moves on or stays, as the bit for (step, byte) says; strings a few edits apart fall into step
+again, so their walks agree in most places and edit distance becomes Hamming distance. A window of an item's
+size is embedded by walks that start afresh at each of its words, so the walks of overlapping windows are the same
+ones, and drift after an edit doesn't add up. Bytes sampled from a walk are a key of a hash table; each start of a
+window has a key in each table. A window is a candidate if enough of its starts share a key with the item at places
+that edits can bring about (diagonals, text position - item position, at most the allowed edits apart).
+Candidates are verified by their exact edit distance. See Walks for the tables.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ import math
 import unicodedata
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,17 +26,40 @@ from pyspark.sql import functions as F
 
 from ..shipping import map_arrow
 from . import words
+from .shared import held
 
 #: An item is found where at most this share of its bytes is edited.
 EDITS = 0.15
-#: Normalised bytes of the shortest item that is looked for.
+#: Normalised bytes of the shortest item that may be edited; shorter ones are found where they stand as whole words.
 Q = 10
-#: Lengths of pieces; an item takes the first that leaves it a whole piece after all edits.
-PIECES = (5, 4, 3)
-#: Text positions and counters of a slice; candidates verified at once; bytes of text handled at once.
-SLICE, CELLS, BATCH, CHUNK = 1 << 16, 1 << 21, 4096, 3 << 20
-#: Bands side by side that are verified together.
-RUN = 6
+#: Starts walked at once; shared keys followed at once; candidates verified at once; bytes of text handled at once.
+STARTS, HITS, BATCH, CHUNK = 1 << 15, 1 << 20, 4096, 2 << 20
+#: An unspaced stretch is walked from every character beyond so many bytes.
+UNSPACED = 16
+
+
+@dataclass(frozen=True)
+class Walks:
+    """How items from a size on are looked for: steps of a walk, bytes sampled for a key, tables, walks that they share,
+    starts that have to agree; and whether walks start at every character or at words only."""
+
+    least: int
+    steps: int
+    sample: int
+    tables: int
+    walks: int
+    need: tuple[tuple[int, int], ...]  # (size of an item, starts that have to agree from there on)
+    every: bool = False
+
+
+#: A walk moves on at every other step. Long items have many starts, so few walks that outlast a word or two tell
+#: enough; short ones are tried from every character, by short walks. Measured recall is in tests/llm/test_decontam.py.
+KINDS = (
+    Walks(10, 14, 8, 4, 2, ((10, 1),), True),
+    Walks(24, 20, 8, 4, 2, ((24, 2),), True),
+    Walks(40, 32, 8, 6, 2, ((40, 2),), True),
+    Walks(64, 44, 8, 8, 2, ((64, 2), (160, 3))),
+)
 #: Bytes of benchmark text handled in one pass; a larger benchmark takes more passes.
 BLOCK_BYTES = 4 << 20
 
@@ -118,18 +146,21 @@ def least_edits(items: list[bytes], of: np.ndarray, text: np.ndarray, starts: np
     sizes = np.array([len(x) for x in items], np.int64)
     one, top, zero = np.uint64(1), np.uint64(63), np.uint64(0)
     words_of = -(-sizes[of] // 64)
-    for w in np.unique(words_of).tolist():
-        group = np.flatnonzero(words_of == w)
+    width = 1 << np.ceil(np.log2(np.maximum(words_of, 1))).astype(np.int64)
+    for w in np.unique(width).tolist():
+        group = np.flatnonzero(width == w)
         group = group[np.argsort(of[group], kind="stable")]
+        w = int(words_of[group].max())
         step = max(64, BATCH // w)
         for part in (group[a : a + step] for a in range(0, len(group), step)):
-            own, mine = np.unique(of[part], return_inverse=True)
-            eq_of = np.zeros((w, len(own), 257), np.uint64)
-            for j, i in enumerate(own.tolist()):
+            there, mine = np.unique(of[part], return_inverse=True)
+            eq_of = np.zeros((w, len(there), 257), np.uint64)
+            for j, i in enumerate(there.tolist()):
                 place = np.arange(len(items[i]))
                 np.bitwise_or.at(eq_of, (place >> 6, j, np.frombuffer(items[i], np.uint8)), one << (place & 63).astype(np.uint64))
             eq_of = eq_of.reshape(w, -1)
             last = ((sizes[of[part]] - 1) & 63).astype(np.uint64)
+            ends_in = [np.flatnonzero(words_of[part] == k + 1) for k in range(w)]
             plus, minus = np.full((w, len(part)), ~zero), np.zeros((w, len(part)), np.uint64)
             score = sizes[of[part]].copy()
             best = score.copy()
@@ -143,8 +174,8 @@ def least_edits(items: list[bytes], of: np.ndarray, text: np.ndarray, starts: np
                     eq = eq | fall
                     across = (((eq & p) + p) ^ p) | eq
                     up, down = m | ~(across | p), p & across
-                    if k == w - 1:
-                        score += ((up >> last) & one).astype(np.int64) - ((down >> last) & one).astype(np.int64)
+                    if len(own := ends_in[k]):
+                        score[own] += ((up[own] >> last[own]) & one).astype(np.int64) - ((down[own] >> last[own]) & one).astype(np.int64)
                     up, rise = up << one | rise, up >> top
                     down, fall = down << one | fall, down >> top
                     plus[k], minus[k] = down | ~(vertical | up), up & vertical
@@ -153,85 +184,166 @@ def least_edits(items: list[bytes], of: np.ndarray, text: np.ndarray, starts: np
     return out
 
 
-class Finder:
-    """Finds items in normalised bytes.
+def walk_starts(x: np.ndarray, offsets: np.ndarray, every: bool = False) -> np.ndarray:
+    """Places where walks start: words, and each character where a stretch is unspaced; or every character but spaces."""
+    word = x != 32
+    head = word.copy()
+    head[1:] &= ~word[:-1]
+    rows = offsets[:-1][offsets[:-1] < len(x)]
+    head[rows] = word[rows]
+    character = word & ((x & 0xC0) != 0x80)
+    if every:
+        return np.flatnonzero(character)
+    at = np.arange(len(x))
+    since = at - np.maximum.accumulate(np.where(head, at, 0))
+    return np.flatnonzero(head | (character & (since > UNSPACED)))
+
+
+class Tables:
+    """The keys of the items of one kind."""
+
+    def __init__(self, kind: Walks, items: list[bytes], of: np.ndarray, seed: int = 7):
+        """of: the numbers of this kind's items."""
+        self.kind = kind
+        random = np.random.default_rng(seed + kind.least)
+        self.move = random.integers(0, 2, (kind.walks, kind.steps, 256), np.uint8)
+        #: walk -> step -> tables that sample it.
+        self.plan: list[list[list[int]]] = [[[] for _ in range(kind.steps)] for _ in range(kind.walks)]
+        for t in range(kind.tables):
+            for step in random.choice(kind.steps, kind.sample, replace=False).tolist():
+                self.plan[t % kind.walks][step].append(t)
+        gap = bytes(kind.steps)
+        flat = np.frombuffer(b"".join(items[i] + gap for i in of.tolist()), np.uint8)
+        sizes = np.array([len(items[i]) for i in of.tolist()])
+        first = np.cumsum(sizes + kind.steps) - sizes - kind.steps
+        starts = walk_starts(flat, np.concatenate([first, [len(flat)]]), kind.every)
+        starts = starts[flat[starts] != 0]
+        own = np.searchsorted(first, starts, "right") - 1
+        place = starts - first[own]
+        # a walk that outruns its item meets other text there: it counts only where it is the item's first
+        good = (place + kind.steps // 2 <= sizes[own]) | (place == 0)
+        self.item, self.place, starts = of[own[good]], place[good], starts[good]
+        keys = self.keys(flat, starts)
+        self.bits = max(16, (32 * len(starts)).bit_length())
+        self.maybe, self.sorted, self.order = [], [], []
+        for t in range(kind.tables):
+            order = np.argsort(keys[t], kind="stable")
+            maybe = np.zeros(1 << self.bits, bool)
+            maybe[self._cell(keys[t])] = True
+            self.maybe.append(maybe)
+            self.sorted.append(keys[t][order])
+            self.order.append(order)
+
+    def _cell(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys ^ keys >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.intp)
+
+    def keys(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """A row of keys for each table, a column for each start. x ends with as many bytes as a walk has steps, or more, that no start reaches."""
+        keys = np.zeros((self.kind.tables, len(starts)), np.uint64)
+        for plan, move in zip(self.plan, self.move, strict=True):
+            at = starts.copy()
+            for step in range(max((s for s, tables in enumerate(plan) if tables), default=-1) + 1):
+                byte = x[at]
+                for t in plan[step]:
+                    keys[t] = keys[t] << np.uint64(8) | byte
+                at += move[step][byte]
+        return keys
+
+    def shared(self, x: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(start, item, place in it) of starts that share a key, about HITS at once; all of a start come together."""
+        for a in range(0, len(starts), STARTS):
+            part = starts[a : a + STARTS]
+            hits = []
+            for key, maybe, own in zip(self.keys(x, part), self.maybe, self.sorted, strict=True):
+                some = np.flatnonzero(maybe[self._cell(key)])
+                lo, hi = (np.searchsorted(own, key[some], side) for side in ("left", "right"))
+                hits.append((some[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]))
+            total = np.cumsum(sum((np.bincount(s, many, len(part)) for s, _, many in hits), np.zeros(len(part)))).astype(np.int64)
+            edge = 0
+            while edge < len(part):
+                stop = max(edge + 1, int(np.searchsorted(total, (total[edge - 1] if edge else 0) + HITS, "right")))
+                found = []
+                for (s, lo, many), order in zip(hits, self.order, strict=True):
+                    mine = slice(*np.searchsorted(s, (edge, stop)))
+                    s, lo, many = s[mine], lo[mine], many[mine]
+                    ends = np.cumsum(many)
+                    post = order[np.repeat(lo - (ends - many), many) + np.arange(many.sum())]
+                    found.append(np.repeat(s, many) * len(self.item) + post)
+                found = np.unique(np.concatenate(found))
+                if len(found):
+                    post = found % len(self.item)
+                    yield part[found // len(self.item)], self.item[post], self.place[post]
+                edge = stop
 
-    An item of n bytes with up to k = EDITS * n edits keeps n // piece - k of its pieces at least. Their diagonals
-    differ by k at most, so they are counted in bands of k diagonals or more that start at each multiple of grain.
-    """
 
-    kept: dict[str, Finder] = {}
+class Finder:
+    """Finds items in normalised bytes."""
 
-    def __init__(self, items: list[bytes]):
+    def __init__(self, items: list[bytes], seed: int = 7):
         self.items = [x for x in items if len(x) >= Q]
         self.of = [i for i, x in enumerate(items) if len(x) >= Q]
         self.sizes = np.array([len(x) for x in self.items], np.int64)
         self.most = np.array([math.floor(EDITS * len(x)) for x in self.items], np.int64)
-        self.shift = np.array([max(0, len(x).bit_length() - 4) for x in self.items], np.int64)
-        piece = [next(q for q in PIECES if len(x) // q > k or q == PIECES[-1]) for x, k in zip(self.items, self.most.tolist(), strict=True)]
-        self.need = np.array([max(1, len(x) // q - k) for x, q, k in zip(self.items, piece, self.most.tolist(), strict=True)], np.int64)
-        #: Fine bins of diagonals in a band.
-        self.bins = -(-self.most // (1 << self.shift)) + 1
-        self.reach = int((self.sizes + self.most).max(initial=0))
-        #: piece length -> (bits, first posting of each cell and the end, item of each posting, place in it).
-        self.postings = {}
-        for q in sorted(set(piece)):
-            found = [(int.from_bytes(x[p : p + q], "little"), i, p) for i, x in enumerate(self.items) if piece[i] == q for p in range(0, len(x) - q + 1, q)]
-            gram, item, place = (np.array(c, t) for c, t in zip(zip(*found, strict=True), (np.uint64, np.int64, np.int64), strict=True))
-            bits = max(16, (32 * len(found)).bit_length())
-            cell = self._cell(gram, bits)
-            order = np.argsort(cell, kind="stable")
-            first = np.zeros((1 << bits) + 1, np.int32)
-            np.cumsum(np.bincount(cell, minlength=1 << bits), out=first[1:])
-            self.postings[q] = (bits, first, item[order], place[order])
-
-    @staticmethod
-    def _cell(grams: np.ndarray, bits: int) -> np.ndarray:
-        return (grams * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.intp)
-
-    def _bands(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, first diagonal, diagonal after the last) of the bands with enough of an item's pieces."""
-        size = max(self.reach, min(SLICE, CELLS // int((1.0 / (1 << self.shift)).sum() + 1)))
-        padded = np.concatenate([x, np.zeros(8, np.uint8)])
-        longest = int(self.sizes.max())
-        columns = ((size + self.reach + longest) >> self.shift) + 2 + self.bins
-        base = np.cumsum(columns) - columns
+        kind = np.searchsorted([k.least for k in KINDS], self.sizes, "right") - 1
+        #: Starts that have to agree.
+        self.need = np.array([[n for at, n in k.need if at <= x][-1] for k, x in zip([KINDS[i] for i in kind], self.sizes, strict=True)], np.int64)
+        self.tables = [Tables(k, self.items, np.flatnonzero(kind == i), seed) for i, k in enumerate(KINDS) if (kind == i).any()]
+        #: length -> first eight bytes as a number -> items, for those under Q bytes.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i, x in enumerate(items):
+            if 0 < len(x) < Q:
+                self.short.setdefault(len(x), {}).setdefault(int.from_bytes(x[:8], "little"), []).append(i)
+        self.own = items
+
+    def _windows(self, x: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, start, end) of stretches of x that enough starts point to."""
+        out = []
+        padded = np.concatenate([x, np.zeros(max((t.kind.steps for t in self.tables), default=0) + 1, np.uint8)])
+        for tables in self.tables:
+            rest = np.zeros((0, 2), np.int64)
+            for start, item, place in tables.shared(padded, walk_starts(x, offsets, tables.kind.every)):
+                hits = np.concatenate([rest, np.column_stack([item, start - place])])
+                hits = hits[np.lexsort((hits[:, 1], hits[:, 0]))]
+                for _, need in tables.kind.need:
+                    near, last = hits[: max(0, len(hits) - need + 1)], hits[need - 1 :]
+                    most = self.most[near[:, 0]]
+                    good = (self.need[near[:, 0]] == need) & (near[:, 0] == last[:, 0]) & (last[:, 1] - near[:, 1] <= most)
+                    item, first, k = near[good, 0], near[good, 1], most[good] + 1
+                    out.append(np.unique(np.column_stack([item, first // k]), axis=0))
+                # what later starts can still agree with
+                rest = hits[(hits[:, 1] >= start[-1] - int((self.sizes + self.most).max())) & (self.need[hits[:, 0]] > 1)]
+        item, bin_ = np.unique(np.concatenate(out), axis=0).T if out else np.zeros((2, 0), np.int64)
+        # the window's true diagonal is at most the allowed edits from each of its starts' ones
+        k = self.most[item]
+        return item, bin_ * (k + 1) - k, (bin_ + 1) * (k + 1) + k
+
+    def _whole_words(self, x: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(row, item, 0, start, end) of items under Q bytes where they stand as whole words."""
+        if not self.short or not len(x):
+            return []
+        end = np.append(x == 32, True)
+        end[offsets] = True
+        start = np.concatenate([[True], x[:-1] == 32])
+        start[offsets[:-1][offsets[:-1] < len(x)]] = True
+        start = np.flatnonzero(start & (x != 32))
+        stop = offsets[np.searchsorted(offsets, start, "right")]
+        eight = np.ndarray((len(x),), np.dtype("<u8"), np.concatenate([x, np.zeros(8, np.uint8)]), 0, (1,))
         out = []
-        for start in range(-(-longest // size) * -size, len(x), size):
-            # diagonals from start to start + size: text from there to reach beyond
-            a, b = max(0, start), min(len(x), start + size + self.reach)
-            if a >= b:
-                continue
-            eight = np.ndarray((b - a,), np.dtype("<u8"), padded, a, (1,))
-            total = np.zeros(int(columns.sum()), np.int64)
-            for q, (bits, first, item, place) in self.postings.items():
-                cell = self._cell(eight[: max(0, b - a - q + 1)] & np.uint64((1 << (8 * q)) - 1), bits)
-                many = first[cell + 1] - first[cell]
-                at = np.flatnonzero(many)
-                many = many[at]
-                ends = np.cumsum(many)
-                if not len(at):
-                    continue
-                post = np.repeat(first[cell[at]] - (ends - many), many) + np.arange(ends[-1])
-                own = item[post]
-                diagonal = np.repeat(at + a - start, many) - place[post]
-                inside = diagonal >= 0
-                own, diagonal = own[inside], diagonal[inside]
-                total += np.bincount(base[own] + (diagonal >> self.shift[own]), minlength=len(total))
-            total = np.concatenate([[0], np.cumsum(total)])
-            for shift, bins in sorted(set(zip(self.shift.tolist(), self.bins.tolist(), strict=True))):
-                mine = np.flatnonzero((self.shift == shift) & (self.bins == bins))
-                n = -(-size >> shift) + 1
-                places = base[mine][:, None] + np.arange(n)
-                i, d = np.nonzero(total[places + bins] - total[places] >= self.need[mine][:, None])
-                out.append((mine[i], (d << shift) + start, (d + bins << shift) + start))
-        return tuple(np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out, strict=True) if out else ((),) * 3))
+        for n, known in self.short.items():
+            mine = start[start + n <= stop]
+            mine = mine[end[mine + n]]
+            value = eight[mine] & np.uint64((1 << (8 * min(n, 8))) - 1)
+            hit = np.isin(value, np.array([*known], np.uint64))
+            for at, v in zip(mine[hit].tolist(), value[hit].tolist(), strict=True):
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                out += [(row, i, 0, at, at + n) for i in known[v] if self.own[i] == x[at : at + n].tobytes()]
+        return out
 
     def _candidates(self, x: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(row, item, start, end) of stretches that hold an item."""
         if not len(x) or not self.items:
             return []
-        item, lo, hi = self._bands(x)
+        item, lo, hi = self._windows(x, offsets)
         a, b = np.maximum(lo, 0), np.minimum(hi + self.sizes[item], len(x))
         good = a < b
         item, a, b = item[good], a[good], b[good]
@@ -242,17 +354,6 @@ class Finder:
         a, b = np.maximum(a, offsets[row]), np.minimum(b, offsets[row + 1])
         fits = b - a >= self.sizes[item] - self.most[item]
         found = np.unique(np.column_stack([row, item, a, b])[fits], axis=0)
-        if not len(found):
-            return []
-        # bands side by side are tried together first: what none of them holds, their union doesn't
-        row, item, a, b = found.T
-        new = np.ones(len(found), bool)
-        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (a[1:] - a[:-1] > 2 << self.shift[item[1:]])
-        at = np.arange(len(found))
-        new |= (at - np.maximum.accumulate(np.where(new, at, 0))) % RUN == 0
-        first = np.flatnonzero(new)
-        held = least_edits(self.items, item[first], x, a[first], np.maximum.reduceat(b, first)) <= self.most[item[first]]
-        found = found[np.repeat(held, np.diff([*first, len(found)]))]
         row, item, a, b = found.T
         good = least_edits(self.items, item, x, a, b) <= self.most[item]
         return [tuple(f) for f in found[good].tolist()]
@@ -274,28 +375,26 @@ class Finder:
                 kept[-1] = min(kept[-1], (edits, a, b))
             else:
                 kept.append((edits, a, b))
-        return sorted((row, self.of[i], e, a, b) for (row, i), found in best.items() for e, a, b in found)
+        return sorted([(row, self.of[i], e, a, b) for (row, i), found in best.items() for e, a, b in found] + self._whole_words(x, offsets))
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
+def _blocks(benchmark: DataFrame) -> Iterator[pa.Table]:
     """The benchmark's items in blocks of about BLOCK_BYTES: what a pass broadcasts is bounded, not the benchmark."""
     own = benchmark.select("item_id", "text").filter("text is not null")
     size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-size // BLOCK_BYTES))
     for k in range(n):
         part = own.filter(F.pmod(F.xxhash64("text", "item_id"), F.lit(n)) == k) if n > 1 else own
-        yield sorted(part.toArrow().to_pylist(), key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
+        yield part.sort("item_id", "text").toArrow()
 
 
 def _finder(box, name: str) -> Finder:
-    if name not in Finder.kept:
-        Finder.kept = {name: Finder(box.value)}
-    return Finder.kept[name]
+    return held(name, lambda: Finder(box.value))
 
 
-def _items(rows: list[dict]) -> list[bytes]:
+def _items(rows: pa.Table | list[dict]) -> list[bytes]:
     out = []
-    for r in rows:
+    for r in rows.select(["text"]).to_pylist() if isinstance(rows, pa.Table) else rows:
         raw = np.frombuffer(r["text"].encode(), np.uint8)
         out.append(normalised(raw, np.array([0, len(raw)]))[0].tobytes().strip(b" "))
     return out
@@ -304,16 +403,18 @@ def _items(rows: list[dict]) -> list[bytes]:
 def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, item_id, edits, span_start, span_end (code points of the text) for each place of a row that holds an item.
 
-    An item is held where at most EDITS of its normalised bytes are edited; every such place is found (see
-    Finder) and exactly verified. Overlapping finds of one item count once. Null and
-    empty texts hold nothing, nor do items that are null or have under Q normalised bytes; items with equal
-    texts are all reported, rows that repeat as well. Texts are searched whole, however long; other columns
-    aren't read. A benchmark beyond BLOCK_BYTES takes one pass over docs for each block of items.
+    An item is held where at most EDITS of its normalised bytes are edited: candidates come from the tables (see
+    KINDS for their recall, the tests for its measure) and are exactly verified. Items under Q normalised bytes are
+    found where they stand unedited as whole words. Overlapping finds of one item count once. Null and empty
+    texts hold nothing, nor do items that are null or have no letter or digit; items with equal texts are all
+    reported, rows that repeat as well. Texts are searched whole, however long; other columns aren't read. An
+    empty table gives an empty result. item_id may be of any type. A benchmark beyond BLOCK_BYTES takes one pass
+    over docs for each block of items.
     """
     out = None
     for rows in _blocks(benchmark):
         box, name = docs.sparkSession.sparkContext.broadcast(_items(rows)), uuid.uuid4().hex
-        ids = [r["item_id"] for r in rows]
+        ids = rows["item_id"].combine_chunks()
 
         def run(batches: Iterator[pa.RecordBatch], box=box, name=name, ids=ids) -> Iterator[pa.RecordBatch]:
             finder = _finder(box, name)
@@ -328,18 +429,21 @@ def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> Da
                     base = lead[offsets[row]]
                     span = [lead[place[a] + 1] - 1 - base, lead[place[b - 1] + 1] - base]
                     keys = batch.column(0).take(pa.array(row + first))
-                    yield pa.RecordBatch.from_arrays([keys, pa.array([ids[i] for i in item], item_type), pa.array(edits, pa.int32()), *(pa.array(s, pa.int64()) for s in span)], [key, "item_id", "edits", "span_start", "span_end"])
+                    yield pa.RecordBatch.from_arrays([keys, ids.take(pa.array(item)), pa.array(edits, pa.int32()), *(pa.array(s, pa.int64()) for s in span)], [key, "item_id", "edits", "span_start", "span_end"])
 
         own = docs.select(key, "text")
         kinds = [own.schema[key].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
-        item_type = pa.string() if kinds[1] == "string" else pa.int64() if kinds[1] == "bigint" else pa.int32()
         one = map_arrow(own, run, f"{key} {kinds[0]}, item_id {kinds[1]}, edits int, span_start long, span_end long")
         out = one if out is None else out.unionByName(one)
     return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs, with all columns, without the rows that hold an item; rows are filtered where they are read, nothing is shuffled."""
+    """docs, with all columns, without the rows that hold an item; rows are filtered where they are read, nothing is shuffled.
+
+    Null and empty texts stay, and so does everything if the benchmark is empty; each row is decided by its own
+    text, whatever its key. See find_items for what is held.
+    """
     at = docs.columns.index("text")
     for rows in _blocks(benchmark):
         box, name = docs.sparkSession.sparkContext.broadcast(_items(rows)), uuid.uuid4().hex

@@ -1,7 +1,10 @@
-"""Joins that stand hot groups."""
+"""What several operators use: models held by workers, joins that stand hot groups."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,17 @@ from ..staging import discard, staged  # noqa: F401  operators take it from here
 #: A group is hot when it holds more than one row in HOT_SHARE; so there are fewer than HOT_SHARE hot groups.
 HOT_SHARE = 1000
 
+_held: dict[str, Any] = {}
+
+
+def held(name: str, build: Callable[[], Any]) -> Any:
+    """What build gave for this name, kept by a Python worker from task to task. It keeps one at a time: workers live on
+    from operator to operator, and the next one's model takes the place of the last."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = build()
+    return _held[name]
+
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, salt: Column) -> DataFrame:
     """rows left-joined with one row of groups for each binary key.
