@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import map_arrow
 from . import words
+from .shared import held, taken
 
 #: Slices whose ids are remembered by a worker; the cache starts anew when it is full.
 CACHE = 150_000
@@ -257,8 +258,6 @@ class Merger(dict):
 class Codec:
     """Encodes and decodes whole columns by one vocabulary; kept by a worker from task to task."""
 
-    kept: dict[int, Codec] = {}
-
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         tokens = [b""] * (max(ranks.values()) + 1)
@@ -311,13 +310,12 @@ class Codec:
 
 
 def _codec(box) -> Codec:
-    if box.value[0] not in Codec.kept:
-        Codec.kept = {box.value[0]: Codec(box.value[1])}
-    return Codec.kept[box.value[0]]
+    of, name = box
+    return held(name, lambda: Codec(taken(of)))
 
 
 def _shared(df: DataFrame, ranks: dict[bytes, int]):
-    return df.sparkSession.sparkContext.broadcast((hash(frozenset(ranks.items())), ranks))
+    return df.sparkSession.sparkContext.broadcast(ranks), f"codec {hash(frozenset(ranks.items()))}"
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text: str = "text") -> DataFrame:

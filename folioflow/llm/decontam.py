@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import map_arrow
 from . import words
-from .shared import held
+from .shared import held, taken
 
 #: An item is found where at most this share of its bytes is edited.
 EDITS = 0.15
@@ -389,7 +389,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[pa.Table]:
 
 
 def _finder(box, name: str) -> Finder:
-    return held(name, lambda: Finder(box.value))
+    return held(name, lambda: Finder(taken(box)))
 
 
 def _items(rows: pa.Table | list[dict]) -> list[bytes]:

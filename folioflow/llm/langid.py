@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import map_arrow
-from .shared import staged
+from .shared import discard, held, staged, taken
 
 #: For each language the model is fitted on about this many labelled rows, drawn by a hash (all, if there are fewer), and
 #: keeps this many words and n-grams of each length.
@@ -29,7 +29,9 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Words whose scores a worker remembers.
 CACHE = 200_000
-_WORD = re.compile(r"[^\W\d_]+")
+#: A word is a run of letters: what counts as a word character but is no letter (as ½ or Ⅷ) separates.
+_NO_LETTERS = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_NO_LETTERS}]+")
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -37,13 +39,36 @@ def _grams(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
+class Table:
+    """Text -> log frequency in each language; sent as one string and one array, which workers hold in little memory."""
+
+    def __init__(self, texts: list[str], logs: np.ndarray):
+        self.at, self.logs = {x: i for i, x in enumerate(texts)}, logs
+
+    def __getstate__(self):
+        return "\n".join(self.at), self.logs
+
+    def __setstate__(self, state):
+        texts, self.logs = state
+        self.at = {x: i for i, x in enumerate(texts.split("\n"))} if texts else {}
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.at)
+
+    def __getitem__(self, text: str) -> list[float]:
+        return self.logs[self.at[text]].tolist()
+
+    def values(self) -> Iterator[list[float]]:
+        return map(self.__getitem__, self.at)
+
+
 @dataclass
 class Model:
     """languages; words and grams[n]: text -> log frequency in each language."""
 
     languages: list[str]
-    words: dict[str, list[float]]
-    grams: dict[int, dict[str, list[float]]]
+    words: Table
+    grams: dict[int, Table]
 
     @classmethod
     def fit(cls, counts: list[tuple[str, str, int]], grams: list[tuple[str, int, str, int]] | None = None) -> Model:
@@ -51,15 +76,12 @@ class Model:
         languages = sorted({x[0] for x in counts})
         at = {x: i for i, x in enumerate(languages)}
 
-        def logs(found: dict[str, list[float]]) -> dict[str, list[float]]:
-            total = [sum(v[i] for v in found.values()) + SMOOTHING * len(found) for i in range(len(languages))]
-            return {k: [math.log((c + SMOOTHING) / t) for c, t in zip(v, total, strict=True)] for k, v in found.items()}
-
-        def table(pieces: Iterator[tuple[str, str, int]]) -> dict[str, list[float]]:
-            found: dict[str, list[float]] = {}
-            for language, piece, n in pieces:
-                found.setdefault(piece, [0.0] * len(languages))[at[language]] += n
-            return logs(found)
+        def table(pieces: Iterator[tuple[str, str, int]]) -> Table:
+            place: dict[str, int] = {}
+            cells = np.array([(place.setdefault(piece, len(place)), at[language], n) for language, piece, n in pieces], np.int64).reshape(-1, 3)
+            found = np.zeros((len(place), len(languages)))
+            np.add.at(found, (cells[:, 0], cells[:, 1]), cells[:, 2])
+            return Table(list(place), np.log((found + SMOOTHING) / (found.sum(0) + SMOOTHING * len(found))))
 
         if grams is None:
             grams = [(language, n, g, c) for language, word, c in counts for n in LENGTHS for g in _grams(word, n)]
@@ -67,21 +89,19 @@ class Model:
 
     def score(self, word: str) -> list[float]:
         """Log frequency in each language: of the word, or else the mean of its known n-grams of the greatest n that has any."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
+        if word in self.words.at:
+            return self.words[word]
         for n in LENGTHS:
-            found = [v for g in _grams(word, n) if (v := self.grams[n].get(g)) is not None]
+            known = self.grams[n]
+            found = [i for g in _grams(word, n) if (i := known.at.get(g)) is not None]
             if found:
-                return [sum(x) / len(found) for x in zip(*found, strict=True)]
+                return known.logs[found].mean(0).tolist()
         return [0.0] * len(self.languages)
 
 
 class Scorer(dict):
     """Word -> row of an array of scores, filled as words come."""
 
-    kept: dict[str, Scorer] = {}
-
     def __init__(self, model: Model):
         super().__init__()
         self.model, self.table = model, np.zeros((1024, len(model.languages)))
@@ -94,8 +114,9 @@ class Scorer(dict):
         self[word] = i
         return i
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        names, sure = [], np.zeros(len(texts))
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages, their probabilities, and whether any piece of the text is known (else the language is a guess)."""
+        names, sure, known = [], np.zeros(len(texts)), np.zeros(len(texts), bool)
         for k, text in enumerate(texts):
             words = _WORD.findall(text.lower()) if text else []
             if not words or not self.model.languages:
@@ -105,10 +126,11 @@ class Scorer(dict):
                 self.clear()
             rows = [self[w] for w in words]
             total = self.table[rows].sum(0)
+            known[k] = total.any()
             best = int(total.argmax())
             names.append(self.model.languages[best])
             sure[k] = 1 / np.exp(total - total[best]).sum()
-        return names, sure
+        return names, sure, known
 
 
 def _top(counts: DataFrame, group: list[str], most: int) -> list[tuple]:
@@ -159,25 +181,13 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS, key
     counts = map_arrow(good.select("text", "lang"), count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = staged(counts, "word-counts")
     grams = staged(map_arrow(counts, cut, "lang string, length int, gram string, n long").groupBy("lang", "length", "gram").agg(F.sum("n").alias("n")), "gram-counts")
-    return Model.fit(_top(counts, ["lang"], words), _top(grams, ["lang", "length"], words))
-
-
-def _scorer(box) -> Scorer:
-    if box.id not in Scorer.kept:
-        Scorer.kept = {box.id: Scorer(box.value)}
-    return Scorer.kept[box.id]
+    model = Model.fit(_top(counts, ["lang"], words), _top(grams, ["lang", "length"], words))
+    discard(counts, grams)
+    return model
 
 
-class _Box:
-    """A broadcast model with an id by which a worker knows it again."""
-
-    def __init__(self, df: DataFrame, model: Model):
-        self.of = df.sparkSession.sparkContext.broadcast(model)
-        self.id = uuid.uuid4().hex
-
-    @property
-    def value(self) -> Model:
-        return self.of.value
+def _scorer(box, name: str) -> Scorer:
+    return held(name, lambda: Scorer(taken(box)))
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,14 +197,14 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     the first language with the score of a guess. Whole texts count, however long. Equal texts get equal
     answers; other columns are not read.
     """
-    box = _Box(docs, model)
+    box, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(box)
+        scorer = _scorer(box, name)
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
-                names, sure = scorer.predict(part.column(1).to_pylist())
+                names, sure, _ = scorer.predict(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(sure)], [key, "lang_pred", "score"])
 
     own = docs.select(key, text)
@@ -202,15 +212,20 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.3, text: str = "text") -> DataFrame:
-    """The rows of docs, unchanged, whose text has letters and whose language is sure to at least the given score."""
-    box, at = _Box(docs, model), docs.columns.index(text)
+    """The rows of docs, unchanged, whose text has letters, some piece that the model knows, and a language sure to at least the given score.
+
+    Null and empty texts go, as do texts whose letters are all unknown: their language would be a guess, whatever
+    its score. Rows that repeat share a fate; all columns stay as they are; an empty table gives an empty one. A
+    model that has learned nothing keeps nothing.
+    """
+    box, name, at = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(box)
+        scorer = _scorer(box, name)
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
-                _, sure = scorer.predict(part.column(at).to_pylist())
-                yield part.filter(pa.array(sure >= least))
+                _, sure, known = scorer.predict(part.column(at).to_pylist())
+                yield part.filter(pa.array(known & (sure >= least)))
 
     return map_arrow(docs, run, docs.schema)

@@ -25,6 +25,13 @@ def held(name: str, build: Callable[[], Any]) -> Any:
     return _held[name]
 
 
+def taken(box) -> Any:
+    """A broadcast's value, which the worker doesn't keep besides."""
+    value = box.value
+    vars(box).pop("_value", None)
+    return value
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, salt: Column) -> DataFrame:
     """rows left-joined with one row of groups for each binary key.
 

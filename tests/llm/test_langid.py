@@ -32,7 +32,24 @@ def test_edges(spark, model):
     assert [g[:2] for g in got[4:]] == [(4, "en"), (4, "en"), (5, "de")] and all(g[2] > 0.9 for g in got[4:])
     assert got[0] == (0, "de", 0.5)
     kept = langid.keep_known(df, model)
-    assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 4, 4, 5]
+    assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [4, 4, 5]  # unknown letters go
+    assert langid.keep_known(df.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("text", ["½²", "Ⅷ", "①", "¾ 12 Ⅻ", "_", "٣", "\u0301"])
+def test_numerals_are_no_letters(spark, model, text):
+    df = spark.createDataFrame([(1, text), (2, text + " the"), (3, "the" + text + "house")], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(df, model).collect()}
+    assert got[1] == ("und", 0.0) and got[2][0] == got[3][0] == "en"
+
+
+def test_six_languages_of_uneven_size(spark):
+    sizes = {"aa": 2000, "bb": 500, "cc": 100, "dd": 20, "ee": 5, "ff": 2}
+    rows = [(i * 10_000 + k, f"{lang}word{k % 50} {lang}tail {lang}{k}", lang) for i, (lang, n) in enumerate(sizes.items()) for k in range(n)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=300, words=200)
+    assert model.languages == sorted(sizes)
+    new = spark.createDataFrame([(i, f"{lang}tail {lang}new") for i, lang in enumerate(sizes)], "doc_id long, text string")
+    assert [r.lang_pred for r in langid.predict(new, model).orderBy("doc_id").collect()] == list(sizes)
 
 
 def test_nothing_to_learn_from(spark):

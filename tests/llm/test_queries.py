@@ -32,8 +32,8 @@ def test_pipeline_against_a_plain_version(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     docs = {r.doc_id: r.text for r in table.collect()}
     model = langid.train(table.filter("crc32(cast(doc_id as string)) % 4 <> 2"))
-    names, sure = langid.Scorer(model).predict(list(docs.values()))
-    docs = {i: t for (i, t), s in zip(docs.items(), sure) if s >= 0.3}
+    names, sure, known = langid.Scorer(model).predict(list(docs.values()))
+    docs = {i: t for (i, t), s, k in zip(docs.items(), sure, known) if k and s >= 0.3}
     first = {}
     for i in sorted(docs):
         first.setdefault(hashlib.sha256(re.sub("[\x20\x09-\x0d]+", " ", docs[i]).encode()).digest(), i)
