@@ -32,8 +32,9 @@ from .shared import held, taken
 EDITS = 0.15
 #: Normalised bytes of the shortest item that may be edited; shorter ones are found where they stand as whole words.
 Q = 10
-#: Starts walked at once; shared keys followed at once; candidates verified at once; bytes of text handled at once.
-STARTS, HITS, BATCH, CHUNK = 1 << 15, 1 << 20, 4096, 2 << 20
+#: Bytes of text normalised and walked at once (whole rows), so that arrays stay in a core's cache; starts walked at
+#: once; shared keys followed at once; candidates verified at once; bytes of text whose candidates are verified together.
+PIECE, STARTS, HITS, BATCH, CHUNK = 1 << 18, 1 << 13, 1 << 20, 4096, 2 << 20
 #: An unspaced stretch is walked from every character beyond so many bytes.
 UNSPACED = 16
 
@@ -55,11 +56,13 @@ class Walks:
 #: A walk moves on at every other step. Long items have many starts, so few walks that outlast a word or two tell
 #: enough; short ones are tried from every character, by short walks. Measured recall is in tests/llm/test_decontam.py.
 KINDS = (
-    Walks(10, 14, 8, 4, 2, ((10, 1),), True),
+    Walks(10, 12, 8, 6, 2, ((10, 1),), True),
     Walks(24, 20, 8, 4, 2, ((24, 2),), True),
     Walks(40, 32, 8, 6, 2, ((40, 2),), True),
-    Walks(64, 44, 8, 8, 2, ((64, 2), (160, 3))),
+    Walks(64, 40, 8, 6, 2, ((64, 1), (100, 2), (200, 3))),
 )
+#: Bytes of a block of an item, by which candidates are verified first; up to FEW of what is left go one by one.
+WORD, FEW = 64, 128
 #: Bytes of benchmark text handled in one pass; a larger benchmark takes more passes.
 BLOCK_BYTES = 4 << 20
 
@@ -105,17 +108,41 @@ def _folded(data: np.ndarray, plain: np.ndarray) -> np.ndarray:
     return over
 
 
-def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(normalised bytes, row offsets in them, place of each in data)."""
+def _pieces(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows (first, end) of about PIECE bytes; a longer row is one of them."""
+    row = 0
+    while row < len(offsets) - 1:
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + PIECE, "right")) - 1)
+        yield row, end
+        row = end
+
+
+def _normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     plain = _PLAIN[data]
-    at = np.flatnonzero(~_folded(data, plain))
-    rows = np.searchsorted(at, offsets)
-    plain = plain[at]
+    at = None
+    if (data >= 0xC0).any():
+        at = np.flatnonzero(~_folded(data, plain))
+        plain, offsets = plain[at], np.searchsorted(at, offsets)
     keep = np.ones(len(plain), bool)
     keep[1:] = (plain[1:] != 32) | (plain[:-1] != 32)
-    keep[rows[:-1][rows[:-1] < len(plain)]] = True
+    keep[offsets[:-1][offsets[:-1] < len(plain)]] = True
     own = np.flatnonzero(keep)
-    return plain[own], np.searchsorted(own, rows), at[own]
+    return plain[own], np.searchsorted(own, offsets), own if at is None else at[own]
+
+
+def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(normalised bytes, row offsets in them, place of each in data)."""
+    out, rows, place, size = [], [np.zeros(1, np.int64)], [], 0
+    for r, e in _pieces(offsets):
+        a, b = int(offsets[r]), int(offsets[e])
+        x, at, own = _normalised(data[a:b], offsets[r : e + 1] - a)
+        out.append(x)
+        rows.append(at[1:] + size)
+        place.append((own + a).astype(np.uint32))  # a chunk is far below 4 GB
+        size += len(x)
+    if not out:
+        return np.zeros(0, np.uint8), rows[0], np.zeros(0, np.uint32)
+    return np.concatenate(out), np.concatenate(rows), np.concatenate(place)
 
 
 def edit_search(item: bytes, text: bytes) -> tuple[int, int]:
@@ -151,13 +178,13 @@ def least_edits(items: list[bytes], of: np.ndarray, text: np.ndarray, starts: np
         group = np.flatnonzero(width == w)
         group = group[np.argsort(of[group], kind="stable")]
         w = int(words_of[group].max())
-        step = max(64, BATCH // w)
-        for part in (group[a : a + step] for a in range(0, len(group), step)):
+        for part in (group[a : a + BATCH] for a in range(0, len(group), BATCH)):
             there, mine = np.unique(of[part], return_inverse=True)
             eq_of = np.zeros((w, len(there), 257), np.uint64)
-            for j, i in enumerate(there.tolist()):
-                place = np.arange(len(items[i]))
-                np.bitwise_or.at(eq_of, (place >> 6, j, np.frombuffer(items[i], np.uint8)), one << (place & 63).astype(np.uint64))
+            n = sizes[there]
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            byte = np.frombuffer(b"".join(items[i] for i in there.tolist()), np.uint8)
+            np.bitwise_or.at(eq_of, (place >> 6, np.repeat(np.arange(len(n)), n), byte), one << (place & 63).astype(np.uint64))
             eq_of = eq_of.reshape(w, -1)
             last = ((sizes[of[part]] - 1) & 63).astype(np.uint64)
             ends_in = [np.flatnonzero(words_of[part] == k + 1) for k in range(w)]
@@ -194,9 +221,15 @@ def walk_starts(x: np.ndarray, offsets: np.ndarray, every: bool = False) -> np.n
     character = word & ((x & 0xC0) != 0x80)
     if every:
         return np.flatnonzero(character)
-    at = np.arange(len(x))
-    since = at - np.maximum.accumulate(np.where(head, at, 0))
-    return np.flatnonzero(head | (character & (since > UNSPACED)))
+    heads = np.flatnonzero(head)
+    size = np.diff(np.append(heads, len(x)))
+    long = heads[size > UNSPACED]  # with the space after it, or more words' rest: only characters count
+    if not len(long):
+        return heads
+    inside = np.zeros(len(x) + 1, np.int32)
+    inside[long + UNSPACED] += 1
+    inside[np.append(heads, len(x))[np.searchsorted(heads, long) + 1]] -= 1
+    return np.flatnonzero(head | (character & (np.cumsum(inside[:-1]) > 0)))
 
 
 class Tables:
@@ -206,12 +239,13 @@ class Tables:
         """of: the numbers of this kind's items."""
         self.kind = kind
         random = np.random.default_rng(seed + kind.least)
-        self.move = random.integers(0, 2, (kind.walks, kind.steps, 256), np.uint8)
-        #: walk -> step -> tables that sample it.
-        self.plan: list[list[list[int]]] = [[[] for _ in range(kind.steps)] for _ in range(kind.walks)]
+        #: walk -> byte -> its random bits, one for each step.
+        self.bits_of = random.integers(0, 1 << 62, (kind.walks, 256))
+        #: walk -> step -> (table, place in its key) of those that sample it.
+        self.plan: list[list[list[tuple[int, int]]]] = [[[] for _ in range(kind.steps)] for _ in range(kind.walks)]
         for t in range(kind.tables):
-            for step in random.choice(kind.steps, kind.sample, replace=False).tolist():
-                self.plan[t % kind.walks][step].append(t)
+            for place, step in enumerate(random.choice(kind.steps, kind.sample, replace=False).tolist()):
+                self.plan[t % kind.walks][step].append((t, place))
         gap = bytes(kind.steps)
         flat = np.frombuffer(b"".join(items[i] + gap for i in of.tolist()), np.uint8)
         sizes = np.array([len(items[i]) for i in of.tolist()])
@@ -225,13 +259,16 @@ class Tables:
         self.item, self.place, starts = of[own[good]], place[good], starts[good]
         keys = self.keys(flat, starts)
         self.bits = max(16, (32 * len(starts)).bit_length())
-        self.maybe, self.sorted, self.order = [], [], []
-        for t in range(kind.tables):
-            order = np.argsort(keys[t], kind="stable")
-            maybe = np.zeros(1 << self.bits, bool)
-            maybe[self._cell(keys[t])] = True
-            self.maybe.append(maybe)
-            self.sorted.append(keys[t][order])
+        #: For each table: which cells have postings; first posting of each cell and the end; key of each posting, and what it is.
+        self.maybe, self.first, self.sorted, self.order = [], [], [], []
+        for own in keys:
+            cell = self._cell(own)
+            order = np.argsort(cell, kind="stable")
+            first = np.zeros((1 << self.bits) + 1, np.int32)
+            np.cumsum(np.bincount(cell, minlength=1 << self.bits), out=first[1:])
+            self.maybe.append(first[1:] > first[:-1])
+            self.first.append(first)
+            self.sorted.append(own[order])
             self.order.append(order)
 
     def _cell(self, keys: np.ndarray) -> np.ndarray:
@@ -239,36 +276,47 @@ class Tables:
 
     def keys(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """A row of keys for each table, a column for each start. x ends with as many bytes as a walk has steps, or more, that no start reaches."""
-        keys = np.zeros((self.kind.tables, len(starts)), np.uint64)
-        for plan, move in zip(self.plan, self.move, strict=True):
-            at = starts.copy()
+        sampled = np.zeros((self.kind.tables, len(starts), 8), np.uint8)
+        if not len(starts):
+            return sampled.view(np.uint64)[:, :, 0]
+        first = int(starts[0])
+        near = x[first : int(starts[-1]) + self.kind.steps + 1]
+        move, byte = np.empty(len(starts), np.int64), np.empty(len(starts), np.uint8)
+        for plan, bits_of in zip(self.plan, self.bits_of, strict=True):
+            at, bits = starts - first, bits_of[near]
             for step in range(max((s for s, tables in enumerate(plan) if tables), default=-1) + 1):
-                byte = x[at]
-                for t in plan[step]:
-                    keys[t] = keys[t] << np.uint64(8) | byte
-                at += move[step][byte]
-        return keys
+                if plan[step]:
+                    np.take(near, at, out=byte, mode="clip")
+                    for t, place in plan[step]:
+                        sampled[t, :, place] = byte
+                np.take(bits, at, out=move, mode="clip")
+                move >>= step
+                move &= 1
+                at += move
+        return sampled.view(np.uint64)[:, :, 0]
 
     def shared(self, x: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(start, item, place in it) of starts that share a key, about HITS at once; all of a start come together."""
         for a in range(0, len(starts), STARTS):
             part = starts[a : a + STARTS]
             hits = []
-            for key, maybe, own in zip(self.keys(x, part), self.maybe, self.sorted, strict=True):
-                some = np.flatnonzero(maybe[self._cell(key)])
-                lo, hi = (np.searchsorted(own, key[some], side) for side in ("left", "right"))
-                hits.append((some[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]))
-            total = np.cumsum(sum((np.bincount(s, many, len(part)) for s, _, many in hits), np.zeros(len(part)))).astype(np.int64)
+            for key, maybe, first in zip(self.keys(x, part), self.maybe, self.first, strict=True):
+                cell = self._cell(key)
+                some = np.flatnonzero(maybe[cell])
+                cell = cell[some]
+                hits.append((some, first[cell], first[cell + 1] - first[cell], key[some]))
+            total = np.cumsum(sum((np.bincount(s, many, len(part)) for s, _, many, _ in hits), np.zeros(len(part)))).astype(np.int64)
             edge = 0
             while edge < len(part):
                 stop = max(edge + 1, int(np.searchsorted(total, (total[edge - 1] if edge else 0) + HITS, "right")))
                 found = []
-                for (s, lo, many), order in zip(hits, self.order, strict=True):
+                for (s, lo, many, key), own, order in zip(hits, self.sorted, self.order, strict=True):
                     mine = slice(*np.searchsorted(s, (edge, stop)))
-                    s, lo, many = s[mine], lo[mine], many[mine]
+                    s, lo, many, key = s[mine], lo[mine], many[mine], key[mine]
                     ends = np.cumsum(many)
-                    post = order[np.repeat(lo - (ends - many), many) + np.arange(many.sum())]
-                    found.append(np.repeat(s, many) * len(self.item) + post)
+                    post = np.repeat(lo - (ends - many), many) + np.arange(many.sum())
+                    same = own[post] == np.repeat(key, many)  # others only share the cell
+                    found.append(np.repeat(s, many)[same] * len(self.item) + order[post[same]])
                 found = np.unique(np.concatenate(found))
                 if len(found):
                     post = found % len(self.item)
@@ -285,6 +333,13 @@ class Finder:
         self.sizes = np.array([len(x) for x in self.items], np.int64)
         self.most = np.array([math.floor(EDITS * len(x)) for x in self.items], np.int64)
         kind = np.searchsorted([k.least for k in KINDS], self.sizes, "right") - 1
+        #: Blocks of items: all of them, each one's place in its item; each item's first, and how many it has.
+        self.parts = np.maximum(1, -(-self.sizes // WORD))
+        cuts = [np.linspace(0, n, p + 1).astype(int).tolist() for n, p in zip(self.sizes.tolist(), self.parts.tolist(), strict=True)]
+        self.blocks = [x[a:b] for x, c in zip(self.items, cuts, strict=True) for a, b in zip(c[:-1], c[1:], strict=True)]
+        self.block_at = np.array([a for c in cuts for a in c[:-1]], np.int64)
+        self.block_size = np.array([len(x) for x in self.blocks], np.int64)
+        self.first_block = np.cumsum(self.parts) - self.parts
         #: Starts that have to agree.
         self.need = np.array([[n for at, n in k.need if at <= x][-1] for k, x in zip([KINDS[i] for i in kind], self.sizes, strict=True)], np.int64)
         self.tables = [Tables(k, self.items, np.flatnonzero(kind == i), seed) for i, k in enumerate(KINDS) if (kind == i).any()]
@@ -296,7 +351,15 @@ class Finder:
         self.own = items
 
     def _windows(self, x: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(item, start, end) of stretches of x that enough starts point to."""
+        """(item, first diagonal, last diagonal) of windows that enough starts point to."""
+        out = [np.zeros((3, 0), np.int64)]
+        for r, e in _pieces(offsets):
+            a, b = int(offsets[r]), int(offsets[e])
+            item, lo, hi = self._near(x[a:b], offsets[r : e + 1] - a)
+            out.append(np.array([item, lo + a, hi + a]))
+        return tuple(np.concatenate(out, axis=1))
+
+    def _near(self, x: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         out = []
         padded = np.concatenate([x, np.zeros(max((t.kind.steps for t in self.tables), default=0) + 1, np.uint8)])
         for tables in self.tables:
@@ -344,19 +407,30 @@ class Finder:
         if not len(x) or not self.items:
             return []
         item, lo, hi = self._windows(x, offsets)
-        a, b = np.maximum(lo, 0), np.minimum(hi + self.sizes[item], len(x))
-        good = a < b
-        item, a, b = item[good], a[good], b[good]
-        first, last = np.searchsorted(offsets, a, "right") - 1, np.searchsorted(offsets, b, "left") - 1
-        many = last - first + 1
+        first = np.searchsorted(offsets, np.maximum(lo, 0), "right") - 1
+        last = np.searchsorted(offsets, np.minimum(hi + self.sizes[item], len(x)), "left") - 1
+        many = np.maximum(0, last - first + 1)
         row = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        item, a, b = (np.repeat(c, many) for c in (item, a, b))
-        a, b = np.maximum(a, offsets[row]), np.minimum(b, offsets[row + 1])
-        fits = b - a >= self.sizes[item] - self.most[item]
-        found = np.unique(np.column_stack([row, item, a, b])[fits], axis=0)
-        row, item, a, b = found.T
-        good = least_edits(self.items, item, x, a, b) <= self.most[item]
-        return [tuple(f) for f in found[good].tolist()]
+        item, lo, hi = (np.repeat(c, many) for c in (item, lo, hi))
+        start, stop = offsets[row], offsets[row + 1]
+        fits = np.minimum(hi + self.sizes[item], stop) - np.maximum(lo, start) >= self.sizes[item] - self.most[item]
+        row, item, lo, hi, start, stop = (c[fits] for c in (row, item, lo, hi, start, stop))
+        # of all edits, a block of an item gets its share at most, or another block does
+        parts = self.parts[item]
+        of = np.repeat(np.arange(len(item)), parts)
+        block = self.first_block[item[of]] + np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+        a = np.minimum(np.maximum(lo[of] + self.block_at[block], start[of]), stop[of])
+        b = np.minimum(np.maximum(hi[of] + self.block_at[block] + self.block_size[block], a), stop[of])
+        good = np.zeros(len(item), bool)
+        good[of[least_edits(self.blocks, block, x, a, b) <= (self.most // self.parts)[item[of]]]] = True
+        row, item, lo, hi, start, stop = (c[good] for c in (row, item, lo, hi, start, stop))
+        a, b = np.maximum(lo, start), np.minimum(hi + self.sizes[item], stop)
+        if len(item) > FEW:
+            edits = least_edits(self.items, item, x, a, b)
+        else:
+            edits = np.array([0 if self.items[i] in (t := x[p:q].tobytes()) else edit_search(self.items[i], t)[0] for i, p, q in zip(item.tolist(), a.tolist(), b.tolist(), strict=True)], np.int64)
+        good = edits <= self.most[item]
+        return [tuple(f) for f in np.unique(np.column_stack([row, item, a, b])[good], axis=0).tolist()]
 
     def find(self, x: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item, edits, start, end) in x; overlapping finds of one item in a row count once, the best of them."""

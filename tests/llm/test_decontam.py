@@ -134,3 +134,55 @@ def test_white_space_and_punctuation_of_any_script_separate():
     text = "one two three four"
     for c in " 　 、。—\u0085":
         assert D._items([{"text": text.replace(" ", c + " " + c)}]) == [text.encode()]
+
+
+@pytest.mark.parametrize("size", [None, 150, 105, 80, 65, 41, 25, 12])
+def test_recall_is_kept_up_to_the_limit_at_every_size(items, clean, size):
+    own = [x[:size].strip() for x in D._items([{"text": t} for _, t in items])]
+    own = [x for x in own if len(x) >= D.Q]
+    finder = D.Finder(own)
+    for rate in (0.02, 0.05, 0.08, 0.10, 0.12, 0.15):
+        r, texts = random.Random(8), []
+        for k, x in enumerate(own):
+            s = [bytes([b]) for b in x]
+            for p in r.sample(range(len(s)), int(rate * len(s))):
+                s[p] = r.choice([b"x", b"", s[p] + b"x", b"e"])
+            base = clean[k % len(clean)]
+            texts.append(base[:500] + b"".join(s).decode(errors="ignore") + base[500:900])
+        held = [k for k, t in enumerate(texts) if D.edit_search(own[k], D._items([{"text": t}])[0])[0] <= D.EDITS * len(own[k])]
+        got = {(row, i) for row, i, _ in found(finder, texts)}
+        assert len(held) > 100 and sum((k, k) in got for k in held) >= 0.9 * len(held), rate
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    bench = spark.createDataFrame([("a", "Ok then"), ("b", "so"), ("c", "abcdefghi"), ("d", "..."), (None, "abcdefghx"), ("e", "é")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "ok, THEN so"), (2, "soon ok thenx"), (3, "an abcdefghi."), (4, "abcdefghij É"), (5, "x abcdefghx"), (6, "... !")], "doc_id long, text string")
+    got = sorted((r.doc_id, str(r.item_id), r.edits, r.span_start, r.span_end) for r in D.find_items(docs, bench).collect())
+    assert got == [(1, "a", 0, 0, 8), (1, "b", 0, 9, 11), (3, "c", 0, 3, 12), (4, "e", 0, 11, 12), (5, "None", 0, 2, 11)]
+    assert sorted(r.doc_id for r in D.drop_contaminated(docs, bench).collect()) == [2, 6]
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "decimal(9,2)", "date", "string"])
+def test_any_type_of_item_id_and_a_very_long_text(spark, items, kind):
+    import datetime
+    from decimal import Decimal
+
+    one = {"int": 3, "long": 3, "decimal(9,2)": Decimal("3.00"), "date": datetime.date(2020, 1, 2), "string": "3"}[kind]
+    bench = spark.createDataFrame([(one, items[3][1])], f"item_id {kind}, text string")
+    docs = spark.createDataFrame([(None, "word " * 400_000 + items[3][1] + " word" * 1000)], "doc_id long, text string")
+    assert [(r.item_id, r.edits, r.span_start) for r in D.find_items(docs, bench).collect()] == [(one, 0, 2_000_000)]
+
+
+def test_the_query_against_brute_force(spark):
+    from folioflow.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    bench = [(r.item_id, D._items([r.asDict()])[0]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    want = set()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        plain = D._items([{"text": r.text}])[0]
+        want |= {(r.doc_id, i, e) for i, x in bench if (e := D.edit_search(x, plain)[0]) <= D.EDITS * len(x)}
+    got = {}
+    for r in queries.op10_decontamination(spark, sf).collect():
+        got[r.doc_id, r.item_id] = min(r.edits, got.get((r.doc_id, r.item_id), 99))
+    assert want and {(*k, e) for k, e in got.items()} == want
