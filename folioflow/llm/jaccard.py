@@ -44,9 +44,9 @@ LEAST_BITS = 256
 #: A band of sizes ends at BAND times its start.
 BAND = 4
 #: Sets compared with one leader in a task; sets in a block of a tile.
-STAR, BLOCK = 512, 1024
+STAR, BLOCK = 128, 1024
 #: Tiles of a set by which it is told whether a pair has met before (the least ones by hash).
-MARKS = 32
+MARKS = 8
 #: Rounds of stars over components before all pairs of what is left are compared.
 TURNS = 2
 #: Parts of a frequent token's postings.
@@ -193,46 +193,37 @@ def signed_sets(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def _tiles(postings: DataFrame) -> DataFrame:
-    """(token, sid, leader) of every posting (token, sid, n) that shares its tile; a frequent token's tile has several parts.
+    """(token, sid, leader) of every posting (token, sid, n) whose tile has another set that could be linked with it by size.
 
-    The leader is the first set of the posting's part whose size is within 3/4 of the set's: sizes are cut into
-    stretches of that width. A tile of one set is left out, unless other parts of it may hold more.
+    Sizes are cut into stretches whose ends are 3/4 of each other, so linked sets lie in one or in neighbouring ones.
+    The leader is the first set of the posting's stretch, so its size fits. A frequent token's tile has several
+    parts; none of its postings is left out, as other parts aren't seen.
     """
     cell = F.when(F.col("token").bitwiseAND(1) == 1, F.xxhash64("token", F.pmod("sid", F.lit(SALTS)))).otherwise(F.col("token"))
     size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DOWN / UP)) + 1e-9)
-    dealt = postings.select(cell.alias("cell"), "token", size.cast("long").alias("size"), "sid").repartition("cell").sortWithinPartitions("cell", "token", "size", "sid")
+    dealt = postings.select("token", size.cast("int").alias("size"), "sid").repartition(cell).sortWithinPartitions("token", "size", "sid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waits = np.zeros((0, 4), np.int64)  # the only set so far of the last tile: it is sent when another comes
-        last, leader = None, 0  # the last row sent, and its leader
+        rows, fits, lead = np.zeros((0, 3), np.int64), np.zeros(0, bool), np.zeros(0, np.int64)  # the last row, which waits for the next
 
-        def cut(rows: np.ndarray, lead: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-            keep = more | ((rows[:, 1] & 1) == 1)
-            return pa.RecordBatch.from_arrays([pa.array(rows[keep, 1]), pa.array(rows[keep, 3]), pa.array(lead[keep])], ["token", "sid", "leader"])
+        def cut(rows: np.ndarray, keep: np.ndarray, lead: np.ndarray) -> pa.RecordBatch:
+            keep = keep | ((rows[:, 0] & 1) == 1)
+            return pa.RecordBatch.from_arrays([pa.array(rows[keep, 0]), pa.array(rows[keep, 2]), pa.array(lead[keep])], ["token", "sid", "leader"])
 
         for batch in batches:
-            rows = np.concatenate([waits, np.column_stack([c.to_numpy() for c in batch.columns])])
-            waits = rows[:0]
-            if last is not None:  # a row that only repeats what has been sent goes
-                rows = rows[int(np.argmax(np.append((rows != last).any(1), True))) :]
-            if not len(rows):
+            if not batch.num_rows:
                 continue
+            rows = np.concatenate([rows, np.column_stack([c.to_numpy() for c in batch.columns])])
             rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])]
-            tile = np.concatenate([[0], np.cumsum((rows[1:, :2] != rows[:-1, :2]).any(1))])
-            star = np.flatnonzero(np.concatenate([[True], (rows[1:, :3] != rows[:-1, :3]).any(1)]))
-            lead = np.repeat(rows[star, 3], np.diff([*star, len(rows)]))
-            more = (np.bincount(tile) > 1)[tile]
-            if last is not None and (rows[0, :2] == last[:2]).all():
-                more[tile == 0] = True
-                if rows[0, 2] == last[2]:
-                    lead[: star[1] if len(star) > 1 else len(rows)] = leader
-            if not more[-1]:
-                waits, rows, lead, more = rows[-1:], rows[:-1], lead[:-1], more[:-1]
-            if len(rows):
-                last, leader = rows[-1], int(lead[-1])
-                yield cut(rows, lead, more)
-        if len(waits):
-            yield cut(waits, waits[:, 3], np.zeros(1, bool))
+            same = rows[1:, 0] == rows[:-1, 0]
+            star = np.flatnonzero(np.concatenate([[True], ~same | (rows[1:, 1] != rows[:-1, 1])]))
+            leads = np.repeat(rows[star, 2], np.diff([*star, len(rows)]))
+            if len(lead):
+                leads[: star[1] if len(star) > 1 else len(rows)] = lead[0]
+            fits = np.concatenate([fits if len(fits) else [False], same & (rows[1:, 1] - rows[:-1, 1] <= 1)])
+            yield cut(rows[:-1], fits[:-1] | fits[1:], leads[:-1])
+            rows, fits, lead = rows[-1:], fits[-1:], leads[-1:]
+        yield cut(rows, fits, lead)
 
     return map_arrow(dealt, run, "token long, sid long, leader long")
 
