@@ -8,6 +8,7 @@ ordinary identifiers, by MARGIN in log-likelihood and PER_CHARACTER for each cha
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +26,31 @@ MARGIN, PER_CHARACTER = 6.0, 0.5
 #: Documents drawn for the identifiers and found secrets, random strings made, and what is added to a count.
 SAMPLE_DOCS, RANDOM_STRINGS, SMOOTHING = 5_000, 3_000, 0.2
 WIDTH = 128
+#: Elements of a block of a running sum.
+BLOCK = 256
+SPAN = "struct<start:int,end:int,text:string>"
 #: Marks around matches; a text's own characters of this kind are replaced by the third, code point for code point.
 OPEN, CLOSE, OTHER = "\ue000", "\ue001", "\ue002"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, also where body uses it inside another function."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(counts: Column) -> Column:
+    """The sum of all elements before each one. Sums are made in blocks: an aggregate copies what it holds at each step."""
+
+    def sums(items: Column, count: Callable[[Column], Column]) -> Column:
+        start = F.struct(F.array().cast("array<int>").alias("before"), F.lit(0).alias("sum"))
+        step = lambda acc, x: F.struct(F.concat(acc["before"], F.array(acc["sum"])).alias("before"), (acc["sum"] + count(x)).alias("sum"))
+        return F.aggregate(items, start, step)
+
+    blocks = F.transform(F.sequence(F.lit(1), F.greatest(F.size(counts), F.lit(1)), F.lit(BLOCK)), lambda i: sums(F.slice(counts, i, BLOCK), lambda x: x))
+    joined = lambda s: F.zip_with(s, sums(s, lambda x: x["sum"])["before"], lambda x, first: F.transform(x["before"], lambda n: n + first))
+    return F.flatten(_let(blocks, joined))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start, end, text>> of the leftmost non-overlapping matches, in code points, end exclusive.
 
@@ -36,19 +58,39 @@ def matches(text: Column, pattern: str) -> Column:
     """
     safe = F.when(text.rlike(f"[{OPEN}{CLOSE}]"), F.translate(text, OPEN + CLOSE, OTHER * 2)).otherwise(text)
     pieces = F.split(F.regexp_replace(safe, pattern, f"{OPEN}$0{CLOSE}"), OPEN, -1)
-    kind = "array<struct<start:int,end:int,text:string>>"
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
+    size = lambda piece: F.char_length(piece) - F.when(piece.contains(CLOSE), 1).otherwise(0)
 
-    def step(acc: Column, piece: Column) -> Column:
+    def span(piece: Column, start: Column) -> Column:
         match = F.substring_index(piece, CLOSE, 1)
-        inside = piece.contains(CLOSE)
-        end = acc["at"] + F.char_length(match)
-        one = F.array(F.struct(acc["at"].alias("start"), end.alias("end"), match.alias("text")))
-        at = acc["at"] + F.char_length(piece) - F.when(inside, 1).otherwise(0)
-        return F.struct(at.alias("at"), F.when(inside, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
+        one = F.struct(start.alias("start"), (start + F.char_length(match)).alias("end"), match.alias("text"))
+        return F.when(piece.contains(CLOSE), one)
 
-    found = F.aggregate(pieces, first, step, lambda acc: acc["found"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(kind))
+    spans = _let(pieces, lambda p: F.zip_with(p, _let(F.transform(p, size), running), span))
+    found = F.filter(spans, lambda x: x.isNotNull())
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def apart(runs: Column, base: Column) -> Column:
+    """The runs (disjoint, by start) that no base span overlaps: as many spans start before a run's end as end up to its start.
+
+    Starts and ends of both are sorted once, and counted by running sums.
+    """
+    events = lambda spans, edge, kind: F.transform(spans, lambda m: F.struct(m[edge].alias("at"), F.lit(kind).alias("kind")))
+    # in this order at one place
+    marks = events(runs, "end", 0), events(base, "start", 1), events(base, "end", 2), events(runs, "start", 3)
+
+    def counted(events: Column) -> Column:
+        def before(of: int, there: int) -> Column:
+            """At each event of the kind there: events of the other kind that came before."""
+            sums = _let(F.transform(events, lambda e: (e["kind"] == of).cast("int")), running)
+            seen = F.zip_with(events, sums, lambda e, n: F.when(e["kind"] == there, n))
+            return F.filter(seen, lambda n: n.isNotNull())
+
+        alone = F.zip_with(before(1, 0), before(2, 3), lambda started, ended: started == ended)
+        kept = F.zip_with(runs, alone, lambda m, yes: F.when(yes, m))
+        return F.filter(kept, lambda m: m.isNotNull())
+
+    return _let(F.array_sort(F.concat(*marks)), counted)
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -57,9 +99,16 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {"assign": F.filter(matches(text, ASSIGN), long), "access": matches(text, ACCESS), "hex": matches(text, HEX)}
 
 
+def _codes(text: Column) -> Column:
+    """Code points of a text, cut at WIDTH - 1; the text is walked once."""
+    return F.transform(F.split(text, ""), lambda c: F.least(F.ascii(c), F.lit(WIDTH - 1)))
+
+
 def _bigrams(samples: DataFrame) -> DataFrame:
     """text, secret -> a row (secret, cell) for each pair of neighbouring characters, the first one's neighbour being 0."""
-    cells = F.transform(F.sequence(F.lit(1), F.char_length("text")), lambda i: F.when(i == 1, 0).otherwise(F.least(F.ascii(F.substr("text", i - 1, F.lit(1))), F.lit(WIDTH - 1))) * WIDTH + F.least(F.ascii(F.substr("text", i, F.lit(1))), F.lit(WIDTH - 1)))
+    codes = _codes(F.col("text"))
+    before = F.concat(F.array(F.lit(0)), F.slice(codes, 1, F.size(codes) - 1))
+    cells = F.zip_with(before, codes, lambda a, b: a * WIDTH + b)
     return samples.filter("text <> ''").select("secret", F.explode(cells).alias("cell"))
 
 
@@ -108,9 +157,9 @@ def labelled_samples(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 def log_ratio(run: Column, model: list[float]) -> Column:
     """Log-likelihood ratio of a string under the two models: positive where it looks random."""
     table = F.split(F.lit(",".join(f"{x:.4f}" for x in model)), ",").cast("array<double>")  # folded to a constant
-    code = lambda i: F.least(F.ascii(F.substr(run, i, F.lit(1))), F.lit(WIDTH - 1))
-    one = lambda acc, i: acc + F.get(table, F.when(i == 1, 0).otherwise(code(i - 1)) * WIDTH + code(i))
-    return F.aggregate(F.sequence(F.lit(1), F.char_length(run)), F.lit(0.0), one)
+    first = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum"))
+    step = lambda acc, code: F.struct(code.alias("before"), (acc["sum"] + F.get(table, acc["before"] * WIDTH + code)).alias("sum"))
+    return F.when(run == "", 0.0).otherwise(F.aggregate(_codes(run), first, step, lambda acc: acc["sum"]))
 
 
 def scan(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
@@ -118,21 +167,23 @@ def scan(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
 
     Positions are code points of the whole text, end exclusive. Base spans are all kept; a markov span is added
     where a run has a digit and a letter, its log ratio is MARGIN and PER_CHARACTER times its length or more, and no base span overlaps it. Null and
-    empty texts have none. Rows that repeat are scanned each. A column named secrets is replaced.
+    empty texts have none. Rows that repeat are scanned each; an empty table gives no rows. A column named secrets is
+    replaced, other columns stay. The work grows with a text's length, whatever its runs and matches.
     """
     own = F.coalesce(F.col(text), F.lit(""))
-    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+    none = F.array().cast(f"array<{SPAN}>")
     base = base_spans(own)
     out = docs.withColumns({f"__{k}": c for k, c in base.items()})
     shape = lambda k: F.transform(f"__{k}", lambda m: F.struct(m["start"].alias("start"), F.lit(KINDS.index(k)).alias("kind"), m["end"].alias("end")))
     out = out.withColumn("__base", F.concat(*(shape(k) for k in base)))
     likely = F.filter(matches(own, RUN), lambda m: m["text"].rlike("[0-9]") & m["text"].rlike("[A-Za-z]"))
     out = out.withColumn("__run", F.when(own.rlike(RUN), likely).otherwise(none))
-    apart = lambda m: ~F.exists("__base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    good = F.filter("__run", lambda m: apart(m) & (log_ratio(m["text"], model) >= F.greatest(F.lit(MARGIN), F.char_length(m["text"]) * PER_CHARACTER)))
-    out = out.withColumn("__markov", F.when(F.size("__run") > 0, good).otherwise(none))
+    good = F.filter("__run", lambda m: log_ratio(m["text"], model) >= F.greatest(F.lit(MARGIN), F.char_length(m["text"]) * PER_CHARACTER))
+    out = out.withColumn("__good", F.when(F.size("__run") > 0, good).otherwise(none))
+    alone = F.when((F.size("__good") > 0) & (F.size("__base") > 0), apart(F.col("__good"), F.col("__base"))).otherwise(F.col("__good"))
+    out = out.withColumn("__markov", alone)
     out = out.withColumn("secrets", F.array_sort(F.concat("__base", shape("markov"))))
-    return out.drop(*(f"__{k}" for k in (*base, "base", "run", "markov")))
+    return out.drop(*(f"__{k}" for k in (*base, "base", "run", "good", "markov")))
 
 
 def digest(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
