@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from .shared import join_groups, staged
 
 
+#: Hashes of groups that are broadcast at most: 16 bytes each.
+BROADCAST_GROUPS = 500_000
+
+
 def normalised(text: Column) -> Column:
     """Each run of ASCII white space becomes one space; null counts as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
@@ -24,31 +28,31 @@ def _annotated(docs: DataFrame, content_hash: Callable[[Column], Column]) -> Dat
     rows = docs.select(F.struct("*").alias("__row"), "doc_id", normalised(F.col("text")).alias("__norm"))
     rows = rows.withColumns({"__hash": content_hash(F.col("__norm")), "text_sha256": F.sha2(F.col("__norm"), 256)})
     same = [F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
-    by_bytes = rows.select("doc_id", "__hash", "__norm").groupBy("__hash", "__norm").agg(*same)
-    groups = staged(
-        by_bytes.groupBy("__hash").agg(
-            F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.count(F.lit(1)).alias("__texts")
-        ),
-        "exact-groups",
-    )
-    total, collisions = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0)), F.count_if(F.col("__texts") > 1)).first()
-    found = join_groups(rows.drop("__norm"), groups, "__hash", "group_size", total, F.col("doc_id"))
+    groups = staged(rows.select("doc_id", "__hash").groupBy("__hash").agg(*same), "exact-groups")
+    total, many = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0)), F.count_if(F.col("group_size") > 1)).first()
+    repeated = groups.filter("group_size > 1").select("__hash")
+    texts = rows.select("doc_id", "__hash", "__norm")
+    if many <= BROADCAST_GROUPS:
+        texts = texts.join(F.broadcast(repeated), "__hash", "left_semi")
+    by_bytes = texts.groupBy("__hash", "__norm").agg(*same)
+    collided = staged(by_bytes.groupBy("__hash").count().filter("count > 1").select("__hash"), "collisions")
+    found = join_groups(rows.drop("__norm"), groups, "__hash", "group_size", total, F.coalesce(F.col("doc_id").cast("string"), F.monotonically_increasing_id().cast("string")))
     keep = ["__row", "doc_id", "keep_id", "group_size", "text_sha256"]
-    if collisions:
-        bad = groups.filter("__texts > 1").select("__hash")
-        apart = rows.join(bad, "__hash", "left_semi")
+    if collided.limit(1).count():
+        apart = rows.join(collided, "__hash", "left_semi")
         own = apart.select("doc_id", "__hash", "__norm").groupBy("__hash", "__norm").agg(*same)
-        found = found.filter("__texts = 1").select(keep).unionByName(apart.join(own, ["__hash", "__norm"]).select(keep))
+        found = found.join(collided, "__hash", "left_anti").select(keep).unionByName(apart.join(own, ["__hash", "__norm"]).select(keep))
     return found.select(keep)
 
 
 def duplicate_groups(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
     """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Grouping is by (hash, bytes): the aggregate compares the bytes of texts under one hash, so colliding
-    texts stay apart. Its map-side combine leaves one row for each text and map task before the shuffle,
-    however many copies there are. Rows then find their group by the hash alone; only rows whose hash is
-    shared by different texts are matched by hash and bytes.
+    Rows are grouped by their hash. Inside groups of more than one row the bytes are compared by grouping on (hash,
+    bytes), whose map-side combine leaves one row for each text and map task before the shuffle, however many
+    copies there are; texts that no other has the hash of don't move. (Beyond BROADCAST_GROUPS groups of copies, too
+    many to tell every task which they are, all texts are grouped so.) Rows then find their group by the hash
+    alone; only rows whose hash is shared by different texts are matched by hash and bytes.
 
     Null text is an empty text. The smallest non-null doc_id of a group stays; a null doc_id stays only if
     the group has no other. Rows that repeat both doc_id and text are one document: all carry the same

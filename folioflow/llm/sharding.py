@@ -15,6 +15,7 @@ PROBES = 7
 #: A shard boundary may lie this share of a shard away from its place, an inner bucket boundary INNER of a bucket.
 TOLERANCE, INNER = 0.002, 0.25
 ROWS_PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 1_000_000, 32, 512
+NEW = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 _HALF = 1 << 63
 
 
@@ -40,16 +41,27 @@ def _interval(k1: str, k2: str, bounds: list[int]) -> Column:
 def _histogram(keys: DataFrame, bounds: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int] | None]]:
     """(bytes, rows) below each boundary, and the least and greatest key of each interval between them.
 
-    One aggregate with a map-side combine; len(bounds) + 1 rows go to the driver.
+    One hash aggregate with a map-side combine; len(bounds) + 1 rows go to the driver. The keys' halves are reduced
+    apart, so what is said of an interval's keys is a frame around them.
     """
-    key = F.struct("k1", "k2")
-    got = keys.groupBy(_interval("k1", "k2", bounds).alias("i")).agg(F.sum("size"), F.count(F.lit(1)), F.min(key), F.max(key)).collect()
+    ends = (F.min("k1"), F.min("k2"), F.max("k1"), F.max("k2"))
+    got = keys.groupBy(_interval("k1", "k2", bounds).alias("i")).agg(F.sum("size"), F.count(F.lit(1)), *ends).collect()
     by, below, n_bytes, n_rows = {r[0]: r for r in got}, [], 0, 0
     for i in range(len(bounds)):
         n_bytes, n_rows = n_bytes + (by[i][1] if i in by else 0), n_rows + (by[i][2] if i in by else 0)
         below.append((n_bytes, n_rows))
     number = lambda k: ((k[0] + _HALF) << 64) + k[1] + _HALF
-    return below, [(number(by[i][3]), number(by[i][4])) if i in by else None for i in range(len(bounds) + 1)]
+    return below, [(number(by[i][3:5]), number(by[i][5:7])) if i in by else None for i in range(len(bounds) + 1)]
+
+
+def _stretch(k1: str, k2: str, bucket: str, ends: list[int], parts: int) -> Column:
+    """Which of so many equal stretches of its bucket a key lies in: by the first half, or by the second where a bucket has one first half only."""
+    wide = [(a >> 64) < (b - 1) >> 64 for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    low = [(a >> 64 if w else a & (2 * _HALF - 1)) - _HALF for a, w in zip(ends[:-1], wide, strict=True)]
+    span = [((b - 1 >> 64) - (a >> 64) if w else b - a) + 1 for a, b, w in zip(ends[:-1], ends[1:], wide, strict=True)]
+    of = lambda values: F.get(F.array(*(F.lit(float(v)) for v in values)), F.col(bucket))
+    key = F.when(F.get(F.array(*map(F.lit, wide)), F.col(bucket)), F.col(k1)).otherwise(F.col(k2)).cast("double")
+    return F.greatest(F.lit(0), F.least(F.lit(parts - 1), F.floor((key - of(low)) / of(span) * parts))).cast("int")
 
 
 def find_splitters(keys: DataFrame, targets: list[tuple[float, float]], low: int, high: int, total: tuple[int, int]) -> list[int]:
@@ -74,7 +86,7 @@ def find_splitters(keys: DataFrame, targets: list[tuple[float, float]], low: int
                 del open_[i]
             else:  # on to the keys that are really there
                 least, most = keys_in[bisect_right(bounds, lo[0])]
-                open_[i] = ((least, *lo[1:]), (most + 1, *hi[1:]))
+                open_[i] = ((max(least, lo[0]), *lo[1:]), (min(most + 1, hi[0]), *hi[1:]))
     return [done[i] for i in range(len(targets))]
 
 
@@ -85,9 +97,10 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 8, tolerance: float = TOLERA
     if it is larger than the tolerance. Each round counts the exact bytes below all candidate boundaries over
     a staged table of keys and sizes, and narrows the intervals; the rows themselves are exchanged once.
     Shards are cut into buckets so that numbering (slot, gapless from 0 in key order) runs in parallel;
-    a bucket's first slot comes from the exact row counts of the last histogram.
+    a bucket's first slot comes from exact row counts. Beyond MOST_BUCKETS each bucket is cut into equal stretches of
+    the key, so that buckets grow in number, not in size.
 
-    size is the UTF-8 bytes of the text (null: none) plus 1. Null texts share the empty text's place, a null
+    size is the UTF-8 bytes of the text (null: none) plus 1. Columns of docs with a name of the new ones are replaced. Null texts share the empty text's place, a null
     doc_id sorts first. Rows that repeat text and doc_id have one key and can't be split; one such run larger
     than a shard makes shards uneven (some may stay empty). An empty table gives no rows.
     """
@@ -108,15 +121,29 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 8, tolerance: float = TOLERA
     shard_edge = [bounds[s * per_shard - 1] for s in range(1, n_shards)]
     shard_of = [sum(b <= lo for b in shard_edge) for lo in [0, *edge]]
     first = [starts[next(i for i, s in enumerate(shard_of) if s == shard_of[j])] for j in range(len(shard_of))]
-    at = F.array(*(F.lit(starts[j] - first[j]).cast("long") for j in range(len(shard_of))))
+    cut = lambda k1, k2: _interval(k1, k2, edge)
     own = docs.withColumns({"size": size, "text_crc32": F.crc32(text), "__k1": key1, "__k2": key2})
-    own = own.withColumn("__bucket", _interval("__k1", "__k2", edge))
-    order = Window.partitionBy("__bucket").orderBy("__k1", "__k2")
-    return own.withColumns(
-        {
-            "law": F.lit("bytes"),
-            "shard": F.get(F.array(*map(F.lit, shard_of)), F.col("__bucket")),
-            "slot": F.get(at, F.col("__bucket")) + F.row_number().over(order) - 1,
-            "grown_shard": F.lit(None).cast("int"),
-        }
-    ).drop("__k1", "__k2", "__bucket")
+    own = own.withColumn("__bucket", cut("__k1", "__k2"))
+    numbers = {
+        "law": F.lit("bytes"),
+        "shard": F.get(F.array(*map(F.lit, shard_of)), F.col("__bucket")),
+        "grown_shard": F.lit(None).cast("int"),
+    }
+    parts = -(-rows // (ROWS_PER_BUCKET * MOST_BUCKETS))
+    if parts <= 1:
+        at = F.array(*(F.lit(starts[j] - first[j]).cast("long") for j in range(len(shard_of))))
+        order = Window.partitionBy("__bucket").orderBy("__k1", "__k2")
+        numbers["slot"] = F.get(at, F.col("__bucket")) + F.row_number().over(order) - 1
+    else:
+        ends = [0, *edge, 1 << 128]
+        own = own.withColumn("__part", _stretch("__k1", "__k2", "__bucket", ends, parts))
+        counted = keys.withColumn("__bucket", cut("k1", "k2")).withColumn("__part", _stretch("k1", "k2", "__bucket", ends, parts)).groupBy("__bucket", "__part").count()
+        before, at = 0, []
+        for bucket, part, n in sorted(map(tuple, counted.collect())):  # a row for about ROWS_PER_BUCKET rows
+            at.append((bucket, part, before - first[bucket]))
+            before += n
+        own = own.join(F.broadcast(docs.sparkSession.createDataFrame(at, "__bucket int, __part int, __at long")), ["__bucket", "__part"])
+        order = Window.partitionBy("__bucket", "__part").orderBy("__k1", "__k2")
+        numbers["slot"] = F.col("__at") + F.row_number().over(order) - 1
+    out = own.withColumns(numbers).drop("__k1", "__k2", "__bucket", "__part", "__at")
+    return out.select(*(c for c in docs.columns if c not in NEW), *NEW)

@@ -45,3 +45,24 @@ def test_edges(spark):
     assert sum(len(x) for x in shards(spark.createDataFrame(rows, schema)).values()) == 5
     same = spark.createDataFrame([(7, "t", "x")] * 50, schema)
     assert sum(len(x) for x in shards(same).values()) == 50
+
+
+def test_more_buckets_than_the_most_and_clashing_columns(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 40)
+    monkeypatch.setattr(sharding, "LEAST_BUCKETS", 8)
+    monkeypatch.setattr(sharding, "MOST_BUCKETS", 16)
+    text = F.when(F.col("id") % 3 == 0, "a third of all").otherwise(F.repeat(F.lit("x"), (F.col("id") * 31 % 90).cast("int")))
+    df = spark.range(5000).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("mine").alias("slot"), F.lit(1).alias("shard"), F.lit("kept").alias("extra"))
+    got = shards(df)
+    assert sum(map(len, got.values())) == 5000
+    sizes = [sum(r.size for r in got[s]) for s in range(8)]
+    assert max(sizes) - min(sizes) < 0.01 * sum(sizes) / 8 + 200
+    out = sharding.shard_by_bytes(df)
+    assert out.columns == ["doc_id", "text", "extra", *sharding.NEW] and out.select("extra").distinct().collect() == [("kept",)]
+
+
+def test_histograms_are_hash_aggregates(spark, capsys):
+    keys = spark.range(10).selectExpr("id as k1", "id as k2", "1L as size")
+    sharding._histogram(keys, [5])
+    ends = (F.min("k1"), F.max("k2"))
+    assert "SortAggregate" not in keys.groupBy(sharding._interval("k1", "k2", [5])).agg(F.sum("size"), *ends)._jdf.queryExecution().executedPlan().toString()
