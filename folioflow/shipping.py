@@ -11,6 +11,9 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a batch that goes to a Python worker, where the session leaves Spark's default: whole texts are long, and a
+#: batch is in memory on both sides.
+BATCH_BYTES, _BATCH, _DEFAULT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
 _shipped: set[str] = set()
 
 
@@ -39,6 +42,8 @@ def give_back() -> None:
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """df.mapInArrow, with this package at hand on the executors; a task gives its memory back when it ends."""
     ship(df.sparkSession)
+    if df.sparkSession.conf.get(_BATCH, "").rstrip("b") == str(_DEFAULT):
+        df.sparkSession.conf.set(_BATCH, BATCH_BYTES)
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -35,3 +36,9 @@ def discard(*tables: DataFrame | None) -> None:
             spark = table.sparkSession
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Have the files of past shuffles deleted: Spark keeps them until the driver's next garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()
