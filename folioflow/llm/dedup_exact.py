@@ -65,7 +65,7 @@ def duplicate_groups(docs: DataFrame, content_hash: Callable[[Column], Column] =
 def drop_exact_duplicates(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
     """docs, with all its columns: of the rows of a text one with the smallest doc_id stays (see duplicate_groups), also of rows that repeat it."""
     kept = _annotated(docs, content_hash).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    again = docs.groupBy("doc_id", F.sha2(normalised(F.col("text")), 256)).count().filter("count > 1")
+    again = docs.groupBy("doc_id").count().filter("count > 1")
     if again.limit(1).count():
         kept = kept.dropDuplicates(["doc_id", "text_sha256"])
     return kept.select("__row.*")

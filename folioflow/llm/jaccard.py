@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..shipping import map_arrow
 from . import words
 from .components import components
-from .shared import discard, staged
+from .shared import discard, staged, sweep
 
 SHINGLE = 5
 #: Similarity of at least UP / DOWN links two sets.
@@ -49,6 +49,8 @@ STAR, BLOCK = 128, 1024
 MARKS = 8
 #: Rounds of stars over components before all pairs of what is left are compared.
 TURNS = 2
+#: Passes in which tiles are built, each over its share of the tokens.
+WAVES = 4
 #: Parts of a frequent token's postings.
 SALTS = 64
 #: Requests for texts up to this count (under 10 MB) are broadcast; more are joined by a shuffle.
@@ -289,10 +291,14 @@ def _mixed_tiles(tiles: DataFrame, of: DataFrame) -> DataFrame:
     Tiles of the same sets are one: of their tokens the least stays.
     """
     own = tiles.select("token", "sid").join(of, tiles["sid"] == of["id"], "left").select("token", "sid", F.coalesce("component", "sid").alias("component"))
+    kinds = own.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
+    own = staged(own.join(kinds, "token"), "mixed-tiles")
     mark = [F.sum(F.pmod(F.xxhash64("sid", F.lit(k)), F.lit(1 << 31))) for k in range(3)]  # no overflow below 4e9 sets
-    kinds = own.groupBy("token").agg(F.count(F.lit(1)).alias("many"), F.min("component").alias("lo"), F.max("component").alias("hi"), *(m.alias(f"mark{k}") for k, m in enumerate(mark)))
-    kinds = kinds.filter("lo <> hi").groupBy("many", "mark0", "mark1", "mark2").agg(F.min("token").alias("token")).select("token", "many")
-    return staged(own.join(kinds, "token"), "mixed-tiles")
+    kinds = own.groupBy("token").agg(F.count(F.lit(1)).alias("many"), *(m.alias(f"mark{k}") for k, m in enumerate(mark)))
+    kinds = kinds.groupBy("many", "mark0", "mark1", "mark2").agg(F.min("token").alias("token")).select("token", "many")
+    out = staged(own.join(kinds, "token"), "mixed-tiles")
+    discard(own)
+    return out
 
 
 def _next_stars(mixed: DataFrame, turn: int) -> DataFrame:
@@ -389,8 +395,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     signed = staged(signed_sets(docs, key), "sets")
     full = signed.filter("n > 0")
     sets = staged(full.groupBy("sid", "n").agg(F.min(key).alias("least"), F.min("row").alias("row"), F.first("signature").alias("signature")), "distinct-sets")
-    tiles = staged(_tiles(full.filter("tokens is not null").select(F.explode("tokens").alias("token"), "sid", "n")), "tiles")
     rows = staged(signed.select(key, "sid", "n"), "rows")
+    postings = full.filter("tokens is not null").select(F.explode("tokens").alias("token"), "sid", "n")
+    waves = []
+    for k in range(WAVES):  # a wave's postings are on disk at once
+        waves.append(staged(_tiles(postings.filter(F.pmod(F.shiftright("token", 1), F.lit(WAVES)) == k)), "tiles"))
+        sweep(docs.sparkSession)
+    tiles = _all(waves)
     discard(signed)
     often = tiles.filter("sid <> leader").groupBy("sid", "leader").agg(F.count(F.lit(1)).alias("n"))
     pairs = often.groupBy(F.col("sid").alias("a")).agg(F.max_by("leader", F.struct("n", "leader")).alias("b"))
@@ -400,7 +411,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     # stars over the components that are left, while they find links; then whatever pairs are left
     for turn in range(TURNS + 1):
         mixed = _mixed_tiles(tiles, of)
-        discard(tiles)
+        discard(tiles, *waves)
+        waves = []
+        sweep(docs.sparkSession)
         tiles = mixed  # components only grow: no other tile will be mixed again
         if not mixed.limit(1).count():
             break

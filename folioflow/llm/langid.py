@@ -29,9 +29,17 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Words whose scores a worker remembers.
 CACHE = 200_000
-#: A word is a run of letters: what counts as a word character but is no letter (as ½ or Ⅷ) separates.
-_NO_LETTERS = "".join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_WORD = re.compile(rf"[^\W\d_{_NO_LETTERS}]+")
+_WORD = re.compile(r"[^\W\d_]+")
+#: Texts whose new words are scored together.
+BATCH = 200
+
+
+def _words(text: str) -> list[str]:
+    """Runs of letters, lower-cased. What counts as a word character but is no letter (as ½ or Ⅷ) separates."""
+    found = _WORD.findall(text.lower())
+    if "".join(found).isalpha() or not found:
+        return found
+    return [x for word in found for x in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -106,30 +114,50 @@ class Scorer(dict):
         super().__init__()
         self.model, self.table = model, np.zeros((1024, len(model.languages)))
 
-    def __missing__(self, word: str) -> int:
-        i = len(self)
-        if i == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[i] = self.model.score(word)
-        self[word] = i
-        return i
+    def learn(self, new: set[str]) -> None:
+        """Score words (as Model.score does), all at once."""
+        if len(self) + len(new) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((max(len(self.table), len(new)), self.table.shape[1]))])
+        left, known = [], self.model.words.at
+        for i, word in enumerate(new, len(self)):
+            self[word] = i
+            left.append(word)
+        rows = {w: known[w] for w in left if w in known}
+        self.table[[self[w] for w in rows]] = self.model.words.logs[list(rows.values())]
+        left = [w for w in left if w not in rows]
+        for n in LENGTHS:
+            table, at, found, first, rest = self.model.grams[n], [], [], [], []
+            for word in left:
+                own = [i for g in _grams(word, n) if (i := table.at.get(g)) is not None]
+                if own:
+                    at.append(self[word])
+                    first.append(len(found))
+                    found += own
+                else:
+                    rest.append(word)
+            if at:
+                size = np.diff([*first, len(found)])
+                self.table[at] = np.add.reduceat(table.logs[found], first, axis=0) / size[:, None]
+            left = rest
+        self.table[[self[w] for w in left]] = 0.0
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Languages, their probabilities, and whether any piece of the text is known (else the language is a guess)."""
         names, sure, known = [], np.zeros(len(texts)), np.zeros(len(texts), bool)
-        for k, text in enumerate(texts):
-            words = _WORD.findall(text.lower()) if text else []
-            if not words or not self.model.languages:
-                names.append(UNKNOWN)
-                continue
+        for a in range(0, len(texts), BATCH):
+            lists = [_words(text) if text else [] for text in texts[a : a + BATCH]]
             if len(self) > CACHE:
                 self.clear()
-            rows = [self[w] for w in words]
-            total = self.table[rows].sum(0)
-            known[k] = total.any()
-            best = int(total.argmax())
-            names.append(self.model.languages[best])
-            sure[k] = 1 / np.exp(total - total[best]).sum()
+            self.learn(set().union(*lists).difference(self))
+            for k, words in enumerate(lists, a):
+                if not words or not self.model.languages:
+                    names.append(UNKNOWN)
+                    continue
+                total = self.table[list(map(self.__getitem__, words))].sum(0)
+                known[k] = total.any()
+                best = int(total.argmax())
+                names.append(self.model.languages[best])
+                sure[k] = 1 / np.exp(total - total[best]).sum()
         return names, sure, known
 
 
@@ -162,7 +190,7 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS, key
         for batch in batches:
             found: Counter = Counter()
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for word, n in Counter(_WORD.findall(text.lower())).items():
+                for word, n in Counter(_words(text)).items():
                     found[lang, word] += n
             keys = list(found)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())], ["lang", "word", "n"])

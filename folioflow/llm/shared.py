@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import discard, staged  # noqa: F401  operators take it from here
+from ..staging import discard, staged, sweep  # noqa: F401  operators take it from here
 
 #: A group is hot when it holds more than one row in HOT_SHARE; so there are fewer than HOT_SHARE hot groups.
 HOT_SHARE = 1000
