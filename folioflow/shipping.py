@@ -42,7 +42,7 @@ def give_back() -> None:
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """df.mapInArrow, with this package at hand on the executors; a task gives its memory back when it ends."""
     ship(df.sparkSession)
-    if df.sparkSession.conf.get(_BATCH, "").rstrip("b") == str(_DEFAULT):
+    if df.sparkSession.conf.get(_BATCH) == f"{_DEFAULT}b":
         df.sparkSession.conf.set(_BATCH, BATCH_BYTES)
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
