@@ -35,12 +35,12 @@ def fill_nature(spark, sf):
 
 def match_cardinality(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    li = _t(spark, sf, "lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity")
+    li = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity")
     return match.cardinality_join(o, li, "o_orderkey", ["l_partkey", "l_quantity"])
 
 
 def ordered_lookup(spark, sf):
-    o = _t(spark, sf, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     o = number.running_total(o, ["o_totalprice", "o_orderkey"], F.lit(1).cast("long"), "ordinal")
     li = _t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(_money("l_quantity")).cast("double").alias("quantity"), F.count(F.lit(1)).alias("n_items"))
     return match.ordered_lookup(o, li, "o_orderkey", ["quantity", "n_items"]).select("ordinal", "o_orderkey", "quantity", "n_items", "found")
@@ -250,8 +250,8 @@ def missing_fields(spark, sf):
 
 def band_match(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", "p_brand", F.col("p_retailprice").alias("at"))
-    labels = p.filter("p_partkey % 10 = 0").select(F.col("p_partkey").alias("label"), "p_brand", "at")
-    pairs = match.band_join(labels, p.filter("p_partkey % 10 <> 0"), "at", 5.0, ["p_brand"])
+    labels = p.select(F.col("p_partkey").alias("label"), "p_brand", "at")
+    pairs = match.band_join(labels, p, "at", 5.0, ["p_brand"]).filter("label <> p_partkey")
     best = extract.nearest_value(pairs, ["label"], F.abs(F.col("label_position") - F.col("at")))
     return best.select("label", "p_partkey")
 
@@ -293,12 +293,12 @@ select c_custkey, name, coalesce(nature, new) as nature,
   case when nature is not null then 'kept' when new is null then 'missing' else 'filled' end as fill_status
 from t left join r on lower(regexp_replace(name, '\\s', '', 'g')) = k""".replace("\\\\", "\\"),
     "match_cardinality": """
-with m as (select l_orderkey, count(*) as n, min(l_partkey) as p, min(l_quantity) as q from lineitem where l_linenumber = 1 group by 1)
+with m as (select l_orderkey, count(*) as n, min(l_partkey) as p, min(l_quantity) as q from lineitem group by 1)
 select o_orderkey, o_orderstatus, case when n = 1 then p end as l_partkey, case when n = 1 then q end as l_quantity,
   case when n is null then 'unmatched' when n > 1 then 'duplicate' else 'matched' end as match_status
 from orders left join m on o_orderkey = l_orderkey""",
     "ordered_lookup": """
-with o as (select o_orderkey, row_number() over (order by o_totalprice, o_orderkey) as ordinal from orders where o_orderstatus = 'F'),
+with o as (select o_orderkey, row_number() over (order by o_totalprice, o_orderkey) as ordinal from orders),
 l as (select l_orderkey, cast(sum(cast(l_quantity as decimal(18,2))) as double) as quantity, count(*) as n_items from lineitem group by 1)
 select ordinal, o_orderkey, quantity, n_items, l_orderkey is not null as found from o left join l on o_orderkey = l_orderkey""",
     "reverse_reconcile": """
@@ -334,7 +334,7 @@ select 'precheck' as stage, 'error' as severity, code, count(*) as n from f grou
 with n as (select o_orderkey, row_number() over (order by o_orderdate, o_orderkey) - 1 as k from orders)
 select o_orderkey, k // 23 + 1 as page_no, k % 23 + 1 as line_no from n""",
     "page_ranges": _RANGES + " select doc_id, pages, page_from, page_to from ranges",
-    "page_assign": _RANGES + ", p as (select cast(page as bigint) as page from range(1, 2001) as t(page)) select page, doc_id from p join ranges on page >= page_from and page <= page_to",
+    "page_assign": _RANGES + ", p as (select cast(unnest(range(1, (select max(page_to) from ranges) + 1)) as bigint) as page) select page, doc_id from p join ranges on page >= page_from and page <= page_to",
     "fixed_split": f"""
 with d as (select doc_id, unnest(range(1, cast(ceil(n_chars / {PAGE_CHARS}.0) as bigint) + 1)) as page from documents)
 select doc_id, page, (page - 1) // 4 + 1 as part_no, (page - 1) % 4 + 1 as part_page from d""",
@@ -382,8 +382,8 @@ union all select 'demo', 'error', 'tax', count(*) from lineitem where l_tax > 0.
     "missing_fields": """
 select c_custkey, concat_ws(',', case when c_custkey % 2 = 0 then 'name' end, case when c_custkey % 3 = 0 then 'segment' end) as missing from customer""",
     "band_match": """
-with l as (select p_partkey as label, p_brand, p_retailprice as pos from part where p_partkey % 10 = 0)
-select label, p_partkey from l join part p on p.p_brand = l.p_brand and abs(p_retailprice - pos) <= 5.0 and p_partkey % 10 <> 0
+with l as (select p_partkey as label, p_brand, p_retailprice as pos from part)
+select label, p_partkey from l join part p on p.p_brand = l.p_brand and abs(p_retailprice - pos) <= 5.0 and p_partkey <> label
 qualify row_number() over (partition by label order by abs(pos - p_retailprice), p.p_brand, p_partkey) = 1""",
     "column_letters": "select n_nationkey, cast((ascii(upper(n_name[1])) - 64) * 26 + ascii(upper(n_name[2])) - 64 as bigint) as number from nation",
     "rotation": "select doc_id, cast(case when lang = 'en' then 270 else 0 end as bigint) as rotation from documents",

@@ -28,10 +28,15 @@ def cardinality_join(left: DataFrame, right: DataFrame, key: str, values: list[s
 
 
 def ordered_lookup(left: DataFrame, right: DataFrame, key: str, values: list[str]) -> DataFrame:
-    """Left join by a key that is unique on the right, with found; the left side's ordinal column keeps the order."""
-    one = right.select(F.col(key).alias("__key"), F.lit(True).alias("__found"), *values)
+    """Left join by a key that is unique on the right, with found; the left side's ordinal column keeps the order.
+
+    A key that isn't unique there is an error where it is asked for: it would multiply rows.
+    """
+    one = right.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*values)).alias("__value"))
     out = left.join(one, left[key] == one["__key"], "left")
-    return out.select(*left.columns, *values, F.coalesce("__found", F.lit(False)).alias("found"))
+    twice = F.raise_error(F.lit(f"{key} is not unique on the right"))
+    own = [F.when(F.col("__n") > 1, twice).otherwise(F.col("__value")[v]).alias(v) for v in values]
+    return out.select(*left.columns, *own, F.col("__n").isNotNull().alias("found"))
 
 
 def fill_by_name(table: DataFrame, reference: DataFrame, name: str, value: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
@@ -60,20 +61,32 @@ def xlsx_cells(content: bytes, sheets: set[str] | None = None) -> Iterator[Cell]
                 yield sheet.get("name"), *split_ref(c.get("r")), text, {"n": "number", "b": "boolean", "e": "error"}.get(kind, "text")
 
 
+def _span(attrs, name: str) -> int:
+    said = dict(attrs).get(name) or "1"
+    return max(1, int(said)) if said.strip().isdecimal() else 1
+
+
 class _Tables(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.cells: list[Cell] = []
         self.table, self.row, self.column, self.text = 0, 0, 0, None
+        self.down: dict[int, int] = {}  # column -> rows below that a cell above reaches into
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag == "table":
-            self.table, self.row = self.table + 1, 0
+            self.table, self.row, self.down = self.table + 1, 0, {}
         elif tag == "tr":
             self.row, self.column = self.row + 1, 0
+            self.taken = {c for c, n in self.down.items() if n}
+            self.down = {c: n - 1 for c, n in self.down.items() if n}
         elif tag in ("td", "th"):
             self.column, self.text = self.column + 1, ""
-            self.span = int(dict(attrs).get("colspan") or 1)
+            while self.column in getattr(self, "taken", ()):
+                self.column += 1
+            self.span = _span(attrs, "colspan")
+            if (rows := _span(attrs, "rowspan")) > 1:
+                self.down |= {self.column + k: rows - 1 for k in range(self.span)}
 
     def handle_data(self, data: str) -> None:
         if self.text is not None:
@@ -122,6 +135,10 @@ def files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = Tru
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(path)
 
 
+#: What a broken, encrypted or oddly encoded file raises.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, ElementTree.ParseError, LookupError, ValueError, TypeError, RuntimeError, EOFError, OSError)
+
+
 def read_cells(found: DataFrame, sheets: list[str] | None = None, readers: dict | None = None) -> DataFrame:
     """The table cells of all workbooks in found (columns path, content); readers: more kinds, such as biff."""
     readers, only = CELL_READERS | (readers or {}), set(sheets) if sheets else None
@@ -133,7 +150,7 @@ def read_cells(found: DataFrame, sheets: list[str] | None = None, readers: dict
                 try:
                     if (kind := sniffed(content)) in readers:
                         rows = list(readers[kind](content, only))
-                except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError, IndexError, TypeError):
+                except UNREADABLE:
                     rows = []  # unreadable() reports the file
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path] * len(rows), pa.string()), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string())))],
@@ -154,7 +171,7 @@ def read_paragraphs(found: DataFrame) -> DataFrame:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
                     rows = list(docx_paragraphs(content))
-                except (zipfile.BadZipFile, ElementTree.ParseError, KeyError):
+                except UNREADABLE:
                     rows = []
                 yield pa.RecordBatch.from_arrays([pa.array([path] * len(rows), pa.string()), pa.array(range(1, len(rows) + 1), pa.int32()), pa.array(rows, pa.string())], ["path", "para_no", "text"])
 

@@ -21,12 +21,22 @@ def not_available(content: bytes) -> list[tuple[int, str]]:
     raise NotImplementedError("no reader for this format is installed; pass one")
 
 
+def _pages(reader: PageReader, content: bytes) -> list[tuple[int, str]]:
+    """A reader's pages; none if it fails on this file (unread files are reported as findings)."""
+    try:
+        return reader(content)
+    except NotImplementedError:
+        raise
+    except Exception:  # noqa: BLE001  whatever a plug-in raises on one file doesn't stop the others
+        return []
+
+
 def read_pages(found: DataFrame, reader: PageReader = not_available) -> DataFrame:
     """The table pages of found files (path, content) by a reader that runs on the executors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(p, k, r, bool(t), t) for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for k, (r, t) in enumerate(reader(c), 1)]
+            rows = [(p, k, r, bool(t), t) for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for k, (r, t) in enumerate(_pages(reader, c), 1)]
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], SCHEMAS["pages"].fieldNames())
 

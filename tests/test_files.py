@@ -109,3 +109,10 @@ def test_intake_takes_each_content_once(spark, tmp_path):
     (inbox / "e.txt").write_text("3")
     intake.take_in(intake.new_files(spark, str(inbox)), out, state)
     assert sorted(bytes(r.content) for r in spark.read.parquet(out).collect()) == [b"1", b"2", b"3"]
+
+
+def test_rowspan_keeps_later_cells_in_their_columns():
+    from folioflow.sources import office
+
+    page = b"<table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td><td colspan=x>d</td></tr><tr><td>e</td></tr></table>"
+    assert [(r, c, t) for _, r, c, t, _ in office.html_cells(page)] == [(1, 1, "a"), (1, 2, "b"), (2, 2, "c"), (2, 3, "d"), (3, 1, "e")]

@@ -154,3 +154,15 @@ def test_page_assign_reaches_the_last_page(spark, tmp_path):
     spark.range(1, 4).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), (F.col("id") * 1_800_000).alias("n_chars")).write.parquet(f"{tmp_path}/documents.parquet")
     got = catalog.page_assign(spark, str(tmp_path)).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("page").alias("last")).collect()
     assert sorted(map(tuple, got)) == [(1, 1000, 1000), (2, 2000, 3000), (3, 3000, 6000)]
+
+
+def test_ordered_lookup_tells_of_a_double_key(spark):
+    import pytest
+    from folioflow.operators import match
+
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "ordinal int, k string")
+    right = spark.createDataFrame([("a", 5), ("c", 6), ("c", 7)], "k string, v int")
+    got = match.ordered_lookup(left, right, "k", ["v"]).orderBy("ordinal").collect()
+    assert [tuple(r) for r in got] == [(1, "a", 5, True), (2, "b", None, False)]
+    with pytest.raises(Exception, match="not unique"):
+        match.ordered_lookup(left.withColumn("k", __import__("pyspark.sql.functions").sql.functions.lit("c")), right, "k", ["v"]).collect()
