@@ -445,13 +445,17 @@ def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """docs, with all columns: of each component one row, with the least key. Rows without shingles stay.
 
     Each row is decided by its key and text, so rows that share a key, or have none, don't share a fate; of rows
-    that repeat both, one stays.
+    that repeat both, one stays. Null and empty texts have no shingles; other columns keep their names and values,
+    whatever they are called; an empty table gives an empty one.
     """
-    rows = docs.withColumn("__id", _row_id(docs, key))
-    found = staged(near_duplicates(rows.select("__id", "text"), "__id"), "row-decisions")
-    drop = found.filter("__id <> component_id").select("__id").distinct()
-    out = rows.join(drop, "__id", "left_anti")
-    if found.filter("n_shingles > 0").groupBy("__id").count().filter("count > 1").limit(1).count():
+    mark = "__id"
+    while mark in docs.columns:
+        mark = f"_{mark}"
+    rows = docs.withColumn(mark, _row_id(docs, key))
+    found = staged(near_duplicates(rows.select(mark, "text"), mark), "row-decisions")
+    drop = found.filter(F.col(mark) != F.col("component_id")).select(mark).distinct()
+    out = rows.join(drop, mark, "left_anti")
+    if found.filter("n_shingles > 0").groupBy(mark).count().filter("count > 1").limit(1).count():
         full = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-        out = out.filter(full).dropDuplicates(["__id"]).unionByName(out.filter(~full))
+        out = out.filter(full).dropDuplicates([mark]).unionByName(out.filter(~full))
     return out.select(docs.columns)
