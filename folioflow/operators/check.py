@@ -87,3 +87,12 @@ def file_checks(material: DataFrame, name_pattern: str, copy_pattern: str, exten
     out = out.unionByName(findings(material, ~name.rlike(name_pattern), name, "name_format", "name is not in the agreed form", stage))
     out = out.unionByName(findings(material, name.rlike(copy_pattern), name, "copy", "looks like a copy of a file", stage))
     return out.unionByName(more_than_once("name", "duplicate_name")).unionByName(more_than_once("sha256", "duplicate_content"))
+
+
+def control_total(rows: DataFrame, amount: str, stated: Column, tolerance: str = "0") -> DataFrame:
+    """One row: n, total, n_blank, stated and status of a whole table against its stated total (a constant). Exact decimals; blanks make it incomplete."""
+    money = F.col(amount).cast("decimal(18,2)")
+    out = rows.agg(F.count(money).alias("n"), F.sum(money).alias("total"), F.count_if(money.isNull()).alias("n_blank"), F.max(stated.cast("decimal(28,2)")).alias("stated"))
+    near = F.abs(F.col("total") - F.col("stated")) <= F.lit(tolerance).cast("decimal(18,2)")
+    status = F.when((F.col("n_blank") > 0) | F.col("total").isNull() | F.col("stated").isNull(), "incomplete").when(near, "ok").otherwise("mismatch")
+    return out.withColumn("status", status)

@@ -82,3 +82,28 @@ def agreement(first: Column, second: Column) -> Column:
 def in_order(rows: DataFrame, keys: list[str], order: str, value: str, name: str = "items") -> DataFrame:
     """The values of each key as an array in order."""
     return rows.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda s: s[value]).alias(name))
+
+
+def crossing(cells: DataFrame, row_labels: dict[str, str], headings: dict[str, str]) -> DataFrame:
+    """Values where the row of a label meets the column of a heading: path, sheet, label, heading, row, col, value.
+
+    Labels and headings are patterns by name; a value lies right of its label and below its heading. Equi-joins on
+    the cells' own rows and columns; blank cells give nothing, a label that occurs twice gives both.
+    """
+    def named(patterns: dict[str, str], name: str) -> DataFrame:
+        hit = F.explode(F.array_compact(F.array(*(F.when(F.col("raw").rlike(p), F.lit(k)) for k, p in patterns.items()))))
+        return cells.select("path", "sheet", "row", "col", hit.alias(name))
+
+    rows = named(row_labels, "label").withColumnRenamed("col", "__label_col")
+    tops = named(headings, "heading").withColumnRenamed("row", "__heading_row")
+    both = cells.select("path", "sheet", "row", "col", blank_to_null(F.col("raw")).alias("value")).filter("value is not null")
+    both = both.join(rows, ["path", "sheet", "row"]).filter("col > __label_col")
+    both = both.join(tops, ["path", "sheet", "col"]).filter("row > __heading_row")
+    return both.select("path", "sheet", "label", "heading", "row", "col", "value")
+
+
+def group_numbers(pages: DataFrame, keys: list[str], page: str, size: int, pattern: str, text: str = "text") -> DataFrame:
+    """The greatest number that a pattern finds on each run of size pages: keys, part_no, number, n_read (pages that have one)."""
+    part = F.floor((F.col(page) - 1) / size).cast("long") + 1
+    found = captured(F.col(text), pattern)
+    return pages.groupBy(*keys, part.alias("part_no")).agg(F.max(found).alias("number"), F.count(found).alias("n_read"))

@@ -107,3 +107,8 @@ def conflicts(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """One row for each key: how many different values it has, and value only where there is just one (else blank, to be flagged)."""
     out = rows.groupBy(*keys).agg(F.countDistinct(value).alias("n_values"), F.min(value).alias("__one"))
     return out.select(*keys, "n_values", F.when(F.col("n_values") == 1, F.col("__one")).alias(value), (F.col("n_values") > 1).alias("conflict"))
+
+
+def common_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that both sides hold, once each; a key with a blank part is none."""
+    return a.select(*keys).distinct().join(b.select(*keys), keys, "left_semi")

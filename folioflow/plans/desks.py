@@ -141,3 +141,22 @@ def write_region(planned: DataFrame, existing: DataFrame, keys: list[str], value
 def next_free_row(existing: DataFrame, keys: list[str], value: str) -> DataFrame:
     """The row after the last one that holds something, for each sheet."""
     return existing.filter(F.col(value).isNotNull()).groupBy(*keys).agg((F.max("row") + 1).alias("next_row"))
+
+
+def holdings_checks(pages: DataFrame, batch: DataFrame, account_pattern: str, cash_pattern: str) -> tuple[DataFrame, DataFrame]:
+    """(path and whether all checks passed, findings). pages: path, page_no, text; batch: path, pages as recorded.
+
+    Some page must show the account, the last page the cash position, and their number must be the batch's. A file
+    without any page fails all three. One aggregate for each file, so no file's pages come together.
+    """
+    seen = pages.groupBy("path").agg(
+        F.bool_or(F.coalesce(F.col("text").rlike(account_pattern), F.lit(False))).alias("account"),
+        F.max_by(F.coalesce(F.col("text").rlike(cash_pattern), F.lit(False)), F.col("page_no")).alias("cash"),
+        F.count_distinct("page_no").alias("there"),
+    )
+    out = batch.select("path", F.col("pages").alias("__want")).join(seen, "path", "left").fillna({"account": False, "cash": False, "there": 0})
+    out = out.withColumn("count_ok", F.coalesce(F.col("there") == F.col("__want"), F.lit(False)))
+    passed = out.select("path", (F.col("account") & F.col("cash") & F.col("count_ok")).alias("passed"))
+    found = check.findings(out, ~F.col("account"), F.col("path"), "no_account", "no page shows the account", "holdings")
+    found = found.unionByName(check.findings(out, ~F.col("cash"), F.col("path"), "no_cash", "the last page shows no cash position", "holdings"))
+    return passed, found.unionByName(check.findings(out, ~F.col("count_ok"), F.col("path"), "page_count", "not the batch's number of pages", "holdings"))

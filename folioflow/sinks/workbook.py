@@ -7,9 +7,11 @@ import zipfile
 from collections.abc import Iterable
 from xml.sax.saxutils import escape, quoteattr
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..functions.text import column_letters
+from ..shipping import map_arrow
 
 MOST_ROWS = 1_048_576
 _TYPES = '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>{sheets}</Types>'
@@ -56,3 +58,14 @@ def to_workbook(tables: dict[str, DataFrame], header: bool = True) -> bytes:
                 raise ValueError(f"{name} has more rows than a sheet holds")
         sheets[name] = rows
     return workbook(sheets)
+
+
+def workbooks(rows: DataFrame, path: str, values: str, sheet: str = "Sheet1") -> DataFrame:
+    """A workbook for each row, written on the executors: path, content. values: array of arrays of text, one person's sheet."""
+
+    def run(batches):
+        for batch in batches:
+            for name, table in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([workbook({sheet: table or []})], pa.binary())], ["path", "content"])
+
+    return map_arrow(rows.select(path, values), run, "path string, content binary")

@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-from folioflow import catalog
+from folioflow import catalog, catalog_desks
 
+QUERIES, ORACLES = catalog.QUERIES | catalog_desks.QUERIES, catalog.ORACLES | catalog_desks.ORACLES
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -22,14 +23,14 @@ def canon(rows):
 
 
 def test_each_query_has_an_oracle():
-    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(catalog.QUERIES))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_as_duckdb(spark, duck, name):
-    df = catalog.QUERIES[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
-    run = duck.execute(catalog.ORACLES[name])
+    run = duck.execute(ORACLES[name])
     there = [d[0] for d in run.description]
     assert sorted(there) == cols
     expected = [tuple(r[there.index(c)] for c in cols) for r in run.fetchall()]
