@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from .functions import text as X
 from .operators import check, extract, match, number, score
 from .plans import desks
-from .sinks import deliver
+from .sinks import deliver, print_files
 from .sinks.workbook import workbooks
-from .sources import office, places
+from .sources import office, places, seams
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -255,6 +255,28 @@ def html_cells(spark, sf):
     return _read_back(office.read_cells(_sheets(spark, sf).select("path", page.cast("binary").alias("content"))))
 
 
+def _trade_files(spark, sf):
+    """A PDF for each order, a page for each of its first lines: as many as the order's number says."""
+    o = _t(spark, sf, "orders").repartition(spark.sparkContext.defaultParallelism)  # a file is far larger than its row
+    page = F.transform(F.expr("sequence(1, cast(o_orderkey % 3 as int) + 1)"), lambda k: F.concat(F.lit("Trade no. T"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.lit("\nprice "), F.col("o_totalprice").cast("string"), F.lit("\npage "), k.cast("string")))
+    return o.select("o_custkey", "o_orderkey", F.size(page).alias("pages"), page.alias("texts"))
+
+
+def pdf_fields(spark, sf):
+    """Confirmations as PDFs, read back: one row a page, fields by patterns."""
+    files = print_files.text_files(_trade_files(spark, sf), "o_orderkey", "texts")
+    out = extract.text_fields(seams.read_text_pdfs(files), {"trade": "T([0-9]{8})", "own_page": "page ([0-9]+)"})
+    return out.select("path", F.col("page_no").cast("long").alias("page_no"), "trade", "own_page")
+
+
+def pdf_merged(spark, sf):
+    """Each customer's PDFs merged in order, padded to even page counts; the pages of the merged files."""
+    t = _trade_files(spark, sf)
+    files = print_files.text_files(t, "o_orderkey", "texts").select(F.col("path").cast("long").alias("o_orderkey"), "content").join(t.select("o_orderkey", "o_custkey"), "o_orderkey")
+    pages = seams.read_text_pdfs(print_files.merged(files, "o_custkey", "o_orderkey", even=True).withColumnRenamed("o_custkey", "path"))
+    return pages.select(F.col("path").alias("batch"), F.col("page_no").cast("long").alias("page_no"), "has_text", X.captured(F.col("text"), "T([0-9]{8})").alias("trade"))
+
+
 def material(spark, sf):
     p = _t(spark, sf, "pages").select(F.concat(F.lit("/in/"), (F.col("page_id") % 100).cast("string"), F.lit("/p"), F.col("page_id").cast("string"), F.lit(".HTML")).alias("path"), F.length("html").cast("long").alias("length"), F.col("html").cast("binary").alias("content"))
     return places.with_batch(office.material(p, "run")).select("run_id", "case_id", "path", "name", "ext", "sha256", "length", F.col("batch_no").cast("long").alias("batch_no"))
@@ -319,7 +341,7 @@ def union_kinds(spark, sf):
 _QUERIES = (
     settlement_old, settlement_new, settlement_findings, policy_table, policy_findings, compliance_findings, register_cases, register_persons, register_findings,
     statement_figures, crossing_values, occupied_findings, next_free_row, merge_plan, split_plan, split_findings, batch_findings, batch_records, holdings_checks,
-    holdings_findings, trade_numbers, read_answers, answer_findings, answers_from_sheet, pick_cells, row_block, xlsx_cells, html_cells, material, pending_lines,
+    holdings_findings, trade_numbers, read_answers, answer_findings, answers_from_sheet, pick_cells, row_block, xlsx_cells, html_cells, pdf_fields, pdf_merged, material, pending_lines,
     source_records, text_functions, control_total, distinct_items, common_keys, top_k, source_order, union_kinds,
 )
 QUERIES = {f.__name__: f for f in _QUERIES}
@@ -418,6 +440,13 @@ from lineitem where l_linenumber >= 3 group by all""",
 from l, (select unnest(range(1, 4)) as col)""",
     "html_cells": _LINES + """ select cast(l_orderkey as varchar) as path, row, [1, 3, 4][k]::bigint as col, [cast(l_linenumber as varchar), l_returnflag, cast(l_partkey as varchar)][k] as raw
 from l, (select unnest(range(1, 4)) as k)""",
+    "pdf_fields": """
+select cast(o_orderkey as varchar) as path, k as page_no, lpad(cast(o_orderkey as varchar), 8, '0') as trade, cast(k as varchar) as own_page
+from (select o_orderkey, unnest(range(1, o_orderkey % 3 + 2)) as k from orders)""",
+    "pdf_merged": """
+with f as (select o_custkey, o_orderkey, o_orderkey % 3 + 1 as own, unnest(range(1, (o_orderkey % 3 + 2) // 2 * 2 + 1)) as k from orders)
+select cast(o_custkey as varchar) as batch, row_number() over (partition by o_custkey order by o_orderkey, k) as page_no, k <= own as has_text,
+  case when k <= own then lpad(cast(o_orderkey as varchar), 8, '0') end as trade from f""",
     "material": """
 with p as (select cast(page_id % 100 as varchar) as case_id, 'p' || page_id || '.HTML' as name, html from pages)
 select 'run' as run_id, case_id, '/in/' || case_id || '/' || name as path, name, 'html' as ext, sha256(html) as sha256, length(html) as length,

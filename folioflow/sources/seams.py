@@ -1,4 +1,4 @@
-"""Seams for readers that live outside the engine: text recognition, PDF text, legacy workbooks.
+"""Pages of files by a reader; text recognition is a seam for a reader that lives outside the engine.
 
 A seam takes a function on bytes and gives a DataFrame; results are kept by content hash, so a file is read once.
 """
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import SCHEMAS
 from ..shipping import map_arrow
+from .pdf import pdf_pages
 
 PageReader = Callable[[bytes], list[tuple[int, str]]]  # content -> (rotation, text) of each page
 
@@ -47,3 +48,8 @@ def not_yet_read(found: DataFrame, cache: DataFrame) -> DataFrame:
     """Files whose content hash is not in the cache."""
     own = found.withColumn("sha256", F.sha2("content", 256))
     return own.join(cache.select("sha256").distinct(), "sha256", "left_anti")
+
+
+def read_text_pdfs(found: DataFrame) -> DataFrame:
+    """The table pages of PDFs with a text layer. A scanned page comes with has_text false, for a recogniser."""
+    return read_pages(found, pdf_pages)
