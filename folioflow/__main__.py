@@ -4,9 +4,17 @@ list                                        names of the queries
 query NAME DATA [--output DIR]              run a query over a folder of Parquet tables
 compliance TABLE REFERENCE --base DIR       fill blank natures by name (columns A, C of one workbook; B, D of the other)
 answers FOLDER --base DIR                   read questionnaires (.docx) into an answer sheet
+settlement LIST EXPORT --base DIR --columns LETTERS --outgoing WORD
+                                            look up a cumulative list in an export, check it in reverse, old and new layout
+policy TABLE POLICIES --base DIR --columns LETTERS
+                                            fill a policy table by contract number, check that the funding parts add up
+merge FOLDER --base DIR [--even]            one print file for each folder of PDFs below FOLDER
+texts FOLDER --base DIR                     the text of PDFs, page by page
 precheck FOLDER --name PATTERN --ext EXT    findings of a folder of files
 intake FOLDER --base DIR                    take in files that are new by content
 
+--columns names a list's columns by letters, comma-separated: settlement number, amount, company amount, direction of
+LIST, then number and value of EXPORT; policy number, total, parts (one or more) of TABLE, then number and value of POLICIES.
 --preview shows the result and writes nothing.
 """
 
@@ -15,46 +23,85 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import catalog
+from . import catalog, catalog_desks
 from .operators import check, extract, score
 from .plans import desks
+from .sinks import print_files
 from .sinks.deliver import Run
-from .sources import office
+from .sources import office, seams
 from .streaming import intake
 
 
+QUERIES = catalog.QUERIES | catalog_desks.QUERIES
+
+
 def _column_table(spark: SparkSession, path: str, columns: dict[int, str], first_row: int) -> DataFrame:
     cells = office.read_cells(office.files(spark, path))
     return extract.row_block(cells, first_row, columns)
 
 
-def _deliver(run: Run, outputs: dict[str, DataFrame], found: DataFrame, desk: str) -> None:
+def _deliver(run: Run, outputs: dict[str, DataFrame], found: DataFrame, desk: str, order: dict[str, list[str]] | None = None) -> None:
     if run.dry:
         for name, df in outputs.items():
             print(name)
             df.show(truncate=False)
         found.show(truncate=False)
-    print(run.deliver(outputs, found, desks.POLICIES[desk]), "findings", "" if run.dry else run.path(""))
+    print(run.deliver(outputs, found, desks.POLICIES[desk], order=order), "findings", "" if run.dry else run.path(""))
+
+
+def _letters(text: str) -> list[int]:
+    """Column numbers of letters such as A,AC."""
+    return [office.split_ref(f"{c.strip().upper()}1")[1] for c in text.split(",")]
+
+
+def _settlement(spark: SparkSession, a) -> None:
+    key, amount, company, direction, other_key, value = _letters(a.columns or "C,D,E,F,AC,A")
+    listed = _column_table(spark, a.inputs[0], {key: "contract", amount: "amount", company: "company_amount", direction: "direction"}, a.first_row)
+    listed = listed.select(F.col("row").alias("ordinal"), "contract", "direction", *(F.col(c).cast("decimal(18,2)").alias(c) for c in ("amount", "company_amount")))
+    export = _column_table(spark, a.inputs[1], {other_key: "contract", value: "value"}, a.first_row)
+    old, new, found = desks.settlement(listed, export, "contract", ["value"], "amount", "direction", a.outgoing or [], ["company_amount"])
+    order = {"old": ["ordinal"], "new": ["ordinal"]}
+    _deliver(Run(spark, a.base, "settlement", a.preview, list=a.inputs[0], export=a.inputs[1]), {"old": old, "new": new}, found, "settlement", order)
+
+
+def _policy(spark: SparkSession, a) -> None:
+    key, total, *parts, other_key, value = _letters(a.columns or "A,B,C,D,A,B")
+    names = [f"part{k}" for k in range(1, len(parts) + 1)]
+    table = _column_table(spark, a.inputs[0], {key: "contract", total: "total"} | dict(zip(parts, names, strict=True)), a.first_row)
+    policies = _column_table(spark, a.inputs[1], {other_key: "contract", value: "value"}, a.first_row)
+    out, found = desks.policy_fill(table, policies, "contract", ["value"], "total", names)
+    _deliver(Run(spark, a.base, "policy", a.preview, table=a.inputs[0], policies=a.inputs[1]), {"filled": out}, found, "policy", {"filled": ["path", "sheet", "row"]})
+
+
+def _merge(spark: SparkSession, a) -> None:
+    found = office.files(spark, a.inputs[0], "*.pdf").withColumn("batch", F.try_element_at(F.split("path", "/"), F.lit(-2)))
+    lost = office.unreadable(found, seams.read_text_pdfs(found), "trading")
+    good = found.join(lost.select(F.col("entity").alias("path")), "path", "left_anti")
+    _deliver(Run(spark, a.base, "trading", a.preview, folder=a.inputs[0]), {"merged": print_files.merged(good, "batch", "path", a.even)}, lost, "trading")
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(prog="folioflow", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("command", choices=["list", "query", "compliance", "answers", "precheck", "intake"])
+    p.add_argument("command", choices=["list", "query", "compliance", "answers", "settlement", "policy", "merge", "texts", "precheck", "intake"])
     p.add_argument("inputs", nargs="*")
     p.add_argument("--output")
     p.add_argument("--base", default="runs")
     p.add_argument("--first-row", type=int, default=2)
     p.add_argument("--name", default=".+")
     p.add_argument("--ext", action="append")
+    p.add_argument("--columns")
+    p.add_argument("--outgoing", action="append")
+    p.add_argument("--even", action="store_true")
     p.add_argument("--preview", action="store_true")
     a = p.parse_args(args)
     if a.command == "list":
-        print("\n".join(catalog.QUERIES))
+        print("\n".join(QUERIES))
         return
     spark = spark or SparkSession.builder.appName("folioflow").getOrCreate()
     if a.command == "query":
-        df = catalog.QUERIES[a.inputs[0]](spark, a.inputs[1])
+        df = QUERIES[a.inputs[0]](spark, a.inputs[1])
         df.write.mode("errorifexists").parquet(a.output) if a.output and not a.preview else df.show(truncate=False)
     elif a.command == "compliance":
         table = _column_table(spark, a.inputs[0], {2: "name", 3: "nature"}, a.first_row)
@@ -67,6 +114,13 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         answers = score.read_answers(paragraphs)
         found = score.answer_findings(answers).unionByName(office.unreadable(files, paragraphs, "questionnaire"))
         _deliver(Run(spark, a.base, "questionnaire", a.preview, folder=a.inputs[0]), {"answers": score.answer_sheet(answers, ["path"])}, found, "questionnaire")
+    elif a.command in ("settlement", "policy", "merge"):
+        {"settlement": _settlement, "policy": _policy, "merge": _merge}[a.command](spark, a)
+    elif a.command == "texts":
+        files = office.files(spark, a.inputs[0], "*.pdf")
+        pages = seams.read_text_pdfs(files)
+        lost = office.unreadable(files, pages, "texts")
+        _deliver(Run(spark, a.base, "texts", a.preview, folder=a.inputs[0]), {"pages": pages}, lost, "register", {"pages": ["path", "page_no"]})
     elif a.command == "precheck":
         found = check.file_checks(office.material(office.files(spark, a.inputs[0]), ""), a.name, r"(?i)copy|副本|\([0-9]+\)", a.ext or ["pdf", "docx"])
         found.orderBy("code", "entity").show(truncate=False)
