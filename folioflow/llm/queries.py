@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, dedup_exact, jaccard, langid, quality, secret_scan, sharding, toxicity
+from . import bpe, chat, decontam, dedup_exact, jaccard, langid, quality, repair, secret_scan, sharding, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -65,7 +65,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup, op8_jaccard_join, op9_secret_scan, op10_decontamination)}
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = _table(spark, sf_dir, "conversations")
+    rows = repair.damage(said)
+    edits = repair.plan_edits(rows)
+    return repair.summary(said, edits, repair.text_digests(repair.apply_edits(rows, edits)))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup, op8_jaccard_join, op9_secret_scan, op10_decontamination, op13_structure_repair)}
 
 ORACLES = {
     "op2_chat_formatting": r"""
@@ -98,6 +105,54 @@ links as (
 reach as (select doc_id as id, doc_id as at from w union select r.id, l.b from reach r join links l on l.a = r.at)
 select w.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.at) as component_id
 from w join reach r on r.id = w.doc_id left join n on n.doc_id = w.doc_id group by w.doc_id""",
+    "op13_structure_repair": r"""
+with recursive tab as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as tab),
+said as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda c: cast(ascii(c) as bigint)) as b from conversations),
+hit as (
+  select conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 20 as h from said, tab),
+bad as (
+  select conv_id, turn, case when h = 4 then 'user' else role end as role, case h when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case h when 0 then 0 when 3 then 2 else 1 end)) as copy from hit),
+rows_ as (select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) as i, count(*) over (partition by conv_id) as n from bad),
+seen as (select *, row_number() over (partition by conv_id, role, text order by i) > 1 as dup, lag(left(role, 1)) over (partition by conv_id order by i) as before from rows_),
+fault as (
+  select *, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank, left(role, 1) as kind,
+    not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') as cut from seen),
+sym as (select *, blank or dup as gone, cut and not blank and not dup as trunc from fault),
+go as (
+  select conv_id, n + 1 as i, {'c': 0, 's': ''} as g0, {'c': 4, 's': 'II'} as g1, {'c': 2, 's': 'I'} as g2, {'c': 0, 's': ''} as g3 from (select distinct conv_id, n from rows_)
+  union all
+  select conv_id, i, list_min([b0, {'c': b2.c + 2, 's': 'I' || b2.s}, {'c': b3.c + 4, 's': 'II' || b3.s}]), list_min([b1, {'c': b2.c + 2, 's': 'I' || b2.s}, {'c': b3.c + 4, 's': 'II' || b3.s}]),
+    list_min([b2, {'c': b3.c + 2, 's': 'I' || b3.s}]), list_min([b3, {'c': b2.c + 2, 's': 'I' || b2.s}]) from (
+    select r.conv_id, r.i,
+      list_min([{'c': g0.c + 3, 's': 'D' || g0.s}, {'c': case when gone then 999999999 else g2.c + 2 + t end, 's': 'R' || g2.s},
+        {'c': case when gone or kind not in ('s', 'u') then 999999999 when kind = 's' then g1.c + t else g2.c + t end, 's': 'K' || case when kind = 's' then g1.s else g2.s end}]) as b0,
+      list_min([{'c': g1.c + 3, 's': 'D' || g1.s}, {'c': case when gone then 999999999 else g2.c + 2 + t end, 's': 'R' || g2.s},
+        {'c': case when gone or kind <> 'u' then 999999999 else g2.c + t end, 's': 'K' || g2.s}]) as b1,
+      list_min([{'c': g2.c + 3, 's': 'D' || g2.s}, {'c': case when gone then 999999999 else g3.c + 2 + t end, 's': 'R' || g3.s},
+        {'c': case when gone or kind <> 'a' then 999999999 else g3.c + t end, 's': 'K' || g3.s}]) as b2,
+      list_min([{'c': g3.c + 3, 's': 'D' || g3.s}, {'c': case when gone then 999999999 else g2.c + 2 + t end, 's': 'R' || g2.s},
+        {'c': case when gone or kind <> 'u' then 999999999 else g2.c + t end, 's': 'K' || g2.s}]) as b3
+    from go join (select *, cast(trunc as integer) as t from sym) r on r.conv_id is not distinct from go.conv_id and r.i = go.i - 1)),
+best as (select conv_id, g0.c as cost, g0.s as audit from go where i = 1),
+marks as (
+  select conv_id, e, j, sum(cast(e <> 'I' as integer)) over w as i, sum(cast(e <> 'D' as integer)) over w as o
+  from (select conv_id, unnest(string_split(audit, '')) as e, generate_subscripts(string_split(audit, ''), 1) as j from best)
+  window w as (partition by conv_id order by j)),
+held as (select m.*, r.role, r.text, bool_or(o = 1 and e = 'K' and r.kind = 's') over (partition by m.conv_id) as sys from marks m left join sym r on r.conv_id is not distinct from m.conv_id and r.i = m.i),
+lines as (
+  select conv_id, string_agg(case when e = 'K' then role when (o - cast(sys as integer)) % 2 = 1 then 'user' else 'assistant' end || ':' || case when e = 'I' then '' else text end, chr(10) order by j) as said
+  from held where e <> 'D' and e <> '' group by conv_id),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, sum(cast(blank as integer)) as blank, sum(cast(dup and not blank as integer)) as duplicate,
+    sum(cast(trunc as integer)) as truncated, sum(cast(before is not null and before || kind not in ('su', 'ua', 'au') as integer)) as illegal from sym group by conv_id)
+select c.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank, 0) as bigint) as blank, cast(coalesce(duplicate, 0) as bigint) as duplicate,
+  cast(coalesce(truncated, 0) as bigint) as truncated, cast(coalesce(illegal, 0) as bigint) as illegal, cast(coalesce(cost, 0) as bigint) as cost, coalesce(audit, '') as audit, sha256(coalesce(l.said, '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join counts k on k.conv_id is not distinct from c.conv_id
+left join best b on b.conv_id is not distinct from c.conv_id left join lines l on l.conv_id is not distinct from c.conv_id""",
     "op7_exact_dedup": r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents),
 g as (select t, min(doc_id) as keep_id, count(*) as group_size from n group by t)
