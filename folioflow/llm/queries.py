@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, dedup_exact, jaccard, langid, quality, repair, secret_scan, sharding, toxicity
+from . import bpe, chat, decontam, dedup_exact, jaccard, langid, quality, repair, secret_scan, sharding, spelling, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -65,6 +65,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = _table(spark, sf_dir, "conversations")
     rows = repair.damage(said)
@@ -72,7 +76,7 @@ def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.summary(said, edits, repair.text_digests(repair.apply_edits(rows, edits)))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup, op8_jaccard_join, op9_secret_scan, op10_decontamination, op13_structure_repair)}
+QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup, op8_jaccard_join, op9_secret_scan, op10_decontamination, op11_spelling_variants, op13_structure_repair)}
 
 ORACLES = {
     "op2_chat_formatting": r"""
@@ -105,6 +109,31 @@ links as (
 reach as (select doc_id as id, doc_id as at from w union select r.id, l.b from reach r join links l on l.a = r.at)
 select w.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.at) as component_id
 from w join reach r on r.id = w.doc_id left join n on n.doc_id = w.doc_id group by w.doc_id""",
+    "op11_spelling_variants": r"""
+with recursive tab as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as tab),
+said as (
+  select coalesce(cast(doc_id as varchar), '') as doc, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as run from documents),
+runs as (select doc, run, count(*) as c, hex(encode(doc || ':' || run)) as b from said where length(run) >= 5 group by doc, run),
+hit as (
+  select run, c, xor(list_reduce(list_concat([4294967295], list_transform(range(cast(length(b) // 2 as bigint)), lambda k: cast('0x' || substring(b, 2 * k + 1, 2) as bigint))),
+    lambda a, x: xor(a >> 8, tab[(xor(a, x) & 255) + 1])), 4294967295) as h from runs, tab),
+slip as (select case when h % 97 = 0 then left(run, h % length(run)) || substring(run, h % length(run) + 2) else run end as word, c from hit),
+words as (select word, cast(sum(c) as bigint) as n from slip where length(word) >= 5 group by word having sum(c) >= 3),
+gaps as (select word, n, length(word) as k, unnest(range(1, length(word) + 1)) as i from words),
+cuts as (select word, n, k, i, left(word, i - 1) || substring(word, i + 1) as rest from gaps),
+near as (
+  select a.word, b.word as other, b.n from cuts a join cuts b on a.rest = b.rest and a.i = b.i and a.k = b.k and a.word <> b.word
+  union select c.word, w.word, w.n from cuts c join words w on c.rest = w.word
+  union select w.word, c.word, c.n from cuts c join words w on c.rest = w.word),
+best as (select word, count(*) as n_near, list_min(list({'n': -n, 'w': other})) as top from near group by word),
+forms as (
+  select w.word, w.n, coalesce(b.n_near, 0) as n_near, case when -top.n >= 2 * w.n then top.w end as form, case when -top.n >= 2 * w.n then -top.n end as form_n
+  from words w left join best b on b.word = w.word),
+follow as (
+  select word, word as root, form as next from forms
+  union all select f.word, f.next, x.form from follow f join forms x on x.word = f.next)
+select f.word, f.form, r.root, f.n, f.n_near, f.form_n from forms f join follow r on r.word = f.word and r.next is null""",
     "op13_structure_repair": r"""
 with recursive tab as (
   select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as tab),
