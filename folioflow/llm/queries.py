@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, dedup_exact, jaccard, langid, quality, repair, secret_scan, sharding, spelling, toxicity
+from . import bpe, chat, decontam, dedup_exact, jaccard, langid, minhash, quality, repair, secret_scan, sharding, spelling, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -69,6 +69,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = _table(spark, sf_dir, "conversations")
     rows = repair.damage(said)
@@ -76,7 +80,7 @@ def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.summary(said, edits, repair.text_digests(repair.apply_edits(rows, edits)))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup, op8_jaccard_join, op9_secret_scan, op10_decontamination, op11_spelling_variants, op13_structure_repair)}
+QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_chat_formatting, op3_toxicity, op4_language_id, op5_bpe, op6_sharding, op7_exact_dedup, op8_jaccard_join, op9_secret_scan, op10_decontamination, op11_spelling_variants, op12_minhash_dedup, op13_structure_repair)}
 
 ORACLES = {
     "op2_chat_formatting": r"""
@@ -134,6 +138,21 @@ follow as (
   select word, word as root, form as next from forms
   union all select f.word, f.next, x.form from follow f join forms x on x.word = f.next)
 select f.word, f.form, r.root, f.n, f.n_near, f.form_n from forms f join follow r on r.word = f.word and r.next is null""",
+    "op12_minhash_dedup": r"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end) as s from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+links as (
+  select a.doc_id as a, b.doc_id as b from s a join s b on a.s = b.s and a.doc_id <> b.doc_id
+  join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach as (select doc_id as id, doc_id as at from w union select r.id, l.b from reach r join links l on l.a = r.at)
+select w.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.at) as component_id, w.doc_id = min(r.at) as kept
+from w join reach r on r.id = w.doc_id left join n on n.doc_id = w.doc_id group by w.doc_id""",
     "op13_structure_repair": r"""
 with recursive tab as (
   select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as tab),
