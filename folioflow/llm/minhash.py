@@ -10,6 +10,9 @@
    component is done. In the others, for TURNS rounds, a set of each component is compared with one of the largest.
 4. In tiles that still hold several components, all pairs of different ones are compared by signature, in blocks; those
    inside the largest are not. A pair is sent by the least key that it shares, and confirmed exactly.
+Before texts are fetched for a pair, two parity bitmaps bound the sets' difference from below: a bound, so no link is
+lost, and pairs that are similar but not enough cost no text. Texts are fetched only of rows that a bitmap of fixed size
+may have been asked for.
 
 So every link within the signature distance between sets of different components is found. At a similarity of 0.85 a
 place differs with a chance of 0.15, and more than 24 of 64 differ in 3 of a million such pairs.
@@ -42,8 +45,9 @@ ERRORS, CHUNK_ERRORS = 24, 1
 STAR, BLOCK = 128, 1024
 #: Rounds of stars over components before all pairs of what is left are compared.
 TURNS = 2
-#: Requests for texts up to this count (under 10 MB) are broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Bits of the bitmap by which texts that weren't asked for are passed over (8 MB, whatever the input), and of its pages.
+ASKED_BITS, PAGE_BITS = 26, 19
+LEAST_PARITY = 128
 
 _FACTORS = words.mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _KEY_SHIFT = 40  # a key: which places of which chunk, above the bits of up to five places
@@ -89,9 +93,38 @@ def _fingerprint(own: np.ndarray) -> bytes:
     return hashlib.md5(own.tobytes()).digest()
 
 
-def may_link(n_a, n_b):
-    """Whether sets of these sizes can be similar enough."""
-    return DOWN * np.minimum(n_a, n_b) >= UP * np.maximum(n_a, n_b)
+def may_link(n_a, n_b, differing=0):
+    """Whether sets of these sizes, of which so many elements at least are in one only, can be similar enough."""
+    overlap = (n_a + n_b - differing) // 2
+    return (DOWN * np.minimum(n_a, n_b) >= UP * np.maximum(n_a, n_b)) & (DOWN * overlap >= UP * (n_a + n_b - overlap))
+
+
+def _parity(own: np.ndarray) -> bytes:
+    """A bit is the parity of the elements hashed to it: two sets differ in at least as many elements as their bits.
+
+    There are twice to four times as many bits as elements; bitmaps of two widths meet at the smaller.
+    """
+    width = max(LEAST_PARITY, 1 << (2 * len(own) - 1).bit_length())
+    odd = np.bincount((own >> np.uint64(20)).astype(np.int64) & (width - 1), minlength=width) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def _differing(one: bytes, others: list[bytes]) -> np.ndarray:
+    """Differing bits of one bitmap and others."""
+    def folded(bits: np.ndarray, words_: int) -> np.ndarray:
+        while bits.shape[-1] > words_:
+            half = bits.shape[-1] // 2
+            bits = bits[..., :half] ^ bits[..., half:]
+        return bits
+
+    mine, out = np.frombuffer(one, np.uint64), np.zeros(len(others), np.int64)
+    size = np.array([len(x) // 8 for x in others], np.int64)
+    for w in np.unique(size).tolist():
+        at = np.flatnonzero(size == w)
+        theirs = np.frombuffer(b"".join([others[i] for i in at]), np.uint64).reshape(len(at), w)
+        least = min(w, len(mine))
+        out[at] = np.bitwise_count(folded(theirs, least) ^ folded(mine, least)).sum(1, dtype=np.int64)
+    return out
 
 
 def are_linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -125,7 +158,7 @@ def _name(of: str):
 
 
 def signed_sets(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, row (a hash of key and text), print (128-bit fingerprint of the set), n, signature of each row. Without words n is 0."""
+    """key, row (a hash of key and text), print (128-bit fingerprint of the set), n, signature, parity (bitmap) of each row. Without words n is 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,10 +166,10 @@ def signed_sets(docs: DataFrame, key: str = "doc_id") -> DataFrame:
                 sets, signature = _sets(data, offsets)
                 prints = pa.array([_fingerprint(x) for x in sets], pa.binary())
                 signed = pa.array([x.tobytes() for x in signature], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), prints, pa.array([len(x) for x in sets], pa.int64()), signed], [key, "row", "print", "n", "signature"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), prints, pa.array([len(x) for x in sets], pa.int64()), signed, pa.array([_parity(x) if len(x) else b"" for x in sets], pa.binary())], [key, "row", "print", "n", "signature", "parity"])
 
     own = docs.select(key, _row(key), "text")
-    return map_arrow(own, run, f"{key} {own.schema[key].dataType.simpleString()}, row long, print binary, n long, signature binary")
+    return map_arrow(own, run, f"{key} {own.schema[key].dataType.simpleString()}, row long, print binary, n long, signature binary, parity binary")
 
 
 def tiles_of(sets: DataFrame) -> DataFrame:
@@ -188,18 +221,54 @@ def _within(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow a link; b may be in any number of pairs."""
     pairs = pairs.withColumn("to", _name("b"))
     about = pairs.groupBy("to").agg(F.count(F.lit(1)).alias("size"))
-    of = sets.select(_name("id").alias("to"), F.col("n").alias("n_b"), F.col("signature").alias("s_b"))
+    of = sets.select(_name("id").alias("to"), F.col("n").alias("n_b"), F.col("signature").alias("s_b"), F.col("parity").alias("p_b"))
     both = join_groups(pairs, about.join(of, "to"), "to", "size", pairs.count(), F.col("a"))
-    own = both.join(sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("s_a")), "a")
+    own = both.join(sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("s_a"), F.col("parity").alias("p_a")), "a")
     own = own.filter(f"{DOWN} * least(n_a, n_b) >= {UP} * greatest(n_a, n_b)")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                apart = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(1)
-                yield batch.select(["a", "b"]).filter(pa.array(apart <= ERRORS))
+                good = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(1) <= ERRORS
+                n_a, n_b = (batch.column(i).to_numpy() for i in (4, 5))
+                p_a, p_b = (batch.column(i).to_pylist() for i in (6, 7))
+                for i in np.flatnonzero(good).tolist():
+                    good[i] = may_link(n_a[i], n_b[i], _differing(p_a[i], [p_b[i]])[0])
+                yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return map_arrow(own.select("a", "b", "s_a", "s_b", "n_a", "n_b", "p_a", "p_b"), run, "a long, b long")
+
+
+def _asked(requests: DataFrame) -> np.ndarray:
+    """Bytes of a bitmap with a bit for each row asked for (several rows may share one). Each page of it is made by one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages: dict[int, np.ndarray] = {}
+        for batch in batches:
+            bit = batch.column(0).to_numpy()
+            for page in np.unique(bit >> PAGE_BITS).tolist():
+                own = pages.setdefault(page, np.zeros(1 << PAGE_BITS, bool))
+                own[bit[bit >> PAGE_BITS == page] & ((1 << PAGE_BITS) - 1)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([*pages], pa.int64()), pa.array([np.packbits(x, bitorder="little").tobytes() for x in pages.values()], pa.binary())], ["page", "bits"])
+
+    bit = F.col("row").bitwiseAND((1 << ASKED_BITS) - 1).alias("bit")
+    dealt = requests.select(bit).repartition(F.shiftright("bit", PAGE_BITS))
+    out = np.zeros(1 << (ASKED_BITS - 3), np.uint8)
+    size = 1 << (PAGE_BITS - 3)
+    for page in map_arrow(dealt, run, "page long, bits binary").collect():
+        out[page["page"] * size : (page["page"] + 1) * size] = np.frombuffer(page["bits"], np.uint8)
+    return out
+
 
-    return map_arrow(own.select("a", "b", "s_a", "s_b"), run, "a long, b long")
+def _texts(docs: DataFrame, requests: DataFrame, key: str) -> DataFrame:
+    """row, text of the rows that may have been asked for."""
+    box = docs.sparkSession.sparkContext.broadcast(_asked(requests))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column(0).to_numpy() & ((1 << ASKED_BITS) - 1)
+            yield batch.filter(pa.array((box.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
+
+    return map_arrow(docs.select(_row(key), "text"), run, "row long, text string")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str) -> DataFrame:
@@ -209,8 +278,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str) ->
     lead = stars.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("b").alias("id"))
     of = sets.select("id", "row", "print")
     requests = staged(rest.unionByName(lead).join(of, "id"), "requests")
-    few = requests.count() <= BROADCAST_ROWS
-    found = docs.select(_row(key), "text").join(F.broadcast(requests) if few else requests, "row")
+    found = _texts(docs, requests, key).join(requests, "row")
     dealt = found.select("b", "part", "id", "print", "text").repartition("b", "part").sortWithinPartitions("b", "part", F.col("id") != F.col("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,19 +341,20 @@ def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     about = about.select("key", F.col("main.component").alias("main"), F.ceil((F.col("many") - F.col("main.n")) / BLOCK).alias("few"), F.ceil(F.col("main.n") / BLOCK).alias("more"))
     own = mixed.join(about, "key").withColumn("aside", F.col("component") != F.col("main"))
     block = F.when(F.col("aside"), F.pmod(F.xxhash64("id"), "few")).otherwise(F.col("few") + F.pmod(F.xxhash64("id"), "more"))
-    own = own.withColumn("block", block).join(sets.select("id", "n", "signature"), "id")
+    own = own.withColumn("block", block).join(sets.select("id", "n", "signature", "parity"), "id")
     zero = F.lit(0).cast("long")
     low = F.transform(F.sequence(zero, F.least("block", F.col("few") - 1)), lambda x: F.struct(x.alias("x"), F.col("block").alias("y")))
     high = F.transform(F.sequence("block", F.col("few") + F.col("more") - 1), lambda y: F.struct(F.col("block").alias("x"), y.alias("y")))
     units = F.when(F.col("aside"), F.array_distinct(F.concat(low, high))).otherwise(low)
-    own = own.select("key", "id", "component", "n", "signature", "block", F.explode(units).alias("unit"))
-    own = own.select("key", F.col("unit.x").alias("x"), F.col("unit.y").alias("y"), "block", "id", "component", "n", "signature")
+    own = own.select("key", "id", "component", "n", "signature", "parity", "block", F.explode(units).alias("unit"))
+    own = own.select("key", F.col("unit.x").alias("x"), F.col("unit.y").alias("y"), "block", "id", "component", "n", "signature", "parity")
     dealt = own.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
 
     def pairs(unit: pa.Table) -> np.ndarray:
         key, x, y = (unit[c][0].as_py() for c in ("key", "x", "y"))
         ids, component, n, block = (unit[c].to_numpy() for c in ("id", "component", "n", "block"))
         bits = _matrix(unit["signature"].combine_chunks())
+        keys, parity = _key_values(bits), unit["parity"].to_pylist()
         left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
         out = []
         for at, i in enumerate(left.tolist()):
@@ -293,8 +362,10 @@ def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
             j = j[(component[j] != component[i]) & may_link(n[i], n[j])]
             j = j[(bits[j] != bits[i]).sum(1) <= ERRORS]
             if len(j):
-                shared = (_key_values(bits[j]) == _key_values(bits[[i]])).argmax(1)
-                j = j[shared == key >> _KEY_SHIFT]
+                j = j[(keys[j] == keys[i]).argmax(1) == key >> _KEY_SHIFT]
+            if len(j):
+                j = j[may_link(n[i], n[j], _differing(parity[i], [parity[x] for x in j.tolist()]))]
+            if len(j):
                 out.append(np.column_stack([np.maximum(ids[i], ids[j]), np.minimum(ids[i], ids[j])]))
         return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
@@ -333,7 +404,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """
     signed = staged(signed_sets(docs, key), "signed")
     full = signed.filter("n > 0")
-    sets = full.groupBy("print", "n").agg(F.min(key).alias("least"), F.min("row").alias("row"), F.first("signature").alias("signature"))
+    sets = full.groupBy("print", "n").agg(F.min(key).alias("least"), F.min("row").alias("row"), F.first("signature").alias("signature"), F.first("parity").alias("parity"))
     sets = staged(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
     tiles = staged(tiles_of(sets), "tiles")
     tried = [staged(_within(_stars(tiles), sets), "pairs")]

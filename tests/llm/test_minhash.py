@@ -93,9 +93,20 @@ def test_against_all_pairs(spark, seed):
     assert got == brute(docs)
 
 
+def test_bitmaps_bound_the_difference():
+    r = np.random.default_rng(8)
+    for n in (1, 5, 70, 300, 3000):
+        whole = np.unique(r.integers(0, 1 << 63, 2 * n, np.uint64))
+        a, others = whole[:n], [whole[k : k + n] for k in (0, 1, n // 10, n // 2)] + [whole[: 2 * n]]
+        real = [len(np.setxor1d(a, x)) for x in others]
+        said = minhash._differing(minhash._parity(a), [minhash._parity(x) for x in others])
+        assert (said <= real).all() and said[0] == 0 and (n < 300 or said[2] > real[2] * 0.8)
+        assert all(minhash.may_link(n, len(x), d) for x, d in zip(others, said) if minhash.are_linked(a, x))
+
+
 def test_small_blocks_and_no_rounds(spark, monkeypatch):
     """Everything left to the comparison of all pairs of components, in many blocks, and confirmed in small stars."""
-    for name, value in (("TURNS", 0), ("BLOCK", 3), ("STAR", 2), ("BROADCAST_ROWS", 0)):
+    for name, value in (("TURNS", 0), ("BLOCK", 3), ("STAR", 2)):
         monkeypatch.setattr(minhash, name, value)
     docs = made(3)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found(spark, docs)} == brute(docs)
