@@ -25,7 +25,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import catalog, catalog_desks
+from . import catalog, catalog_desks, catalog_paper
 from .operators import check, extract, score
 from .plans import desks
 from .sinks import print_files
@@ -34,7 +34,7 @@ from .sources import office, seams
 from .streaming import intake
 
 
-QUERIES = catalog.QUERIES | catalog_desks.QUERIES
+QUERIES = catalog.QUERIES | catalog_desks.QUERIES | catalog_paper.QUERIES
 
 
 def _column_table(spark: SparkSession, path: str, columns: dict[int, str], first_row: int) -> DataFrame:

@@ -62,14 +62,21 @@ def composition_check(spark, sf):
 
 
 def _answers(spark, sf):
-    e = _t(spark, sf, "events").select("user_id", "ts", "event_id", F.col("event_type").alias("choice"))
-    first = e.groupBy("user_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("ts", "event_id", "choice"))), 1, score.QUESTIONS).alias("a"))
-    return first.select("user_id", F.posexplode("a").alias("q", "a")).select("user_id", (F.col("q") + 1).alias("q"), F.array("a.choice").alias("choices"))
+    """All events of a user in order, as sheets of 20 answers."""
+    e = _t(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    return score.numbered_sheets(e, ["user_id"], ["ts", "event_id"], "event_type")
+
+
+def _points(spark):
+    return spark.createDataFrame([(q, c, p) for q in range(1, score.QUESTIONS + 1) for c, p in POINTS.items()], "q int, choice string, points long")
 
 
 def score_levels(spark, sf):
-    points = spark.createDataFrame([(q, c, p) for q in range(1, score.QUESTIONS + 1) for c, p in POINTS.items()], "q int, choice string, points long")
-    return score.score(_answers(spark, sf), points, CUTS, ["user_id"])
+    return score.score(_answers(spark, sf), _points(spark), CUTS, ["user_id", "sheet"])
+
+
+def score_sheet(spark, sf):
+    return score.score_sheet(_answers(spark, sf), _points(spark), CUTS, ["user_id", "sheet"])
 
 
 def answer_coverage(spark, sf):
@@ -79,7 +86,7 @@ def answer_coverage(spark, sf):
 
 
 def answer_sheet(spark, sf):
-    return score.answer_sheet(_answers(spark, sf), ["user_id"])
+    return score.answer_sheet(_answers(spark, sf), ["user_id", "sheet"])
 
 
 def missing_items(spark, sf):
@@ -272,7 +279,7 @@ def agreement(spark, sf):
 
 
 _QUERIES = (
-    fill_nature, match_cardinality, ordered_lookup, reverse_reconcile, composition_check, score_levels, answer_coverage, answer_sheet, missing_items, dup_content,
+    fill_nature, match_cardinality, ordered_lookup, reverse_reconcile, composition_check, score_levels, score_sheet, answer_coverage, answer_sheet, missing_items, dup_content,
     dup_names, file_precheck, serial_rows, register_pages, page_ranges, page_assign, fixed_split, pad_even, latest_batch, latest_overall, pivot_fields, unpivot_fields,
     best_reading, paragraphs, last_letter, extract_email, path_parts, json_record, date_keys, ordered_items, debt_ratio, unit_amount, name_conflict, unmatched, occupied,
     same_batch, id_checksum, all_checks_gate, findings_summary, missing_fields, band_match, column_letters, rotation, agreement,
@@ -283,7 +290,13 @@ _RANGES = f"""
 with d as (select doc_id, lang, cast(ceil(n_chars / {PAGE_CHARS}.0) as bigint) as pages from documents),
 r as (select doc_id, pages, cast(sum(pages) over (order by doc_id rows unbounded preceding) as bigint) as page_to from d),
 ranges as (select doc_id, pages, page_to - pages + 1 as page_from, page_to from r)"""
-_ANSWERS = "with a as (select user_id, event_type, row_number() over (partition by user_id order by ts, event_id) as q from events qualify q <= 20)"
+_ANSWERS = """
+with n as (select user_id, event_type, row_number() over (partition by user_id order by ts, event_id) - 1 as k from events),
+a as (select user_id, k // 20 + 1 as sheet, k % 20 + 1 as q, event_type from n)"""
+_SCORES = """,
+s as (select user_id, sheet, cast(sum(case event_type when 'view' then 1 when 'click' then 2 when 'signup' then 3 when 'purchase' then 4 else 5 end) as bigint) as score from a group by 1, 2),
+l as (select user_id, sheet, score, case when score < 50 then 'C1' when score < 56 then 'C2' when score < 62 then 'C3' when score < 68 then 'C4' else 'C5' end as level from s)"""
+_SHEETS = "select user_id, sheet, " + ", ".join(f"max(case when q = {k} then event_type end) as q{k}" for k in range(1, 21)) + " from a group by 1, 2"
 
 ORACLES = {
     "fill_nature": """
@@ -310,13 +323,12 @@ select l_orderkey, cast(x as double) as left_sum, cast(y as double) as right_sum
 with a as (select l_orderkey, sum(cast(l_extendedprice as decimal(18,2))) as x from lineitem group by 1),
 b as (select l_orderkey, x, x + case when l_orderkey % 7 = 0 then cast('0.01' as decimal(18,2)) else 0 end as t from a)
 select l_orderkey, cast(x as double) as parts_sum, cast(t as double) as total, case when x = t then 'ok' else 'mismatch' end as status from b""",
-    "score_levels": _ANSWERS + """,
-s as (select user_id, cast(sum(case event_type when 'view' then 1 when 'click' then 2 when 'signup' then 3 when 'purchase' then 4 else 5 end) as bigint) as score from a group by 1)
-select user_id, score, case when score < 50 then 'C1' when score < 56 then 'C2' when score < 62 then 'C3' when score < 68 then 'C4' else 'C5' end as level from s""",
+    "score_levels": _ANSWERS + _SCORES + " select * from l",
+    "score_sheet": _ANSWERS + _SCORES + f" select w.*, l.score, l.level from ({_SHEETS}) w join l using (user_id, sheet)",
     "answer_coverage": """
 select user_id, count(distinct case when event_type <> 'error' then event_type end) as n_items, count(distinct case when event_type = 'error' then 1 end) as n_outside,
   count(distinct case when event_type <> 'error' then event_type end) = 4 as complete from events group by 1""",
-    "answer_sheet": _ANSWERS + " select user_id, " + ", ".join(f"max(case when q = {k} then event_type end) as q{k}" for k in range(1, 21)) + " from a group by 1",
+    "answer_sheet": _ANSWERS + " " + _SHEETS,
     "missing_items": """
 select conv_id, cast(turn as bigint) as turn from (select distinct conv_id from conversations), range(6) as t(turn)
 except select conv_id, turn from conversations""",

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import answer_letters
+from ..staging import staged
+from . import number
 from .check import Policy, findings, gate
 
 QUESTIONS, MULTI_SELECT, LEVELS = 20, (13, 17), ("C1", "C2", "C3", "C4", "C5")
@@ -45,7 +47,7 @@ def level(score, cuts: list[float], levels: tuple = LEVELS):
 def score(answers: DataFrame, points: DataFrame, cuts: list[float], keys: list[str], policy: Policy = Policy.ABORT) -> DataFrame:
     """keys, score, level. points: q, choice, points; an answer's points are those of its choices, added up."""
     each = answers.select(*keys, "q", F.explode("choices").alias("choice")).join(points, ["q", "choice"], "left")
-    total = each.groupBy(*keys).agg(F.sum("points").alias("score"), F.count_if(F.col("points").isNull()).alias("__unknown"))
+    total = staged(each.groupBy(*keys).agg(F.sum("points").alias("score"), F.count_if(F.col("points").isNull()).alias("__unknown")), "scores")  # the gate reads it first
     gate(findings(total, F.col("__unknown") > 0, F.concat_ws("/", *(F.col(k).cast("string") for k in keys)), "points", "no points for an answer", "score"), policy)
     return total.select(*keys, "score", level(F.col("score"), cuts).alias("level"))
 
@@ -54,3 +56,16 @@ def answer_sheet(answers: DataFrame, keys: list[str], questions: int = QUESTIONS
     """Wide form: a column q1 .. qn with the letters of each answer."""
     text = F.array_join("choices", "")
     return answers.groupBy(*keys).agg(*(F.max(F.when(F.col("q") == k, text)).alias(f"q{k}") for k in range(1, questions + 1)))
+
+
+def numbered_sheets(rows: DataFrame, keys: list[str], order: list[str], choice: str, questions: int = QUESTIONS) -> DataFrame:
+    """keys, sheet (from 1), q, choices: each key's rows in order, dealt to sheets of so many questions; the last may be short."""
+    out = number.rank_within(rows, keys, order, "__k")
+    k = F.col("__k") - 1
+    return out.select(*keys, (F.floor(k / questions) + 1).cast("long").alias("sheet"), (k % questions + 1).cast("int").alias("q"), F.array(choice).alias("choices"))
+
+
+def score_sheet(answers: DataFrame, points: DataFrame, cuts: list[float], keys: list[str], questions: int = QUESTIONS) -> DataFrame:
+    """The whole sheet: keys (column A), answers (to U), total and level (V and W), in that order. Sheets without an answer that scores have no total."""
+    total = score(answers, points, cuts, keys)
+    return answer_sheet(answers, keys, questions).join(total, keys, "left").select(*keys, *(f"q{k}" for k in range(1, questions + 1)), "score", "level")

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
-import zipfile
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.check import Policy, gate
 from ..schemas import SCHEMAS
+from . import committed
 
 
 class Run:
@@ -93,21 +92,11 @@ def manifest(outputs: list[str]) -> str:
     return json.dumps({"files": sorted(outputs)}, ensure_ascii=False)
 
 
-def zip_folder(spark: SparkSession, folder: str, target: str) -> list[str]:
-    """One ZIP of the files of a folder, for delivery to people; read file by file, so memory holds one at a time. Their names, sorted."""
+def zip_folder(spark: SparkSession, folder: str, target: str, archive: str = "delivery.zip") -> list[str]:
+    """One ZIP of the files of a folder, delivered into the folder target by a task; the names in it, sorted. Contents don't
+    pass through the driver, which sees names only."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    names = []
-    with tempfile.TemporaryFile() as out:
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for r in found.select("path", "content").orderBy("path").toLocalIterator():
-                name = r.path.split(f"{folder.rstrip('/').rsplit('/', 1)[-1]}/", 1)[-1]
-                names.append(name)
-                z.writestr(name, bytes(r.content))
-        out.seek(0)
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(target)
-        stream = path.getFileSystem(conf).create(path, False)  # never over an earlier delivery
-        while part := out.read(1 << 20):
-            stream.write(part, 0, len(part))
-        stream.close()
-    return sorted(names)
+    top = f"{folder.rstrip('/').rsplit('/', 1)[-1]}/"
+    own = found.select(F.lit(archive).alias("archive"), F.substring_index("path", top, -1).alias("name"), "content")
+    committed.zips(own, target)
+    return sorted(r["name"] for r in own.select("name").collect())

@@ -1,4 +1,4 @@
-"""A small .xlsx writer for delivery: values, a fill for blanks that wait, notes. One workbook is one person's file, so it is written on the driver."""
+"""Parts of .xlsx files: values, a fill for blanks that wait. sinks.committed delivers workbooks of any number of rows."""
 
 from __future__ import annotations
 
@@ -20,16 +20,24 @@ _REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _STYLES = f'<styleSheet xmlns="{_MAIN}"><fonts count="1"><font/></fonts><fills count="3"><fill><patternFill patternType="none"/></fill><fill><patternFill patternType="gray125"/></fill><fill><patternFill patternType="solid"><fgColor rgb="FFFFFF00"/></patternFill></fill></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="2"><xf/><xf fillId="2" applyFill="1"/></cellXfs></styleSheet>'
 
 
+def write_frame(z: zipfile.ZipFile, names: list[str], noted: list[int] = ()) -> None:
+    """The parts of a workbook besides its sheets. noted: numbers of the sheets that have comments."""
+    n = range(1, len(names) + 1)
+    more = '<Default Extension="vml" ContentType="application/vnd.openxmlformats-officedocument.vmlDrawing"/>' if noted else ""
+    more += "".join(f'<Override PartName="/xl/comments{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.comments+xml"/>' for i in noted)
+    z.writestr("[Content_Types].xml", _TYPES.format(sheets=more + "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in n)))
+    z.writestr("_rels/.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="{_REL}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+    z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="s{i}" Type="{_REL}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in n) + f'<Relationship Id="st" Type="{_REL}/styles" Target="styles.xml"/></Relationships>')
+    z.writestr("xl/styles.xml", _STYLES)
+    z.writestr("xl/workbook.xml", f'<workbook xmlns="{_MAIN}" xmlns:r="{_REL}"><sheets>' + "".join(f'<sheet name={quoteattr(name)} sheetId="{i}" r:id="s{i}"/>' for i, name in zip(n, names, strict=True)) + "</sheets></workbook>")
+
+
 def workbook(sheets: dict[str, Iterable[Iterable]], first_row: int = 1, mark_blank: bool = True) -> bytes:
     """Bytes of a workbook; blank cells (None) are marked yellow if asked for."""
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        write_frame(z, list(sheets))
         n = range(1, len(sheets) + 1)
-        z.writestr("[Content_Types].xml", _TYPES.format(sheets="".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in n)))
-        z.writestr("_rels/.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="{_REL}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="s{i}" Type="{_REL}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in n) + f'<Relationship Id="st" Type="{_REL}/styles" Target="styles.xml"/></Relationships>')
-        z.writestr("xl/styles.xml", _STYLES)
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{_MAIN}" xmlns:r="{_REL}"><sheets>' + "".join(f'<sheet name={quoteattr(name)} sheetId="{i}" r:id="s{i}"/>' for i, name in zip(n, sheets, strict=True)) + "</sheets></workbook>")
         for i, rows in zip(n, sheets.values(), strict=True):
             body = []
             for r, row in enumerate(rows, first_row):
@@ -47,19 +55,6 @@ def workbook(sheets: dict[str, Iterable[Iterable]], first_row: int = 1, mark_bla
     return out.getvalue()
 
 
-def to_workbook(tables: dict[str, DataFrame], header: bool = True) -> bytes:
-    """Sheets from DataFrames, read row by row; a table beyond a sheet's size is an error, not cut."""
-    sheets = {}
-    for name, df in tables.items():
-        rows = [list(df.columns)] if header else []
-        for r in df.toLocalIterator():
-            rows.append(list(r))
-            if len(rows) > MOST_ROWS:
-                raise ValueError(f"{name} has more rows than a sheet holds")
-        sheets[name] = rows
-    return workbook(sheets)
-
-
 def workbooks(rows: DataFrame, path: str, values: str, sheet: str = "Sheet1") -> DataFrame:
     """A workbook for each row, written on the executors: path, content. values: array of arrays of text, one person's sheet."""
 

@@ -19,8 +19,8 @@ def test_compliance_from_workbooks(spark, tmp_path, capsys):
     (run,) = deliver.done_runs(spark, str(tmp_path / "runs"), "compliance").collect()
     folder = f"{tmp_path}/runs/compliance/{run.run_id}"
     assert {r.name: r.nature for r in spark.read.parquet(f"{folder}/filled").collect()} == {"A Co": "bank", "B": "kept", "Z": None}
-    names = deliver.zip_folder(spark, folder, f"{tmp_path}/out.zip")
-    with zipfile.ZipFile(tmp_path / "out.zip") as z:
+    names = deliver.zip_folder(spark, folder, f"{tmp_path}/out")
+    with zipfile.ZipFile(tmp_path / "out" / "delivery.zip") as z:
         assert sorted(z.namelist()) == names and any(n.startswith("filled/part-") for n in names)
 
 

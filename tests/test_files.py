@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioflow.operators.check import GateError, Policy, findings
 from folioflow.schemas import SCHEMAS
 from folioflow.sinks import deliver
-from folioflow.sinks.workbook import to_workbook, workbook
+from folioflow.sinks.workbook import workbook
 from folioflow.sources import office, places, seams
 from folioflow.streaming import intake
 
@@ -88,7 +88,7 @@ def test_delivery(spark, tmp_path):
 
 def test_workbook_round_trip(spark):
     df = spark.createDataFrame([("x<y", 1), (None, 2)], "k string, v int")
-    cells = {(r, c): t for _, r, c, t, _ in office.xlsx_cells(to_workbook({"out": df}))}
+    cells = {(r, c): t for _, r, c, t, _ in office.xlsx_cells(workbook({"out": [df.columns, *df.collect()]}))}
     assert cells == {(1, 1): "k", (1, 2): "v", (2, 1): "x<y", (2, 2): "1", (3, 2): "2"}
 
 

@@ -3,9 +3,9 @@
 import duckdb
 import pytest
 
-from folioflow import catalog, catalog_desks
+from folioflow import catalog, catalog_desks, catalog_paper
 
-QUERIES, ORACLES = catalog.QUERIES | catalog_desks.QUERIES, catalog.ORACLES | catalog_desks.ORACLES
+QUERIES, ORACLES = catalog.QUERIES | catalog_desks.QUERIES | catalog_paper.QUERIES, catalog.ORACLES | catalog_desks.ORACLES | catalog_paper.ORACLES
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
