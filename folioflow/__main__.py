@@ -12,6 +12,15 @@ merge FOLDER --base DIR [--even]            one print file for each folder of PD
 texts FOLDER --base DIR                     the text of PDFs, page by page
 precheck FOLDER --name PATTERN --ext EXT    findings of a folder of files
 intake FOLDER --base DIR                    take in files that are new by content
+register FOLDER --rules JSON --base DIR     register the clients below FOLDER: a workbook of clients and persons, with sources
+statistics WORKBOOK FOLDER --rules JSON --base DIR [--update]
+                                            add the fields of PDFs to a copy of a statistics workbook
+trading-a FOLDER --profile NAME --person P --date YYYYMMDD --batch N --base DIR
+                                            before stamping: check, register, merge, record the batch
+trading-b SCAN --profile NAME --person P --date YYYYMMDD --batch N --base DIR [--number PATTERN] [--run ID]
+                                            after stamping: split the scan as the last batch, or that of ID, says
+score FOLDER|WORKBOOK --points JSON --base DIR
+                                            total and level of questionnaires (.docx) or of an answer sheet (.xlsx)
 
 --columns names a list's columns by letters, comma-separated: settlement number, amount, company amount, direction of
 LIST, then number and value of EXPORT; policy number, total, parts (one or more) of TABLE, then number and value of POLICIES.
@@ -25,7 +34,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import catalog, catalog_desks, catalog_paper
+from . import catalog, catalog_desks, catalog_paper, commands
 from .operators import check, extract, score
 from .plans import desks
 from .sinks import print_files
@@ -84,7 +93,7 @@ def _merge(spark: SparkSession, a) -> None:
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(prog="folioflow", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("command", choices=["list", "query", "compliance", "answers", "settlement", "policy", "merge", "texts", "precheck", "intake"])
+    p.add_argument("command", choices=["list", "query", "compliance", "answers", "settlement", "policy", "merge", "texts", "precheck", "intake", "register", "statistics", "trading-a", "trading-b", "score"])
     p.add_argument("inputs", nargs="*")
     p.add_argument("--output")
     p.add_argument("--base", default="runs")
@@ -95,6 +104,15 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--outgoing", action="append")
     p.add_argument("--even", action="store_true")
     p.add_argument("--preview", action="store_true")
+    p.add_argument("--rules")
+    p.add_argument("--points")
+    p.add_argument("--update", action="store_true")
+    p.add_argument("--profile", choices=list(desks.PROFILES))
+    p.add_argument("--person", default="")
+    p.add_argument("--date", default=commands.today())
+    p.add_argument("--batch", type=int, default=1)
+    p.add_argument("--number")
+    p.add_argument("--run")
     a = p.parse_args(args)
     if a.command == "list":
         print("\n".join(QUERIES))
@@ -116,6 +134,19 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         _deliver(Run(spark, a.base, "questionnaire", a.preview, folder=a.inputs[0]), {"answers": score.answer_sheet(answers, ["path"])}, found, "questionnaire")
     elif a.command in ("settlement", "policy", "merge"):
         {"settlement": _settlement, "policy": _policy, "merge": _merge}[a.command](spark, a)
+    elif a.command in ("register", "statistics", "trading-a", "trading-b", "score"):
+        run = Run(spark, a.base, a.command, a.preview, person=a.person, profile=a.profile or "", inputs=" ".join(a.inputs))
+        if a.command == "register":
+            n = commands.register(spark, run, a.inputs[0], a.rules)
+        elif a.command == "statistics":
+            n = commands.statistics(spark, run, a.inputs[0], a.inputs[1], a.rules, a.update)
+        elif a.command == "score":
+            n = commands.score_files(spark, run, a.inputs[0], a.points)
+        elif a.command == "trading-a":
+            n = commands.before_stamping(spark, run, a.inputs[0], a.profile, a.person, a.date, a.batch, a.name)
+        else:
+            n = commands.after_stamping(spark, run, a.inputs[0], a.profile, a.person, a.date, a.batch, a.number, a.run)
+        print(n, "findings", "" if a.preview else run.path(""))
     elif a.command == "texts":
         files = office.files(spark, a.inputs[0], "*.pdf")
         pages = seams.read_text_pdfs(files)
