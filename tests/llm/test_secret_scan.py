@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -59,13 +60,64 @@ def test_no_python_on_the_main_path(spark, model):
 
 
 def test_ratio_against_brute_force(spark):
-    samples = spark.createDataFrame([("ab", True), ("aab", True), ("ba", False), ("é", False)], "text string, secret boolean")
-    model = S.train(samples)
-    run = "abba"
-    want = sum(model[(0 if i == 0 else ord(run[i - 1])) * S.WIDTH + ord(run[i])] for i in range(len(run)))
     from pyspark.sql import functions as F
 
-    assert abs(spark.range(1).select(S.log_ratio(F.lit(run), model)).first()[0] - want) < 1e-3
+    rows = [("lower", "abq"), ("lower", "aab"), ("hex", "0a"), ("base64", "Z9+"), ("ordinary", "ba"), ("ordinary", "a_b-"), ("ordinary", "é1")]
+    model = S.train(spark.createDataFrame(rows, "kind string, text string"))
+    assert len(model) == len(S.ALPHABETS) * S.WIDTH * S.WIDTH
+    names = [name for name, _, _ in S.ALPHABETS]
+
+    def share(kind, a, b, alphabet):
+        own = [x for k, t in rows if k == kind for x in zip(["", *t], t)]
+        of = [x for x in own if S.cell(x[0], "") == S.cell(a, "")]
+        return (sum(x[1] == b for x in of) + S.SMOOTHING) / (len(of) + S.SMOOTHING * len(alphabet))
+
+    every = S.ALPHABETS[-1][2] + "_=-"
+    for run, kind in (("abqa", "lower"), ("0ab", "hex"), ("Zz9+", "base64"), ("a_b=", "base64"), ("ABBA", "upper")):
+        alphabet = every if kind == "base64" else dict((n, c) for n, _, c in S.ALPHABETS)[kind]
+        seen = any(k == kind for k, _ in rows)
+        want = sum(math.log(share(kind, a, b, alphabet) / share("ordinary", a, b, every)) for a, b in zip(["", *run], run)) if seen else 0
+        assert abs(spark.range(1).select(S.log_ratio(F.lit(run), model)).first()[0] - want) < 1e-2, run
+    assert names[0] == "digits" and not any(model[: S.WIDTH**2])
+
+
+def identifiers(words, r):
+    joined = ["_".join(r.sample(words, 3)).lower() + str(r.randint(0, 99)) for _ in range(2000)]
+    joined += ["".join(w.capitalize() for w in r.sample(words, 3)) + str(r.randint(0, 99)) for _ in range(1000)]
+    joined += ["_".join(r.sample(words, 3)).upper() for _ in range(400)] + ["/".join(r.sample(words, 4)).lower() for _ in range(400)]
+    return [w for w in [*joined, *{w for w in words if len(w) >= 16}] if len(w) >= 16]
+
+
+def test_recall_and_false_alarms_on_held_out_words(spark):
+    """Bare keys in texts, next to identifiers made of words that the models didn't see. Models from half of the documents."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = S.train(S.labelled_samples(docs.filter("doc_id % 2 = 0")))
+    r = random.Random(3)
+    words = [w for x in docs.filter("doc_id % 2 = 1").select("text").collect() if x.text for w in re.findall("[A-Za-z]{4,}", x.text)]
+    rows = [(name, size, "".join(r.choice(characters) for _ in range(size))) for name, _, characters in S.ALPHABETS if name != "digits" for size in (16, 20, 32, 40) for _ in range(100)]
+    plain = [("plain", 0, w) for w in identifiers(words, r)] + [("number", 0, "".join(r.choice("0123456789") for _ in range(16))) for _ in range(300)]
+    texts = [(k, *x, f"{r.choice(words)} {x[2]}, {r.choice(words)} token=abcdef {r.choice(words)}") for k, x in enumerate(rows + plain)]
+    df = spark.createDataFrame(texts, "doc_id long, kind string, size int, key string, text string").repartition(4)
+    added = F.filter("secrets", lambda x: x["kind"] == 3)
+    got = S.scan(df, model).select("kind", "size", "key", F.transform(added, lambda x: F.expr("text").substr(x["start"] + 1, x["end"] - x["start"])).alias("found"), F.exists("secrets", lambda x: x["kind"] == 2).alias("hex")).collect()
+    hits: dict[tuple, list[bool]] = {}
+    for x in got:
+        hits.setdefault((x.kind, x.size), []).append(x.key in x.found or x.hex)
+        if x.kind in ("plain", "number"):
+            hits[(x.kind, x.size)][-1] = bool(x.found)
+    for (kind, size), own in hits.items():
+        rate = sum(own) / len(own)
+        assert rate <= 0.01 if kind in ("plain", "number") else rate >= 0.9, (kind, size, rate)
+
+
+def test_a_part_of_a_run_is_found(spark, model):
+    key = "q7Wm2xKp9Zt4Lr8Vb3Nc"
+    texts = [f"see undeingeheitlich/withrenttiontion-{key}=", f"password={key}/x token: {key}-{key}", "no/such-thing=here/at-all/undeingeheitlich"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [texts[r.doc_id][x["start"] : x["end"]] for x in r.secrets if x["kind"] == 3] for r in S.scan(df, model).collect()}
+    assert got[2] == [] and any(key in x for x in got[0]) and len(got[0]) == 1
 
 
 def test_long_runs_and_many_matches_take_seconds(spark, model):
