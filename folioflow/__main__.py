@@ -4,7 +4,7 @@ list                                        names of the queries
 query NAME DATA [--output DIR]              run a query over a folder of Parquet tables
 compliance TABLE REFERENCE --base DIR       fill blank natures by name (columns A, C of one workbook; B, D of the other)
 answers FOLDER --base DIR                   read questionnaires (.docx) into an answer sheet
-settlement LIST EXPORT --base DIR --columns LETTERS --outgoing WORD
+settlement LIST EXPORT --base DIR --columns LETTERS --outgoing WORD [--total AMOUNT]
                                             look up a cumulative list in an export, check it in reverse, old and new layout
 policy TABLE POLICIES --base DIR --columns LETTERS
                                             fill a policy table by contract number, check that the funding parts add up
@@ -68,9 +68,9 @@ def _letters(text: str) -> list[int]:
 def _settlement(spark: SparkSession, a) -> None:
     key, amount, company, direction, other_key, value = _letters(a.columns or "C,D,E,F,AC,A")
     listed = _column_table(spark, a.inputs[0], {key: "contract", amount: "amount", company: "company_amount", direction: "direction"}, a.first_row)
-    listed = listed.select(F.col("row").alias("ordinal"), "contract", "direction", *(F.col(c).cast("decimal(18,2)").alias(c) for c in ("amount", "company_amount")))
+    listed = listed.select(F.col("row").alias("ordinal"), "contract", "direction", "amount", "company_amount")
     export = _column_table(spark, a.inputs[1], {other_key: "contract", value: "value"}, a.first_row)
-    old, new, found = desks.settlement(listed, export, "contract", ["value"], "amount", "direction", a.outgoing or [], ["company_amount"])
+    old, new, found = desks.settlement(listed, export, "contract", ["value"], "amount", "direction", a.outgoing or [], ["company_amount"], stated=None if a.total is None else F.lit(a.total))
     order = {"old": ["ordinal"], "new": ["ordinal"]}
     _deliver(Run(spark, a.base, "settlement", a.preview, list=a.inputs[0], export=a.inputs[1]), {"old": old, "new": new}, found, "settlement", order)
 
@@ -104,6 +104,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--outgoing", action="append")
     p.add_argument("--even", action="store_true")
     p.add_argument("--preview", action="store_true")
+    p.add_argument("--total")
     p.add_argument("--rules")
     p.add_argument("--points")
     p.add_argument("--update", action="store_true")

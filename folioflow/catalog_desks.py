@@ -46,6 +46,17 @@ def settlement_findings(spark, sf):
     return check.summary(_settlement(spark, sf)[2])
 
 
+def settlement_texts(spark, sf):
+    """Amounts as they stand in a workbook's cells: some are no numbers, some blank; the stated total is off by a hundredth."""
+    o, k = _t(spark, sf, "orders"), F.col("o_orderkey")
+    text = F.when(k % 53 == 0, "n/a").when(k % 59 == 0, " ").otherwise(_money("o_totalprice").cast("string"))
+    c = o.select(k.alias("ordinal"), k.alias("contract"), text.alias("amount"), F.col("o_orderstatus").alias("direction"), _money("o_totalprice").cast("string").alias("company_amount"))
+    c = c.withColumn("company_amount", X.flipped(F.col("company_amount").try_cast("decimal(18,2)"), F.col("direction"), ["F"]).cast("string"))
+    total = "0.01"
+    export = _t(spark, sf, "orders").select(k.alias("contract"), "o_custkey")
+    return desks.settlement(c, export, "contract", ["o_custkey"], "amount", "direction", ["F"], ["company_amount"], stated=F.lit(total))[2].select("entity", "code", "reason")
+
+
 # policy, compliance, register, statistics
 
 
@@ -339,7 +350,7 @@ def union_kinds(spark, sf):
 
 
 _QUERIES = (
-    settlement_old, settlement_new, settlement_findings, policy_table, policy_findings, compliance_findings, register_cases, register_persons, register_findings,
+    settlement_old, settlement_new, settlement_findings, settlement_texts, policy_table, policy_findings, compliance_findings, register_cases, register_persons, register_findings,
     statement_figures, crossing_values, occupied_findings, next_free_row, merge_plan, split_plan, split_findings, batch_findings, batch_records, holdings_checks,
     holdings_findings, trade_numbers, read_answers, answer_findings, answers_from_sheet, pick_cells, row_block, xlsx_cells, html_cells, pdf_fields, pdf_merged, material, pending_lines,
     source_records, text_functions, control_total, distinct_items, common_keys, top_k, source_order, union_kinds,
@@ -381,6 +392,15 @@ ORACLES = {
     "settlement_old": _SETTLEMENT + """ select ordinal, contract, case when n = 1 then p end as l_partkey,
   case when n is null then 'unmatched' when n > 1 then 'duplicate' else 'matched' end as match_status from c left join x on contract = l_orderkey""",
     "settlement_new": _SETTLEMENT + " select ordinal, contract, cast(amount as double) as customer_amount from c",
+    "settlement_texts": """
+with o as (
+  select o_orderkey as k, cast(o_totalprice as decimal(18, 2)) * case when o_orderstatus = 'F' then -1 else 1 end as company,
+    case when o_orderkey % 53 = 0 or o_orderkey % 59 = 0 then null else cast(o_totalprice as decimal(18, 2)) * case when o_orderstatus = 'F' then -1 else 1 end end as amount,
+    o_orderkey % 53 = 0 as wrong from orders)
+select cast(k as varchar) as entity, 'not_castable' as code, 'amount is no decimal(18,2): n/a' as reason from o where wrong
+union all select cast(k as varchar), 'value_blank', 'amount is blank' from o where amount is null and not wrong
+union all select cast(k as varchar), 'reverse_check', 'right_only' from o where amount is null
+union all select 'total', 'control_total', cast(sum(amount) as varchar) || ' against 0.01, incomplete' from o""",
     "settlement_findings": _SETTLEMENT + """, f as (select 'key_blank' as code from c where contract is null union all select 'key_double' from x where n > 1
   union all select 'not_in_export' from c where contract is null or contract not in (select l_orderkey from x)
   union all select 'reverse_check' from c group by contract having sum(off) <> 0)

@@ -7,6 +7,9 @@ from enum import Enum
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import blank_to_null
+from ..staging import staged
+
 
 class Policy(Enum):
     """What a finding does. FLAG: blank it, go on. KEEP_ROW: leave the row as it is, with the reason. ABORT: an error stops the batch. ALL_PASS: any finding does."""
@@ -82,6 +85,7 @@ def file_checks(material: DataFrame, name_pattern: str, copy_pattern: str, exten
     def more_than_once(key: str, code: str) -> DataFrame:
         return findings(duplicates(material.filter(F.col(key).isNotNull()), [key]), F.lit(True), F.col(key), code, F.concat(F.col("n").cast("string"), F.lit(" files")), stage)
 
+    material = staged(material.select("name", "ext", "sha256"), "precheck")  # contents are hashed once, whatever is asked of them
     name = F.col("name")
     out = findings(material, ~F.coalesce(F.lower("ext").isin(extensions), F.lit(False)), name, "extension", "not allowed for this task", stage)
     out = out.unionByName(findings(material, ~name.rlike(name_pattern), name, "name_format", "name is not in the agreed form", stage))
@@ -96,3 +100,10 @@ def control_total(rows: DataFrame, amount: str, stated: Column, tolerance: str =
     near = F.abs(F.col("total") - F.col("stated")) <= F.lit(tolerance).cast("decimal(18,2)")
     status = F.when((F.col("n_blank") > 0) | F.col("total").isNull() | F.col("stated").isNull(), "incomplete").when(near, "ok").otherwise("mismatch")
     return out.withColumn("status", status)
+
+
+def castable(rows: DataFrame, column: str, kind: str, entity: Column, stage: str) -> DataFrame:
+    """Findings where a text column holds something that isn't of a type (not_castable), or nothing (value_blank)."""
+    own = blank_to_null(F.col(column))
+    wrong = findings(rows, own.isNotNull() & own.try_cast(kind).isNull(), entity, "not_castable", F.concat(F.lit(f"{column} is no {kind}: "), own), stage)
+    return wrong.unionByName(findings(rows, own.isNull(), entity, "value_blank", f"{column} is blank", stage))

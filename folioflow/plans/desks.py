@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import even_pages, flipped, id_valid, in_units, ratio
 from ..operators import check, extract, match, number, score
 from ..operators.check import Policy
+from ..staging import staged
 
 #: The failure policy of each pipeline.
 POLICIES = {
@@ -63,20 +65,29 @@ def policy_fill(table: DataFrame, policies: DataFrame, key: str, values: list[st
     return out, found.unionByName(check.findings(out, off, F.col(key), "composition", "parts don't add up to the amount", "policy", "warn"))
 
 
-def settlement(cumulative: DataFrame, export: DataFrame, key: str, values: list[str], amount: str, direction: str, outgoing: list[str], drop: list[str], tolerance: str = "0") -> tuple[DataFrame, DataFrame, DataFrame]:
+def settlement(cumulative: DataFrame, export: DataFrame, key: str, values: list[str], amount: str, direction: str, outgoing: list[str], drop: list[str], tolerance: str = "0", stated: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(old layout in the cumulative list's order, new layout, findings).
 
     cumulative has ordinal and amount; export is looked up by contract number. The new layout drops columns and
-    turns amounts into the customer's direction; a reverse check holds its sums against the company's.
+    turns amounts into the customer's direction; a reverse check holds its sums against the company's. Amounts may be
+    texts: what isn't a number is a finding, and blank from there on. stated: the new layout's total, a constant, to be met.
     """
+    amounts = [c for c in (amount, "company_amount") if dict(cumulative.dtypes)[c] == "string"]
+    wrong = [check.castable(cumulative, c, "decimal(18,2)", F.col("ordinal"), "settlement") for c in amounts]
+    cumulative = cumulative.withColumns({c: F.col(c).try_cast("decimal(18,2)") for c in amounts})
     blank = check.findings(cumulative, F.col(key).isNull(), F.col("ordinal"), "key_blank", "no contract number", "settlement")
     double = check.findings(check.duplicates(export.filter(F.col(key).isNotNull()), [key]), F.lit(True), F.col(key), "key_double", "more than one row in the export", "settlement")
-    old = match.cardinality_join(cumulative, export, key, values)
+    old = staged(match.cardinality_join(cumulative, export, key, values), "settlement")  # three outputs come from it
     lost = check.findings(old, F.col("match_status") == "unmatched", F.col(key), "not_in_export", "no row in the export", "settlement")
     new = old.withColumn("customer_amount", flipped(F.col(amount).cast("decimal(18,2)"), F.col(direction), outgoing)).drop(*drop)
     both = match.reconcile(new.select(key, F.col("customer_amount").alias(amount)), cumulative.select(key, (-F.col("company_amount")).alias(amount)), key, amount, tolerance)
     off = check.findings(both, F.col("status") != "ok", F.col(key), "reverse_check", F.col("status"), "settlement")
-    return old, new, blank.unionByName(double).unionByName(lost).unionByName(off)
+    found = reduce(DataFrame.unionByName, [blank, double, lost, off, *wrong])
+    if stated is not None:
+        total = check.control_total(new, "customer_amount", stated, tolerance)
+        said = F.concat(F.col("total").cast("string"), F.lit(" against "), F.col("stated").cast("string"), F.lit(", "), F.col("status"))
+        found = found.unionByName(check.findings(total, F.col("status") != "ok", F.lit("total"), "control_total", said, "settlement"))
+    return old, new, found
 
 
 def questionnaire(paragraphs: DataFrame, points: DataFrame, cuts: list[float]) -> tuple[DataFrame, DataFrame, DataFrame]:
