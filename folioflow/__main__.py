@@ -19,6 +19,10 @@ trading-a FOLDER --profile NAME --person P --date YYYYMMDD --batch N --base DIR
                                             before stamping: check, register, merge, record the batch
 trading-b SCAN --profile NAME --person P --date YYYYMMDD --batch N --base DIR [--number PATTERN] [--run ID]
                                             after stamping: split the scan as the last batch, or that of ID, says
+projects FOLDER --rules JSON --base DIR [--first-serial N] [--first-row N]
+                                            the application forms below FOLDER as one table, by batch
+policies WORKBOOK FOLDER --rules JSON --base DIR
+                                            a copy of a policy table filled from PDFs, with a CSV record
 score FOLDER|WORKBOOK --points JSON --base DIR
                                             total and level of questionnaires (.docx) or of an answer sheet (.xlsx)
 
@@ -67,9 +71,9 @@ def _letters(text: str) -> list[int]:
 
 def _settlement(spark: SparkSession, a) -> None:
     key, amount, company, direction, other_key, value = _letters(a.columns or "C,D,E,F,AC,A")
-    listed = _column_table(spark, a.inputs[0], {key: "contract", amount: "amount", company: "company_amount", direction: "direction"}, a.first_row)
+    listed = _column_table(spark, a.inputs[0], {key: "contract", amount: "amount", company: "company_amount", direction: "direction"}, a.first_row or 2)
     listed = listed.select(F.col("row").alias("ordinal"), "contract", "direction", "amount", "company_amount")
-    export = _column_table(spark, a.inputs[1], {other_key: "contract", value: "value"}, a.first_row)
+    export = _column_table(spark, a.inputs[1], {other_key: "contract", value: "value"}, a.first_row or 2)
     old, new, found = desks.settlement(listed, export, "contract", ["value"], "amount", "direction", a.outgoing or [], ["company_amount"], stated=None if a.total is None else F.lit(a.total))
     order = {"old": ["ordinal"], "new": ["ordinal"]}
     _deliver(Run(spark, a.base, "settlement", a.preview, list=a.inputs[0], export=a.inputs[1]), {"old": old, "new": new}, found, "settlement", order)
@@ -78,8 +82,8 @@ def _settlement(spark: SparkSession, a) -> None:
 def _policy(spark: SparkSession, a) -> None:
     key, total, *parts, other_key, value = _letters(a.columns or "A,B,C,D,A,B")
     names = [f"part{k}" for k in range(1, len(parts) + 1)]
-    table = _column_table(spark, a.inputs[0], {key: "contract", total: "total"} | dict(zip(parts, names, strict=True)), a.first_row)
-    policies = _column_table(spark, a.inputs[1], {other_key: "contract", value: "value"}, a.first_row)
+    table = _column_table(spark, a.inputs[0], {key: "contract", total: "total"} | dict(zip(parts, names, strict=True)), a.first_row or 2)
+    policies = _column_table(spark, a.inputs[1], {other_key: "contract", value: "value"}, a.first_row or 2)
     out, found = desks.policy_fill(table, policies, "contract", ["value"], "total", names)
     _deliver(Run(spark, a.base, "policy", a.preview, table=a.inputs[0], policies=a.inputs[1]), {"filled": out}, found, "policy", {"filled": ["path", "sheet", "row"]})
 
@@ -93,11 +97,12 @@ def _merge(spark: SparkSession, a) -> None:
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> None:
     p = argparse.ArgumentParser(prog="folioflow", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    p.add_argument("command", choices=["list", "query", "compliance", "answers", "settlement", "policy", "merge", "texts", "precheck", "intake", "register", "statistics", "trading-a", "trading-b", "score"])
+    p.add_argument("command", choices=["list", "query", "compliance", "answers", "settlement", "policy", "merge", "texts", "precheck", "intake", "register", "statistics", "trading-a", "trading-b", "score", "projects", "policies"])
     p.add_argument("inputs", nargs="*")
     p.add_argument("--output")
     p.add_argument("--base", default="runs")
-    p.add_argument("--first-row", type=int, default=2)
+    p.add_argument("--first-row", type=int)
+    p.add_argument("--first-serial", type=int, default=23)
     p.add_argument("--name", default=".+")
     p.add_argument("--ext", action="append")
     p.add_argument("--columns")
@@ -123,8 +128,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         df = QUERIES[a.inputs[0]](spark, a.inputs[1])
         df.write.mode("errorifexists").parquet(a.output) if a.output and not a.preview else df.show(truncate=False)
     elif a.command == "compliance":
-        table = _column_table(spark, a.inputs[0], {2: "name", 3: "nature"}, a.first_row)
-        reference = _column_table(spark, a.inputs[1], {2: "name", 4: "nature"}, a.first_row)
+        table = _column_table(spark, a.inputs[0], {2: "name", 3: "nature"}, a.first_row or 2)
+        reference = _column_table(spark, a.inputs[1], {2: "name", 4: "nature"}, a.first_row or 2)
         out, found = desks.compliance_fill(table, reference)
         _deliver(Run(spark, a.base, "compliance", a.preview, table=a.inputs[0]), {"filled": out}, found, "compliance")
     elif a.command == "answers":
@@ -135,12 +140,16 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         _deliver(Run(spark, a.base, "questionnaire", a.preview, folder=a.inputs[0]), {"answers": score.answer_sheet(answers, ["path"])}, found, "questionnaire")
     elif a.command in ("settlement", "policy", "merge"):
         {"settlement": _settlement, "policy": _policy, "merge": _merge}[a.command](spark, a)
-    elif a.command in ("register", "statistics", "trading-a", "trading-b", "score"):
+    elif a.command in ("register", "statistics", "trading-a", "trading-b", "score", "projects", "policies"):
         run = Run(spark, a.base, a.command, a.preview, person=a.person, profile=a.profile or "", inputs=" ".join(a.inputs))
         if a.command == "register":
             n = commands.register(spark, run, a.inputs[0], a.rules)
         elif a.command == "statistics":
             n = commands.statistics(spark, run, a.inputs[0], a.inputs[1], a.rules, a.update)
+        elif a.command == "projects":
+            n = commands.projects(spark, run, a.inputs[0], a.rules, a.first_serial, a.first_row or 3)
+        elif a.command == "policies":
+            n = commands.policies(spark, run, a.inputs[0], a.inputs[1], a.rules)
         elif a.command == "score":
             n = commands.score_files(spark, run, a.inputs[0], a.points)
         elif a.command == "trading-a":

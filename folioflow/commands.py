@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,10 +83,10 @@ def register(spark: SparkSession, run: Run, folder: str, rules: str) -> int:
     open_ = lost.unionByName(clash).unionByName(doubts).unionByName(office.unreadable(found, cells, "register"))
 
     notes = extract.pivot_fields(fields, ["case_id"], r["columns"], value="note")
-    of = notes.select(F.col("case_id").alias("__case"), *(F.col(c).alias(f"__{c}") for c in r["columns"]))
+    of = notes.select(F.col("case_id").alias("__case"), *(F.col(c).alias(f"__note_{c}") for c in r["columns"]))
     clients = clients.join(of, clients["case_id"] == of["__case"], "left")
     first = number.serial(clients, ["case_id"], 1, 2).select(
-        F.lit(1).alias("sheet_no"), F.lit("clients").alias("sheet"), F.col("sheet_row").alias("row"), F.array(committed.cell("case_id"), *(committed.cell(c, F.col(f"__{c}")) for c in r["columns"])).alias("cells")
+        F.lit(1).alias("sheet_no"), F.lit("clients").alias("sheet"), F.col("sheet_row").alias("row"), F.array(committed.cell("case_id"), *(committed.cell(c, F.col(f"__note_{c}")) for c in r["columns"])).alias("cells")
     )
     notes_of = [committed.cell(c, None if c == "name" else F.concat_ws(" ", f"{c}_source", f"{c}_status")) for c in r["person_columns"]]
     second = number.serial(checked, ["case_id", "name"], 1, 2).select(F.lit(2).alias("sheet_no"), F.lit("persons").alias("sheet"), F.col("sheet_row").alias("row"), F.array(committed.cell("case_id"), *notes_of).alias("cells"))
@@ -103,6 +104,78 @@ def _heads(spark: SparkSession, sheets: list[tuple[int, str, list[str]]]) -> Dat
     return spark.createDataFrame(rows, f"sheet_no int, sheet string, row int, cells array<{committed.CELL}>")
 
 
+# projects
+
+
+def projects(spark: SparkSession, run: Run, folder: str, rules: str, first_serial: int = 23, first_row: int = 3) -> int:
+    """The application forms below folder as one table: from first_row and first_serial on, in the order of batches (the two
+    digits that end a form's folder) and files; serial, batch, then the rules' columns, every value with its source.
+
+    Rules: anchors and fields as for register; columns (in order). A form without a batch or without a value stays, with a
+    finding, and its blank cells are marked.
+    """
+    r = _rules(rules)
+    found = office.files(spark, folder, "*.xls[xm]")
+    cells = office.read_cells(found)
+    anchors = spark.createDataFrame([(t, row, _column(col), text) for t, own in r["anchors"].items() for row, col, text in own], "template string, row int, col int, text string")
+    positions = extract.position_rules(spark, [(t, f, s, row, _column(col)) for t, f, s, row, col in r["fields"]])
+    picked, lost = templates.fields(cells, anchors, positions)
+    picked = picked.withColumn("note", F.concat_ws(" ", X.file_name(F.col("path")), "source.sheet", "source.ref"))
+    forms = places.with_batch(found.select("path")).join(extract.pivot_fields(picked, ["path"], r["columns"]), "path")
+    notes = extract.pivot_fields(picked, ["path"], r["columns"], value="note").select(F.col("path").alias("__path"), *(F.col(c).alias(f"__note_{c}") for c in r["columns"]))
+    forms = forms.join(notes, forms["path"] == notes["__path"])
+    open_ = lost.unionByName(office.unreadable(found, cells, "projects"))
+    open_ = open_.unionByName(check.findings(forms, F.col("batch_no").isNull(), X.file_name(F.col("path")), "no_batch", "the folder's name ends in no two digits", "projects", "warn"))
+    missing = forms.withColumn("missing", check.missing_fields(r["columns"]))
+    open_ = open_.unionByName(check.findings(missing, F.size("missing") > 0, X.file_name(F.col("path")), "incomplete", F.array_join("missing", ","), "projects", "warn"))
+    placed = number.serial(forms.withColumn("__batch", F.coalesce("batch_no", F.lit(100))), ["__batch", "path"], first_serial, first_row)
+    own = F.array(committed.number_cell("serial"), committed.number_cell("batch_no"), *(committed.cell(c, F.col(f"__note_{c}")) for c in r["columns"]))
+    rows = placed.select(F.lit("projects.xlsx").alias("workbook"), F.lit(1).alias("sheet_no"), F.lit("projects").alias("sheet"), F.col("sheet_row").alias("row"), own.alias("cells"))
+    src = picked.select(F.col("path").alias("case_id"), F.lit("project").alias("entity"), F.lit(1).alias("ordinal"), "field", "value", "source", F.col("template").alias("basis"), F.lit("read").alias("status"))
+    records = {"sources": deliver.source_records(src).select(F.to_json(F.struct("case_id", "record")).alias("value")), "pending": deliver.pending_lines(open_)}
+    return _finish(run, open_, desks.POLICIES["register"], {"workbook": lambda to: committed.workbooks(rows, to)}, records)
+
+
+# policies
+
+
+def policies(spark: SparkSession, run: Run, table: str, folder: str, rules: str) -> int:
+    """A copy of the policy table with what the policies (PDFs) in folder say, and a CSV record of how each row fared.
+
+    Rules: first_row; key [column letters of the table, pattern]; fields {column letters: pattern}; total and parts
+    (column letters among fields; optional): the funding that must make the total up. A row without exactly one policy,
+    or whose parts don't add up, stays as it is; cells that hold something are never written over.
+    """
+    r = _rules(rules)
+    cells = office.read_cells(office.files(spark, table))
+    key, pattern = _column(r["key"][0]), r["key"][1]
+    names = {letters: f"c{_column(letters)}" for letters in r["fields"]}
+    listed = cells.filter((F.col("row") >= r.get("first_row", 2)) & (F.col("col") == key)).select("path", "sheet", "row", F.trim("raw").alias("key"))
+    found = office.files(spark, folder, "*.pdf")
+    pages = seams.read_text_pdfs(found)
+    whole = pages.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]), "\n").alias("text"))
+    read = extract.text_fields(whole, {"key": pattern} | {names[c]: p for c, p in r["fields"].items()}).withColumn("policy", X.file_name(F.col("path"))).drop("path", "text")
+    out = match.cardinality_join(listed, read, "key", ["policy", *names.values()])
+    status = F.col("match_status")
+    if r.get("total"):
+        money = lambda c: F.regexp_replace(names[c], ",", "").try_cast("decimal(18,2)")
+        parts = [F.coalesce(money(c), F.lit(0).cast("decimal(18,2)")) for c in r["parts"]]
+        off = sum(parts[1:], parts[0]) - money(r["total"])
+        status = F.when((status == "matched") & (off.isNull() | (off != 0)), "composition").otherwise(status)
+    out = out.withColumn("status", status)
+    open_ = check.findings(out, F.col("status") != "matched", F.concat_ws(":", "sheet", "row", "key"), "not_filled", F.col("status"), "policy", "warn").unionByName(office.unreadable(found, pages, "policy"))
+    unused = match.unmatched(read.filter("key is not null"), listed, "key")
+    open_ = open_.unionByName(check.findings(unused, F.lit(True), F.col("policy"), "not_in_table", "no row has its number", "policy", "warn"))
+    open_ = open_.unionByName(check.findings(read, F.col("key").isNull(), F.col("policy"), "no_number", "no number found in the text", "policy", "warn"))
+    good = out.filter("status = 'matched'")
+    writes = [good.select("path", "sheet", "row", F.lit(_column(c)).alias("col"), F.lit(c).alias("field"), F.col(n).alias("value")) for c, n in names.items()]
+    grid, taken = region.overlay(cells, reduce(DataFrame.unionByName, writes))
+    open_ = open_.unionByName(taken.withColumn("severity", F.lit("warn")))  # what is there stays, so it stops nothing
+    record = out.select("sheet", "row", "key", "policy", "status").orderBy("sheet", "row")
+    outputs = {"workbook": lambda to: committed.workbooks(as_sheets(grid), to), "check": lambda to: record.write.option("header", "true").csv(to)}
+    return _finish(run, open_, desks.POLICIES["policy"], outputs, {"pending": deliver.pending_lines(open_)})
+
+
 # statistics
 
 

@@ -96,7 +96,8 @@ def fixed_split(pages: DataFrame, page: str, size: int) -> DataFrame:
 
 
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key. An aggregate, not a window: it combines on the map side and sorts nothing."""
+    """The last row of each key. An aggregate, not a window: each task passes on one row a key. As rows have no fixed width
+    Spark sorts them by key for it; a key's rows needn't fit in memory."""
     rest = [c for c in rows.columns if c not in keys]
     top = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
     return rows.groupBy(*keys).agg(top).select(*keys, "__row.*")

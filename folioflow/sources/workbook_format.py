@@ -22,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
 from ..filesystem import files_below, reached
 from ..schemas import SCHEMAS
 from ..shipping import ship
 from . import office
 
-FORMAT = "folioflow_cells"
+FORMAT, PARAGRAPHS = "folioflow_cells", "folioflow_paragraphs"
 CELLS = "path string, sheet string, row int, col int, raw string, cell_type string"
 #: Bytes of files in a partition, unless the option bytes says otherwise.
 PARTITION_BYTES = 32 << 20
@@ -85,8 +86,8 @@ class Wanted:
 class Pushed(dict):
     """Wanted values of each column that the reader prunes by."""
 
-    def __init__(self) -> None:
-        super().__init__((c, Wanted()) for c in ("path", "sheet", "row", "col"))
+    def __init__(self, *columns: str) -> None:
+        super().__init__((c, Wanted()) for c in columns or ("path", "sheet", "row", "col"))
 
     def take(self, filters: Iterable[ds.Filter]) -> Iterator[ds.Filter]:
         """Those that are left to Spark."""
@@ -188,6 +189,25 @@ class CellReader(ds.DataSourceReader):
                 yield _cells(path, rows)
 
 
+class ParagraphReader(CellReader):
+    """Paragraphs of .docx files: path and para_no are pushed; unwanted files aren't opened."""
+
+    def __init__(self, options: dict) -> None:
+        super().__init__({"glob": "*.docx"} | options)
+        self.want = Pushed("path", "para_no")
+
+    def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
+        for path in partition.paths:
+            system, inner, _ = reached(path)
+            try:
+                with system.open_input_file(inner) as file:
+                    rows = [(k, text) for k, text in enumerate(office.docx_paragraphs(file.read()), 1) if k in self.want["para_no"]]
+            except (*office.UNREADABLE, KeyError):
+                continue  # office.unreadable reports it
+            columns = [pa.array([path] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "para_no", "text"])
+
+
 class _Raw(io.RawIOBase):
     """An Arrow file as one of Python's, so that reading a part of it reads no more than a buffer beyond."""
 
@@ -233,11 +253,37 @@ class CellSource(ds.DataSource):
         return CellReader(dict(self.options))
 
 
+class ParagraphSource(ds.DataSource):
+    """spark.read.format("folioflow_paragraphs"): path, para_no, text of the .docx files of a folder; options as for cells."""
+
+    @classmethod
+    def name(cls) -> str:
+        return PARAGRAPHS
+
+    def schema(self) -> str:
+        return "path string, para_no int, text string"
+
+    def reader(self, schema) -> ParagraphReader:
+        return ParagraphReader(dict(self.options))
+
+
+@udtf(returnType="part_no int, text string")
+class SplitText:
+    """split_text(text, separator): the parts of a text with their number from 1; a null text has none. An empty separator
+    gives the whole text."""
+
+    def eval(self, text: str, separator: str):
+        if text is not None:
+            yield from enumerate(text.split(separator) if separator else [text], 1)
+
+
 def register(spark: SparkSession) -> None:
-    """Make the format known to this session, with filters handed to it (Spark leaves that off for Python sources)."""
+    """Make the formats, and split_text for SQL, known to this session, with filters handed to it (Spark leaves that off for Python sources)."""
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(CellSource)
+    for source in (CellSource, ParagraphSource):
+        spark.dataSource.register(source)
+    spark.udtf.register("split_text", SplitText)
 
 
 def with_numbers(cells: DataFrame) -> DataFrame:

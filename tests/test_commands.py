@@ -130,3 +130,46 @@ def test_scores_of_papers_and_of_a_sheet(spark, tmp_path):
     docx(tmp_path / "in" / "b.docx", ["1. why? Z"])
     with pytest.raises(GateError):
         main(["score", str(tmp_path / "in"), *args], spark)
+
+
+def test_projects_by_batch_from_the_third_row(spark, tmp_path):
+    form = lambda name, amount: workbook({"form": [["Application", None], ["Name", name], ["Amount", amount]]})
+    for path, content in {"spring12/b.xlsx": form("B", "5"), "spring12/a.xlsx": form("A", None), "early03/c.xlsm": form("C", "7"), "other/d.xlsx": form("D", "8"), "early03/e.xlsx": workbook({"x": [["?"]]}), "early03/f.pdf": b"%PDF-"}.items():
+        (tmp_path / "in" / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / path).write_bytes(content)
+    rules = {"anchors": {"v1": [[1, "A", "application"], [2, "A", "name"]]}, "fields": [["v1", "name", "form", 2, "B"], ["v1", "amount", None, 3, "B"]], "columns": ["name", "amount"]}
+    (tmp_path / "rules.json").write_text(json.dumps(rules))
+    args = ["projects", str(tmp_path / "in"), "--rules", str(tmp_path / "rules.json"), "--base", str(tmp_path / "runs")]
+    main(args, spark)
+    folder = run_folder(spark, tmp_path / "runs", "projects")
+    got = sheet(folder / "workbook" / "projects.xlsx")
+    rows = [[got.get(("projects", row, c)) for c in (1, 2, 3, 4)] for row in (3, 4, 5, 6)]
+    assert rows == [["23.0", "3.0", "C", "7"], ["24.0", "12.0", "A", None], ["25.0", "12.0", "B", "5"], ["26.0", None, "D", "8"]] and ("projects", 2, 1) not in got
+    codes = {(r.code, r.entity.rsplit("/", 1)[-1]) for r in spark.read.json(str(folder / "findings")).collect()}
+    assert codes == {("no_batch", "d.xlsx"), ("incomplete", "a.xlsx"), ("no_template", "e.xlsx:x")}
+    main([*args, "--first-serial", "1", "--first-row", "10"], spark)
+    again = sheet(run_folder(spark, tmp_path / "runs", "projects", 2) / "workbook" / "projects.xlsx")
+    assert again[("projects", 10, 1)] == "1.0"
+
+
+def test_policy_table_is_filled_in_a_copy(spark, tmp_path):
+    rows = [["No", "Place", "Total", "Own", "Loan"], ["P1", None, None, None, None], ["P2", "there", None, None, None], ["P3", None, None, None, None], ["P4", None, None, None, None], ["P5", None, None, None, None]]
+    (tmp_path / "table.xlsx").write_bytes(workbook({"S": rows}))
+    (tmp_path / "in").mkdir()
+    say = lambda no, place, total, own, loan: f"policy {no} at {place} total {total} own {own} loan {loan} end"
+    for name, text in {"a": say("P1", "Here", "1,000.00", "400", "600"), "b": say("P2", "Elsewhere", "10", "4", "6"), "c": say("P3", "X", "10", "4", "5"), "d": say("P4", "Y", "1", "1", "0"), "e": say("P4", "Y", "1", "1", "0"), "f": say("P9", "Z", "1", "1", "0"), "g": "no number"}.items():
+        (tmp_path / "in" / f"{name}.pdf").write_bytes(pdf.text_pdf([text]))
+    before = (tmp_path / "table.xlsx").read_bytes()
+    rules = {"key": ["A", "policy (P[0-9])"], "fields": {"B": "at (\\w+)", "C": "total ([0-9.,]+)", "D": "own ([0-9.,]+)", "E": "loan ([0-9.,]+)"}, "total": "C", "parts": ["D", "E"]}
+    (tmp_path / "rules.json").write_text(json.dumps(rules))
+    main(["policies", str(tmp_path / "table.xlsx"), str(tmp_path / "in"), "--rules", str(tmp_path / "rules.json"), "--base", str(tmp_path / "runs")], spark)
+    folder = run_folder(spark, tmp_path / "runs", "policies")
+    got = sheet(folder / "workbook" / "table.xlsx")
+    assert [got.get(("S", 2, c)) for c in range(1, 6)] == ["P1", "Here", "1,000.00", "400", "600"]
+    assert [got.get(("S", 3, c)) for c in range(1, 4)] == ["P2", "there", "10"]  # what was there stays
+    assert not any(got.get(("S", r, c)) for r in (4, 5, 6) for c in range(2, 6))  # empty, as they were
+    assert (tmp_path / "table.xlsx").read_bytes() == before
+    record = {r.key: (r.policy, r.status) for r in spark.read.option("header", "true").csv(str(folder / "check")).collect()}
+    assert record == {"P1": ("a.pdf", "matched"), "P2": ("b.pdf", "matched"), "P3": ("c.pdf", "composition"), "P4": (None, "duplicate"), "P5": (None, "unmatched")}
+    codes = {(r.code, r.entity) for r in spark.read.json(str(folder / "findings")).collect()}
+    assert {("not_in_table", "f.pdf"), ("no_number", "g.pdf"), ("occupied", f"file:{tmp_path}/table.xlsx:S:3:2")} <= {(c, e.replace("file:///", "file:/")) for c, e in codes}

@@ -77,3 +77,17 @@ def test_files_are_dealt_by_size(folder):
     assert len(reader.partitions()) == 7
     list(reader.pushFilters([workbook_format.ds.StringEndsWith(("path",), "b2.xlsx")]))
     assert [p.paths[0].rsplit("/", 1)[-1] for p in reader.partitions()] == ["b2.xlsx"]
+
+
+def test_paragraphs_and_split_text(spark, tmp_path):
+    for k in range(3):
+        with zipfile.ZipFile(tmp_path / f"q{k}.docx", "w") as z:
+            z.writestr("word/document.xml", '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body>' + "".join(f"<w:p><w:r><w:t>{k}{n}</w:t></w:r></w:p>" for n in "abc") + "</w:body></w:document>")
+    (tmp_path / "bad.docx").write_bytes(b"PK\x03\x04")
+    workbook_format.register(spark)
+    df = spark.read.format(workbook_format.PARAGRAPHS).load(str(tmp_path))
+    assert sorted((r.path[-7:], r.para_no, r.text) for r in df.collect()) == sorted((f"q{k}.docx", n, f"{k}{c}") for k in range(3) for n, c in enumerate("abc", 1))
+    assert [r.text for r in df.filter("path like '%q1.docx' and para_no > 2").collect()] == ["1c"]
+    spark.createDataFrame([(1, "a|b"), (2, None), (3, "")], "id int, t string").createOrReplaceTempView("said")
+    got = spark.sql("select id, p.part_no, p.text from said, lateral split_text(t, '|') p order by id, part_no").collect()
+    assert [tuple(r) for r in got] == [(1, 1, "a"), (1, 2, "b"), (3, 1, "")]
