@@ -63,7 +63,7 @@ def log_ratios(docs: DataFrame) -> np.ndarray:
 
 
 def weigh(docs: DataFrame, ratios: np.ndarray, seed: int = 0, key: str = "doc_id") -> DataFrame:
-    """key, log_weight, gumbel_key, rank_bits (a long in the order of gumbel_key) for each row."""
+    """key, log_weight, gumbel_key, rank_bits (a long in the order of gumbel_key), tie (what the noise comes from) for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,10 +74,10 @@ def weigh(docs: DataFrame, ratios: np.ndarray, seed: int = 0, key: str = "doc_id
                 drawn = weight - np.log(-np.log((noise + 0.5) / 2.0**53))
                 bits = (drawn + 0.0).view(np.int64)
                 bits = np.where(bits < 0, bits ^ np.int64(2**63 - 1), bits)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(weight), pa.array(drawn), pa.array(bits)], [key, "log_weight", "gumbel_key", "rank_bits"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(weight), pa.array(drawn), pa.array(bits), batch.column(2).slice(a, b - a)], [key, "log_weight", "gumbel_key", "rank_bits", "tie"])
 
-    own = docs.select(key, "text", F.xxhash64(F.col(key), F.lit(seed)).alias("noise"))
-    return map_arrow(own, run, f"{key} {own.schema[key].dataType.simpleString()}, log_weight double, gumbel_key double, rank_bits long")
+    own = docs.select(key, "text", F.xxhash64(F.col(key).cast("string"), "text", F.lit(seed)).alias("noise"))
+    return map_arrow(own, run, f"{key} {own.schema[key].dataType.simpleString()}, log_weight double, gumbel_key double, rank_bits long, tie long")
 
 
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 0, target_rows: int = TARGET_ROWS) -> DataFrame:
@@ -85,10 +85,10 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
 
     Target text: documents with quality 1 in labels, about target_rows of them drawn by a hash of doc_id (a
     bounded broadcast); raw text: every document. share: as the labels' share of quality 1 if not given. The
-    Gumbel noise depends on doc_id and seed only. The k-th key is found by exact histograms, not by a global
-    sort. A null text has weight 0; a null doc_id or label is no target; rows that repeat a doc_id draw the same
-    noise, and rows with one key are taken or left together, so k may be missed by such a tie. No labels: all
-    weights are 0 and share is 1.
+    Gumbel noise depends on doc_id (of any type, null too), text and seed only. The k-th key is found by exact
+    histograms, not by a global sort. A null text has weight 0; a null doc_id or label is no target; rows that repeat
+    both doc_id and text draw the same noise and are taken or left together, so k may be missed by such a tie and by no
+    other. No labels: all weights are 0 and share is 1. Other columns are not read; an empty table gives an empty result.
     """
     marks = labels.select("doc_id", "quality").filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     known, good = marks.agg(F.count(F.lit(1)), F.count_if(F.col("quality") == 1)).first()
@@ -98,14 +98,13 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     own = docs.select("doc_id", "text")
     ratios = log_ratios(own.join(F.broadcast(target), own["doc_id"] == target["__id"], "left").select("text", "target"))
     drawn = staged(weigh(own, ratios, seed), "gumbel")
-    keys = drawn.select(F.col("rank_bits").alias("k1"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("k2"), F.lit(1).alias("size"))
+    keys = drawn.select(F.col("rank_bits").alias("k1"), F.col("tie").alias("k2"), F.lit(1).alias("size"))
     n = keys.count()
     out = n - round(share * n)
     if 0 < out < n:
         cut = find_splitters(keys, [(out, 0)], 0, 1 << 128, (n, n))[0]
         a, b = (cut >> 64) - 2**63, (cut & (2**64 - 1)) - 2**63
-        k2 = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
-        taken = (F.col("rank_bits") > F.lit(a)) | ((F.col("rank_bits") == F.lit(a)) & (k2 >= F.lit(b)))
+        taken = (F.col("rank_bits") > F.lit(a)) | ((F.col("rank_bits") == F.lit(a)) & (F.col("tie") >= F.lit(b)))
     else:
         taken = F.lit(out <= 0)
     return drawn.select("doc_id", "log_weight", "gumbel_key", taken.alias("selected"))

@@ -62,3 +62,37 @@ def test_edges(spark):
     assert quality.resample(docs, none).filter("selected and log_weight = 0").count() == 4
     assert quality.resample(docs.limit(0), none).count() == 0
     assert quality.resample(docs, none, share=0.0).filter("selected").count() == 0
+
+
+def test_whole_query_against_plain_counts(spark):
+    """Every row's weight from plain counts of target and raw text; the k greatest keys, k from the labels' share."""
+    docs = [(i, " ".join(("good" if i % 3 else "bad") + str((i * j) % 11) for j in range(1, 1 + i % 9))) for i in range(300)] + [(300, None), (301, "")]
+    labels = [(i, int(i % 3 > 0)) for i in range(0, 300, 2)] + [(None, 1), (4, None), (4, 1)]
+    out = quality.resample(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), spark.createDataFrame(labels, "doc_id long, quality int"), target_rows=10**6).collect()
+    good = {i for i, q in labels if i is not None and q == 1}
+    known = {i for i, q in labels if i is not None and q is not None}
+
+    def buckets(text):
+        (_, _, data, offsets), *_ = words.chunks(pa.array([text or ""]))
+        return quality.features(data, offsets)[0]
+
+    raw, target = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for i, text in docs:
+        np.add.at(raw, buckets(text), 1)
+        if i in good:
+            np.add.at(target, buckets(text), 1)
+    p = lambda x: np.log((x + 1) / (x.sum() + quality.BUCKETS))
+    ratio = p(target) - p(raw)
+    assert all(math.isclose(r.log_weight, ratio[buckets(dict(docs)[r.doc_id])].sum(), abs_tol=1e-9) for r in out)
+    k = round(len(good) / len(known) * len(docs))
+    keys = sorted((r.gumbel_key for r in out), reverse=True)
+    assert {r.doc_id for r in out if r.selected} == {r.doc_id for r in out if r.gumbel_key >= keys[k - 1]} and sum(r.selected for r in out) == k
+
+
+def test_rows_without_an_id_and_ids_of_text(spark):
+    none = spark.createDataFrame([], "doc_id string, quality int")
+    rows = [(None, f"text {k}", 1.0, 2) for k in range(1000)] + [(f"id {k}", "same text", 1.0, 2) for k in range(500)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, gumbel_key double, tie int")
+    out = quality.resample(df, none, share=0.5)
+    assert out.columns == ["doc_id", "log_weight", "gumbel_key", "selected"]
+    assert out.filter("selected").count() == 750 and 400 < out.filter("selected and doc_id is null").count() < 600
