@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import check, extract, merge, number, region, scan, templates, tokens
+from .operators import check, extract, merge, number, readings, region, scan, templates, tokens
 from .sinks import committed
 from .sources import workbook_format
 from .staging import shared_dir
@@ -178,6 +178,28 @@ def persons_findings(spark, sf):
     return check.summary(_persons(spark, sf)[1])
 
 
+# readings
+
+
+def _readings(spark, sf):
+    """Documents as the pages of files of eight; fields by rules in order of trust."""
+    d = _t(spark, sf, "documents").select(F.floor(F.col("doc_id") / 8).cast("string").alias("path"), (F.col("doc_id") % 8 + 1).alias("page_no"), "text")
+    rules = [
+        readings.Rule("mail", r"([a-z]+[0-9]*@[a-z]+\.[a-z]+)", 1), readings.Rule("mail", r"@([a-z]+)", 2), readings.Rule("card", r"\b([0-9]{16})\b", 1, "decimal", True),
+        readings.Rule("number", r"\b([0-9]{1,3},[0-9]{3})\b", 1, "decimal"), readings.Rule("number", r"\b([0-9]{2,4})\b", 2, "decimal"), readings.Rule("day", r"\b([0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2})\b", 1, "date"),
+        readings.Rule("license", r"(?:License|license):? ([A-Za-z]+)", 1), readings.Rule("start", r"^([A-Za-z]+)", 1, many=True),
+    ]
+    return readings.read(d, rules)
+
+
+def ruled_fields(spark, sf):
+    return _readings(spark, sf)[0]
+
+
+def ruled_findings(spark, sf):
+    return check.summary(_readings(spark, sf)[1].withColumn("code", F.concat_ws("_", "code", "reason")))
+
+
 # versions of a template
 
 
@@ -205,7 +227,7 @@ def template_findings(spark, sf):
     return _versions(spark, sf)[1].select("entity", "code", "reason")
 
 
-_QUERIES = (workbook_scan, statement_tokens, unit_context, scan_islands, scan_findings, write_grid, write_grid_update, write_grid_findings, persons_merged, persons_findings, template_fields, template_findings)
+_QUERIES = (workbook_scan, statement_tokens, unit_context, scan_islands, scan_findings, write_grid, write_grid_update, write_grid_findings, persons_merged, persons_findings, ruled_fields, ruled_findings, template_fields, template_findings)
 QUERIES = {f.__name__: f for f in _QUERIES}
 
 _SCAN = """
@@ -259,6 +281,32 @@ m as (
     p_lo as priority, case when p_lo is not null then 'letter' end as priority_source, case when p_lo is null then 'missing' when p_lo <> p_hi then 'ranked' else 'single' end as priority_status
   from g)"""
 
+_READINGS = r"""
+with d as (select cast(doc_id // 8 as varchar) as path, doc_id % 8 + 1 as page_no, text from documents),
+h as (
+  select path, page_no, 'mail' as field, 1 as rank, unnest(regexp_extract_all(text, '([a-z]+[0-9]*@[a-z]+\.[a-z]+)', 1)) as raw from d
+  union all select path, page_no, 'mail', 2, unnest(regexp_extract_all(text, '@([a-z]+)', 1)) from d
+  union all select path, page_no, 'card', 1, unnest(regexp_extract_all(text, '\b([0-9]{16})\b', 1)) from d
+  union all select path, page_no, 'number', 1, unnest(regexp_extract_all(text, '\b([0-9]{1,3},[0-9]{3})\b', 1)) from d
+  union all select path, page_no, 'number', 2, unnest(regexp_extract_all(text, '\b([0-9]{2,4})\b', 1)) from d
+  union all select path, page_no, 'day', 1, unnest(regexp_extract_all(text, '\b([0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2})\b', 1)) from d
+  union all select path, page_no, 'license', 1, unnest(regexp_extract_all(text, '(?:License|license):? ([A-Za-z]+)', 1)) from d
+  union all select path, page_no, 'start', 1, unnest(regexp_extract_all(text, '^([A-Za-z]+)', 1)) from d),
+v as (
+  select path, page_no, field, rank, case when field in ('card', 'number') then cast(try_cast(replace(raw, ',', '') as decimal(28, 6)) as varchar)
+    when field = 'day' then cast(try_cast(split_part(regexp_replace(raw, '[-/.]', '-', 'g'), '-', 1) || '-' || lpad(split_part(regexp_replace(raw, '[-/.]', '-', 'g'), '-', 2), 2, '0') || '-' || lpad(split_part(regexp_replace(raw, '[-/.]', '-', 'g'), '-', 3), 2, '0') as date) as varchar)
+    else raw end as value from h where trim(raw) <> ''),
+e as (select path, field, rank, value, min(page_no) as page_no from v group by all),
+g as (
+  select path, field, rank, count(*) as n_values, min(page_no) as page_no, min(value) as one, string_agg(value, ';' order by page_no, value) as every
+  from e where value is not null group by path, field, rank),
+b as (select * from g qualify rank = min(rank) over (partition by path, field)),
+w as (select distinct path, unnest(['mail', 'card', 'number', 'day', 'license', 'start']) as field from d),
+o as (
+  select w.path, w.field, case when b.field in ('card', 'start') then every when n_values = 1 then one end as value, b.page_no as first_page, b.rank, coalesce(n_values, 0) as n_values,
+    case when b.rank is null then case when t.path is null then 'missing' else 'invalid' end when w.field in ('card', 'start') then 'list' when n_values > 1 then 'ambiguous' else 'ok' end as status
+  from w left join b on b.path = w.path and b.field = w.field left join (select distinct path, field from e) t on t.path = w.path and t.field = w.field)"""
+
 _VERSIONS = """
 with o as (select o_orderkey, o_orderkey % 6 as k, cast(o_totalprice as decimal(18, 2)) as total, o_orderstatus, o_orderpriority from orders)"""
 
@@ -307,6 +355,8 @@ f as (
   select 'id_no_conflict' as code from m where id_no_status = 'conflict' union all select 'mail_conflict' from m where mail_status = 'conflict'
   union all select 'priority_ranked' from m where priority_status = 'ranked' union all select 'no_name' from u where name is null)
 select 'register' as stage, 'warn' as severity, code, count(*) as n from f group by code""",
+    "ruled_fields": _READINGS + " select path, field, value, case when value is not null then first_page end as page_no, rank, n_values, status from o",
+    "ruled_findings": _READINGS + " select 'read' as stage, 'warn' as severity, 'reading_' || status as code, count(*) as n from o where status in ('missing', 'invalid', 'ambiguous') group by status",
     "template_fields": _VERSIONS + """
 select cast(o_orderkey as varchar) as path, 'v1' as template, 'total' as field, cast(total as varchar) as value, 'B2' as ref from o where k = 0
 union all select cast(o_orderkey as varchar), 'v2', 'total', cast(total + 1 as varchar), 'C2' from o where k = 1

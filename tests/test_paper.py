@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.operators import merge, number, region, scan, templates, tokens
+from folioflow.operators import merge, number, readings, region, scan, templates, tokens
 
 TOKEN = "path string, page_no int, token_no int, text string, x0 double, y0 double, x1 double, y1 double"
 
@@ -143,3 +143,22 @@ def test_best_template_of_each_sheet(spark):
     out, found = templates.fields(spark.createDataFrame(cells, CELLS), anchors, rules)
     assert sorted((r.path, r.sheet, r.template, r.value, r.source.ref) for r in out.collect()) == [("a", "S", "old", "va", "C3"), ("b", "S", "new", "vb", "D4")]
     assert sorted((r.code, r.entity, r.reason) for r in found.collect()) == [("no_template", "c:S", "nearest: new with 1 anchors"), ("no_template", "e:S", "nothing fits"), ("template_tie", "d:S", "2 versions fit as well")]
+
+
+def test_readings_by_rules_in_order_of_trust(spark):
+    rules = [
+        readings.Rule("price", "price: ([0-9,.]+)", 1, "decimal"), readings.Rule("price", "at ([0-9,.]+)", 2, "decimal"), readings.Rule("day", "on ([0-9./-]+)", 1, "date"),
+        readings.Rule("no", "no (T[0-9]+)"), readings.Rule("clause", "clause (\\w+)", many=True),
+    ]
+    pages = [
+        ("a", 1, "no T1 at 9 on 2024/2/3"), ("a", 2, "price: 1,200.50 no T1 clause z clause b"), ("a", 3, "clause b clause y"), ("a", 3, "clause b clause y"),
+        ("b", 1, "no T1"), ("b", 2, "no T2 price: .,. at 7 on 2024.13.1"), ("c", 1, None),
+    ]
+    out, found = readings.read(spark.createDataFrame(pages, "path string, page_no int, text string"), rules)
+    got = {(r.path, r.field): (r.value, r.page_no, r.rank, r.n_values, r.status) for r in out.collect()}
+    assert got[("a", "price")] == ("1200.500000", 2, 1, 1, "ok") and got[("a", "day")] == ("2024-02-03", 1, 1, 1, "ok") and got[("a", "no")] == ("T1", 1, 1, 1, "ok")
+    assert got[("a", "clause")] == ("b;z;y", 2, 1, 3, "list")
+    assert got[("b", "price")] == ("7.000000", 2, 2, 1, "ok")  # the trusted rule's find is no number
+    assert got[("b", "day")] == (None, None, None, 0, "invalid") and got[("b", "no")] == (None, None, 1, 2, "ambiguous")
+    assert {got[("c", f)][4] for f in ("price", "day", "no", "clause")} == {"missing"} and len(got) == 12
+    assert findings(found) == [("reading", x) for x in ("b:clause", "b:day", "b:no", "c:clause", "c:day", "c:no", "c:price")]
