@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as X
-from .operators import check, extract, match, merge, number, region, scan, score, templates
+from .operators import check, extract, match, merge, number, readings, region, scan, score, templates
 from .operators.check import Policy, gate
 from .plans import desks
 from .sinks import committed, deliver, print_files
@@ -45,6 +45,13 @@ def _finish(run: Run, found: DataFrame, policy: Policy, outputs: dict, records:
     return n
 
 
+def _read(pages: DataFrame, patterns: dict) -> tuple[DataFrame, DataFrame]:
+    """(path and a column for each field, findings). A field has a pattern, or several in order of trust."""
+    rules = [readings.Rule(field, p, rank) for field, own in patterns.items() for rank, p in enumerate([own] if isinstance(own, str) else own, 1)]
+    out, doubts = readings.read(pages, rules)
+    return extract.pivot_fields(out, ["path"], list(patterns)), doubts
+
+
 def _cases(found: DataFrame) -> DataFrame:
     """path -> case_id, the folder that the file lies in."""
     return found.select("path", F.try_element_at(F.split("path", "/"), F.lit(-2)).alias("case_id"))
@@ -142,7 +149,7 @@ def projects(spark: SparkSession, run: Run, folder: str, rules: str, first_seria
 def policies(spark: SparkSession, run: Run, table: str, folder: str, rules: str) -> int:
     """A copy of the policy table with what the policies (PDFs) in folder say, and a CSV record of how each row fared.
 
-    Rules: first_row; key [column letters of the table, pattern]; fields {column letters: pattern}; total and parts
+    Rules: first_row; key [column letters of the table, pattern]; fields {column letters: pattern, or several in order of trust}; total and parts
     (column letters among fields; optional): the funding that must make the total up. A row without exactly one policy,
     or whose parts don't add up, stays as it is; cells that hold something are never written over.
     """
@@ -153,8 +160,8 @@ def policies(spark: SparkSession, run: Run, table: str, folder: str, rules: str)
     listed = cells.filter((F.col("row") >= r.get("first_row", 2)) & (F.col("col") == key)).select("path", "sheet", "row", F.trim("raw").alias("key"))
     found = office.files(spark, folder, "*.pdf")
     pages = seams.read_text_pdfs(found)
-    whole = pages.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]), "\n").alias("text"))
-    read = extract.text_fields(whole, {"key": pattern} | {names[c]: p for c, p in r["fields"].items()}).withColumn("policy", X.file_name(F.col("path"))).drop("path", "text")
+    read, doubts = _read(pages, {"key": pattern} | {names[c]: p for c, p in r["fields"].items()})
+    read = read.withColumn("policy", X.file_name(F.col("path"))).drop("path")
     out = match.cardinality_join(listed, read, "key", ["policy", *names.values()])
     status = F.col("match_status")
     if r.get("total"):
@@ -170,7 +177,7 @@ def policies(spark: SparkSession, run: Run, table: str, folder: str, rules: str)
     good = out.filter("status = 'matched'")
     writes = [good.select("path", "sheet", "row", F.lit(_column(c)).alias("col"), F.lit(c).alias("field"), F.col(n).alias("value")) for c, n in names.items()]
     grid, taken = region.overlay(cells, reduce(DataFrame.unionByName, writes))
-    open_ = open_.unionByName(taken.withColumn("severity", F.lit("warn")))  # what is there stays, so it stops nothing
+    open_ = open_.unionByName(doubts).unionByName(taken.withColumn("severity", F.lit("warn")))  # what is there stays, so it stops nothing
     record = out.select("sheet", "row", "key", "policy", "status").orderBy("sheet", "row")
     outputs = {"workbook": lambda to: committed.workbooks(as_sheets(grid), to), "check": lambda to: record.write.option("header", "true").csv(to)}
     return _finish(run, open_, desks.POLICIES["policy"], outputs, {"pending": deliver.pending_lines(open_)})
@@ -183,7 +190,7 @@ def statistics(spark: SparkSession, run: Run, workbook: str, folder: str, rules:
     """A copy of a statistics workbook with the fields of the PDFs in folder added below its table (or, where a column
     of the rules is the key, written over the row of the same key; only where update allows it).
 
-    Rules: headers {field: heading}, patterns {field: pattern with one group}, key (a field, optional). The table is
+    Rules: headers {field: heading}, patterns {field: pattern with one group, or several in order of trust}, key (a field, optional). The table is
     found by its headings; what is occupied stops the delivery.
     """
     r = _rules(rules)
@@ -191,8 +198,7 @@ def statistics(spark: SparkSession, run: Run, workbook: str, folder: str, rules:
     headers = region.next_rows(cells, region.find_headers(cells, r["headers"]))
     found = office.files(spark, folder, "*.pdf")
     pages = seams.read_text_pdfs(found)
-    whole = pages.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]), "\n").alias("text"))
-    read = extract.text_fields(whole, r["patterns"])
+    read, doubts = _read(pages, r["patterns"])
     names = list(r["patterns"])
     tables = headers.orderBy(F.desc("n_names"), "path", "sheet").limit(1).collect()
     if not tables:
@@ -212,8 +218,7 @@ def statistics(spark: SparkSession, run: Run, workbook: str, folder: str, rules:
     writes, lost = region.placed(planned, headers)
     grid, taken = region.overlay(cells, writes, update)
     open_ = lost.unionByName(taken).unionByName(office.unreadable(found, pages, "statistics"))
-    blank = extract.unpivot_fields(read, ["path"], names).filter("value is null")
-    open_ = open_.unionByName(check.findings(blank, F.lit(True), F.concat_ws(":", X.file_name(F.col("path")), "field"), "unread", "not found in the text", "statistics", "warn"))
+    open_ = open_.unionByName(doubts)
     return _finish(run, open_, desks.POLICIES["statistics"], {"workbook": lambda to: committed.workbooks(as_sheets(grid), to)}, {"pending": deliver.pending_lines(open_)})
 
 
