@@ -76,10 +76,10 @@ def paginate(rows: DataFrame, order: list[str], per_page: int = 23) -> DataFrame
 
 def rank_within(rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """rows with their place (from 1) among the rows of their keys. By numbers over the whole table, less the least of
-    each key, so a key with most of the rows is not sorted in one task. Keys aren't null."""
+    each key, so a key with most of the rows is not sorted in one task. Null is a key too."""
     out = running_total(rows, [*keys, *order], F.lit(1).cast("long"), "__n")
     least = out.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.min("__n").alias("__least"))
-    on = reduce(Column.__and__, (out[k] == least[f"__{k}"] for k in keys))
+    on = reduce(Column.__and__, (out[k].eqNullSafe(least[f"__{k}"]) for k in keys))
     return out.join(least, on).withColumn(name, F.col("__n") - F.col("__least") + 1).select(*rows.columns, name)
 
 

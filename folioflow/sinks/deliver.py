@@ -31,17 +31,23 @@ class Run:
             row = [(self.id, self.pipeline, self.started, state, self.params)]
             self.spark.createDataFrame(row, SCHEMAS["ledger"]).write.mode("append").parquet(f"{self.base}/ledger")
 
-    def deliver(self, outputs: dict[str, DataFrame], found: DataFrame, policy: Policy, form: str = "parquet", order: dict[str, list[str]] | None = None) -> int:
+    def deliver(self, outputs: dict[str, DataFrame], found: DataFrame, policy: Policy, form: str = "parquet", order: dict[str, list[str]] | None = None, by: dict[str, list[str]] | None = None) -> int:
         """Gate first, then write every output into this run's folder; the number of findings. A dry run only gates.
 
-        order: columns that an output is sorted by, such as the source's own order.
+        order: columns that an output is sorted by, such as the source's own order; by: columns whose values get a
+        folder each (sorted by order inside), so that a reader of one of them touches no other.
         """
         self.record("started")
         n = gate(found, policy)
         if not self.dry:
             for name, df in outputs.items():
-                df = df.orderBy(*order[name]) if order and name in order else df
+                keys, sort = (by or {}).get(name, []), (order or {}).get(name, [])
+                if keys:  # dealt by key and order, so a large key's folder is written by several tasks
+                    df = df.repartitionByRange(*keys, *sort).sortWithinPartitions(*keys, *sort)
+                elif sort:
+                    df = df.orderBy(*sort)
                 writer = df.write.mode("errorifexists")
+                writer = writer.partitionBy(*keys) if keys else writer
                 (writer.option("header", "true").csv if form == "csv" else writer.json if form == "json" else writer.parquet)(self.path(name))
             found.write.mode("errorifexists").json(self.path("findings"))
             self.record("done")

@@ -118,3 +118,16 @@ def test_compaction_lost_files_and_latest_wins(spark, tmp_path):
     for file in path.rglob("*.parquet"):
         file.unlink()
     assert len(texts(memo.read_pages_once(found, read, str(path)))) == 3 and calls.value == 5
+
+
+def test_outputs_by_key_in_order(spark, tmp_path):
+    rows = spark.createDataFrame([(k % 3, 100 - k, f"v{k}") for k in range(60)], "day int, ordinal int, v string")
+    none = check.findings(rows, F.lit(False), F.col("v"), "x", "x", "x")
+    run = deliver.Run(spark, str(tmp_path), "settlement")
+    run.deliver({"new": rows}, none, check.Policy.ABORT, order={"new": ["ordinal"]}, by={"new": ["day"]})
+    out = spark.read.parquet(run.path("new"))
+    assert sorted(p.name for p in (tmp_path / "settlement" / run.id / "new").iterdir() if p.is_dir()) == ["day=0", "day=1", "day=2"]
+    assert sorted((r.day, r.ordinal, r.v) for r in out.collect()) == sorted(map(tuple, rows.collect()))
+    for file in (tmp_path / "settlement" / run.id / "new").rglob("*.parquet"):
+        own = [r.ordinal for r in spark.read.parquet(str(file)).collect()]
+        assert own == sorted(own)
