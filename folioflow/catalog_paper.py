@@ -68,8 +68,10 @@ def _tokens(spark, sf):
     box = [pick(u0, HEIGHT - v1, WIDTH - u1, v0), pick(v0, u0, HEIGHT - v1, WIDTH - u1), pick(u1, HEIGHT - v0, WIDTH - u0, v1), pick(v1, u1, HEIGHT - v0, WIDTH - u0)]
     path = F.col("doc").cast("string").alias("path")
     out = own.select(path, "page_no", (F.col("k") + 1).alias("token_no"), text.alias("text"), *(b.alias(name) for b, name in zip(box, ("x0", "y0", "x1", "y1"), strict=True)), F.lit(1.0).alias("confidence"))
+    last = F.ceil(F.size(words) / 200).cast("int")
+    own = _t(spark, sf, "documents").select(F.col("doc_id").alias("doc"), F.explode(F.when(last > 0, F.sequence(F.lit(1), last))).alias("page_no"))
     sideways = turn % 2 == 1
-    pages = own.select(path, "page_no", (turn * 90).cast("int").alias("rotation"), F.when(sideways, HEIGHT).otherwise(WIDTH).alias("width"), F.when(sideways, WIDTH).otherwise(HEIGHT).alias("height")).distinct()
+    pages = own.select(path, "page_no", (turn * 90).cast("int").alias("rotation"), F.when(sideways, HEIGHT).otherwise(WIDTH).alias("width"), F.when(sideways, WIDTH).otherwise(HEIGHT).alias("height"))
     return out, pages
 
 

@@ -6,9 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import in_units
+from ..staging import staged
 from . import extract, number
 
 PAGE = ("path", "page_no")
+#: Labels and headings of a page that may travel as one row.
+CROWD = 2000
+
+
+def _turned(turn: Column, w: Column, h: Column) -> dict[str, Column]:
+    """The box's columns as they lie when a page of a scan, turned clockwise by so many degrees, is turned to be read."""
+    def at(name: str, quarter: Column, half: Column, three: Column) -> Column:
+        return F.when(turn == 90, quarter).when(turn == 180, half).when(turn == 270, three).otherwise(F.col(name)).alias(name)
+
+    return {
+        "x0": at("x0", F.col("y0"), w - F.col("x1"), h - F.col("y1")),
+        "y0": at("y0", w - F.col("x1"), h - F.col("y1"), F.col("x0")),
+        "x1": at("x1", F.col("y1"), w - F.col("x0"), h - F.col("y0")),
+        "y1": at("y1", w - F.col("x0"), h - F.col("y0"), F.col("x1")),
+    }
+
+
+def _about(pages: DataFrame) -> DataFrame:
+    return pages.select(*PAGE, F.pmod("rotation", F.lit(360)).alias("__turn"), F.col("width").alias("__w"), F.col("height").alias("__h"))
 
 
 def upright(tokens: DataFrame, pages: DataFrame) -> DataFrame:
@@ -17,20 +37,8 @@ def upright(tokens: DataFrame, pages: DataFrame) -> DataFrame:
     pages: path, page_no, rotation (degrees clockwise that the scan is turned by), width, height (of the scan). A page
     that isn't listed, or has another rotation than quarter turns, stays as it is.
     """
-    about = pages.select(*PAGE, F.pmod("rotation", F.lit(360)).alias("__turn"), F.col("width").alias("__w"), F.col("height").alias("__h"))
-    own = tokens.join(about, list(PAGE), "left")
-    turn, w, h = F.col("__turn"), F.col("__w"), F.col("__h")
-
-    def at(name: str, quarter: Column, half: Column, three: Column) -> Column:
-        return F.when(turn == 90, quarter).when(turn == 180, half).when(turn == 270, three).otherwise(F.col(name)).alias(name)
-
-    box = [
-        at("x0", F.col("y0"), w - F.col("x1"), h - F.col("y1")),
-        at("y0", w - F.col("x1"), h - F.col("y1"), F.col("x0")),
-        at("x1", F.col("y1"), w - F.col("x0"), h - F.col("y0")),
-        at("y1", w - F.col("x0"), h - F.col("y0"), F.col("x1")),
-    ]
-    of = {c: next(b for b, name in zip(box, ("x0", "y0", "x1", "y1"), strict=True) if name == c) for c in ("x0", "y0", "x1", "y1")}
+    own = tokens.join(_about(pages), list(PAGE), "left")
+    of = _turned(F.col("__turn"), F.col("__w"), F.col("__h"))
     return own.select(*(of.get(c, F.col(c)) for c in tokens.columns))
 
 
@@ -54,22 +62,68 @@ def _overlapping(a: DataFrame, b: DataFrame, low: str, high: str, band: float) -
     return both.filter((shared >= small / 2) & (shared > 0)).drop("__band", "a_first", "b_first")
 
 
-def crossing_values(tokens: DataFrame, labels: dict[str, str], headings: dict[str, str], value: str, band: float) -> DataFrame:
-    """For each label and heading the nearest value in the label's row, right of it, and in the heading's column, below it.
+_BOX = ("token_no", "x0", "y0", "x1", "y1")
+_KEYS = [*PAGE, "label", "heading", "label_no", "heading_no"]
 
-    tokens lie upright (path, page_no, token_no, text, box); labels, headings and value are patterns. band: about a
-    row's height; only how pairs are found depends on it, not which. Nearest is the least way right and down, then the
-    least token_no. path, page_no, label, heading, label_no, heading_no (their tokens), value, value_no, distance.
-    """
-    own = ["token_no", "x0", "y0", "x1", "y1"]
-    amounts = tokens.filter(F.col("text").rlike(value)).select(*PAGE, *own, "text")
-    rows = _overlapping(named(tokens, labels, "label").select(*PAGE, *own, "label"), amounts, "y0", "y1", band).filter("b_x0 >= a_x1")
+
+def _by_bands(marks: DataFrame, amounts: DataFrame, band: float) -> DataFrame:
+    """All values in a label's row and a heading's column, found by bands: a page of any size is spread over tasks."""
+    labels, headings = (marks.filter(F.col(c).isNotNull()).select(*PAGE, *_BOX, c) for c in ("label", "heading"))
+    rows = _overlapping(labels, amounts, "y0", "y1", band).filter("b_x0 >= a_x1")
     rows = rows.select(*PAGE, F.col("a_label").alias("label"), F.col("a_token_no").alias("label_no"), F.col("b_token_no").alias("value_no"), F.col("b_text").alias("value"), (F.col("b_x0") - F.col("a_x1")).alias("right"))
-    tops = _overlapping(named(tokens, headings, "heading").select(*PAGE, *own, "heading"), amounts, "x0", "x1", band).filter("b_y0 >= a_y1")
+    tops = _overlapping(headings, amounts, "x0", "x1", band).filter("b_y0 >= a_y1")
     tops = tops.select(*PAGE, F.col("a_heading").alias("heading"), F.col("a_token_no").alias("heading_no"), F.col("b_token_no").alias("value_no"), (F.col("b_y0") - F.col("a_y1")).alias("down"))
-    pairs = rows.join(tops, [*PAGE, "value_no"]).withColumn("distance", F.col("right") + F.col("down"))
-    keys = [*PAGE, "label", "heading", "label_no", "heading_no"]
-    return extract.nearest_value(pairs.select(*keys, "value_no", "value", "distance"), keys, F.col("distance"))
+    return rows.join(tops, [*PAGE, "value_no"]).select(*_KEYS, "value_no", "value", (F.col("right") + F.col("down")).alias("distance"))
+
+
+def _by_pages(marks: DataFrame, amounts: DataFrame, pages: DataFrame | None) -> DataFrame:
+    """The same for pages of few labels and headings: these travel as one row a page, with how the page lies, so values
+    are shuffled once and turned where they arrive."""
+    spot = F.struct(*_BOX, "label", "heading")
+    heads = marks.groupBy(*PAGE).agg(F.collect_list(F.when(F.col("label").isNotNull(), spot)).alias("labels"), F.collect_list(F.when(F.col("heading").isNotNull(), spot)).alias("headings"))
+    if pages is not None:
+        heads = heads.join(_about(pages), list(PAGE), "left")
+    both = amounts.join(heads, list(PAGE))
+    if pages is not None:
+        both = both.withColumns(_turned(F.col("__turn"), F.col("__w"), F.col("__h")))
+
+    def over(m: Column, low: str, high: str) -> Column:
+        shared = F.least(F.col(high), m[high]) - F.greatest(F.col(low), m[low])
+        return (shared >= F.least(F.col(high) - F.col(low), m[high] - m[low]) / 2) & (shared > 0)
+
+    both = both.withColumns({
+        "labels": F.filter("labels", lambda m: over(m, "y0", "y1") & (F.col("x0") >= m["x1"])),
+        "headings": F.filter("headings", lambda m: over(m, "x0", "x1") & (F.col("y0") >= m["y1"])),
+    }).filter("size(labels) > 0 and size(headings) > 0")
+    both = both.withColumn("l", F.explode("labels")).withColumn("h", F.explode("headings"))
+    distance = F.col("x0") - F.col("l.x1") + F.col("y0") - F.col("h.y1")
+    return both.select(*PAGE, "l.label", "h.heading", F.col("l.token_no").alias("label_no"), F.col("h.token_no").alias("heading_no"), F.col("token_no").alias("value_no"), F.col("text").alias("value"), distance.alias("distance"))
+
+
+def crossing_values(tokens: DataFrame, labels: dict[str, str], headings: dict[str, str], value: str, band: float, pages: DataFrame | None = None, crowd: int = CROWD) -> DataFrame:
+    """For each label and heading the nearest value in the label's row, right of it, and in the heading's column, below it.
+
+    tokens: path, page_no, token_no, text, box; upright, or as scanned where pages (as for upright) says how pages lie.
+    labels, headings and value are patterns. Boxes are in one row or column where they overlap by half of the smaller one.
+    Nearest is the least way right and down, then the least token_no. Only tokens that a pattern matches are looked at.
+    Labels and headings of a page travel together, but for pages with more than crowd of them, whose pairs are found by
+    bands (band: about a row's height); the result is the same. path, page_no, label, heading, label_no, heading_no (their
+    tokens), value, value_no, distance.
+    """
+    slim = tokens.select(*PAGE, *_BOX, "text")
+    amounts = slim.filter(F.col("text").rlike(value))
+    marks = named(slim, labels, "label").withColumn("heading", F.lit(None).cast("string")).drop("text")
+    marks = marks.unionByName(named(slim, headings, "heading").withColumn("label", F.lit(None).cast("string")).drop("text"))
+    if pages is not None:
+        marks = upright(marks, pages)
+    many = marks.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > crowd).select(*PAGE)
+    marks = staged(marks.join(many.withColumn("__crowded", F.lit(True)), list(PAGE), "left"), "marks")
+    few, crowded = marks.filter("__crowded is null").drop("__crowded"), marks.filter("__crowded").drop("__crowded")
+    pairs = _by_pages(few, amounts, pages)
+    if not crowded.isEmpty():
+        own = amounts.join(crowded.select(*PAGE).distinct(), list(PAGE), "left_semi")
+        pairs = pairs.unionByName(_by_bands(crowded, own if pages is None else upright(own, pages), band))
+    return extract.nearest_value(pairs.select(*_KEYS, "value_no", "value", "distance"), _KEYS, F.col("distance"))
 
 
 def unit_in_force(tokens: DataFrame, unit: str, document: str = "path", order: tuple[str, ...] = ("page_no", "token_no")) -> DataFrame:
@@ -81,8 +135,12 @@ def unit_in_force(tokens: DataFrame, unit: str, document: str = "path", order: t
 def statement_fields(tokens: DataFrame, pages: DataFrame, labels: dict[str, str], headings: dict[str, str], value: str, unit: str, factors: dict[str, int], band: float) -> DataFrame:
     """Statement figures off recognised pages: each label's and heading's nearest value with the unit in force at its
     token and the amount in base units (null where the unit isn't known or the value is no number)."""
-    turned = upright(tokens, pages)
-    units = unit_in_force(turned, unit).select(*PAGE, F.col("token_no").alias("value_no"), "unit")
-    out = crossing_values(turned, labels, headings, value, band).join(units, [*PAGE, "value_no"], "left")
+    out = crossing_values(tokens, labels, headings, value, band, pages)
+    # units and the values found, in one order: what holds at a value is the last unit at or before it
+    found = F.nullif(F.regexp_extract("text", unit, 1), F.lit(""))
+    said = tokens.filter(F.col("text").rlike(unit)).select(*PAGE, F.col("token_no").alias("value_no"), found.alias("__unit"))
+    both = out.unionByName(said, allowMissingColumns=True).withColumn("__value", F.col("label").isNotNull())
+    both = number.carried(both, ["page_no", "value_no", "__value", "label_no", "heading_no"], {"unit": F.col("__unit")}, ["path"])
+    out = both.filter("__value").drop("__unit", "__value", "unit_before")
     plain = F.expr("try_cast(regexp_replace(value, ',', '') as decimal(18,6))")
     return out.withColumn("amount", in_units(plain, F.col("unit"), factors))

@@ -69,8 +69,8 @@ def test_crossing_takes_the_nearest_in_row_and_column(spark):
         (8, "total assets", 0, 200, 90, 212), (9, "31", 370, 203, 450, 215), (10, "32", 300, 204, 345, 216), (11, "no", 250, 200, 290, 212),
     ]
     df = spark.createDataFrame([("d", p, *t[:2], *map(float, t[2:])) for p in (1, 2) for t in page], TOKEN)
-    for band in (7.0, 20.0, 500.0):
-        got = tokens.crossing_values(df, {"assets": "assets$"}, {"now": "^2023$", "before": "^2022$"}, "^[0-9,]+$", band)
+    for band, crowd in ((7.0, 0), (20.0, 0), (500.0, 0), (20.0, 100)):
+        got = tokens.crossing_values(df, {"assets": "assets$"}, {"now": "^2023$", "before": "^2022$"}, "^[0-9,]+$", band, crowd=crowd)
         assert sorted((r.page_no, r.label_no, r.heading, r.value) for r in got.collect()) == sorted(
             (p, *x) for p in (1, 2) for x in ((1, "now", "1,200"), (1, "before", "900"), (8, "now", "32"), (8, "before", "31"))
         )
