@@ -116,11 +116,12 @@ def crossing_values(tokens: DataFrame, labels: dict[str, str], headings: dict[st
     marks = marks.unionByName(named(slim, headings, "heading").withColumn("label", F.lit(None).cast("string")).drop("text"))
     if pages is not None:
         marks = upright(marks, pages)
+    marks = staged(marks, "marks")  # few tokens; all of them were looked at to find these
     many = marks.groupBy(*PAGE).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > crowd).select(*PAGE)
-    marks = staged(marks.join(many.withColumn("__crowded", F.lit(True)), list(PAGE), "left"), "marks")
-    few, crowded = marks.filter("__crowded is null").drop("__crowded"), marks.filter("__crowded").drop("__crowded")
+    few = marks.join(many, list(PAGE), "left_anti")
     pairs = _by_pages(few, amounts, pages)
-    if not crowded.isEmpty():
+    if not many.isEmpty():
+        crowded = marks.join(many, list(PAGE), "left_semi")
         own = amounts.join(crowded.select(*PAGE).distinct(), list(PAGE), "left_semi")
         pairs = pairs.unionByName(_by_bands(crowded, own if pages is None else upright(own, pages), band))
     return extract.nearest_value(pairs.select(*_KEYS, "value_no", "value", "distance"), _KEYS, F.col("distance"))
@@ -135,7 +136,7 @@ def unit_in_force(tokens: DataFrame, unit: str, document: str = "path", order: t
 def statement_fields(tokens: DataFrame, pages: DataFrame, labels: dict[str, str], headings: dict[str, str], value: str, unit: str, factors: dict[str, int], band: float) -> DataFrame:
     """Statement figures off recognised pages: each label's and heading's nearest value with the unit in force at its
     token and the amount in base units (null where the unit isn't known or the value is no number)."""
-    out = crossing_values(tokens, labels, headings, value, band, pages)
+    out = staged(crossing_values(tokens, labels, headings, value, band, pages), "crossings")  # dealing by range reads it twice
     # units and the values found, in one order: what holds at a value is the last unit at or before it
     found = F.nullif(F.regexp_extract("text", unit, 1), F.lit(""))
     said = tokens.filter(F.col("text").rlike(unit)).select(*PAGE, F.col("token_no").alias("value_no"), found.alias("__unit"))
